@@ -1,0 +1,2 @@
+"""Left empty on purpose: every input is a bounded table that is reloaded whole,
+so there is no watermark, event-time window or stream state to express."""
