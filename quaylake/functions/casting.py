@@ -29,7 +29,8 @@ def to_number(value: Column) -> Column:
     Spark's own parser also takes a Java type suffix ("12d", "3.5F"); those are not numbers here.
     """
     text = value.cast("string")
-    suffixed = text.rlike(r"[0-9.]\s*[dDfF]\s*$")
+    last = F.right(F.rtrim(text), F.lit(1))
+    suffixed = last.isin("d", "D", "f", "F") & ~F.lower(text).contains("inf")
     return F.when(~suffixed, text.try_cast("double"))
 
 

@@ -80,44 +80,40 @@ def mention_counts(
 
     `names` holds distinct names. A line contains a name exactly when one of its substrings
     equals it, so the substring test becomes an equality: every line offers its substrings of
-    the lengths that occur among the names, and those are counted and matched. Lines are never
-    compared with all names. A list of names of a measured small size first sifts the
-    substrings by a broadcast semi-join; a larger one is matched by a shuffle. Counting before
-    the join keeps a name that occurs everywhere from loading one task.
+    the lengths that occur among the names. Lines are never compared with all names. Names of a
+    measured small size first sift the substrings by a broadcast semi-join; a larger list is
+    matched by a shuffle. Counting before the join keeps a name that occurs everywhere from
+    loading one task. Finding and measuring the names runs jobs.
     """
     names = materialize(names.select("name"))
-    lengths = names.agg(F.collect_set(F.length("name"))).scalar()
-    rules = list(mentions.items())
-    relevant = reduce(lambda a, b: a | b, [m.kind.test(F.col("value")) for _, m in rules])
-    offered = (
-        lines.filter(relevant)
-        .select("value", F.explode(lengths).alias("length"))
-        .select(F.explode(F.concat(*[substrings(i, m) for i, (_, m) in enumerate(rules)])).alias("s"))
-        .select("s.rule", "s.name")
-    )
+    lengths = [r["n"] for r in names.select(F.length("name").alias("n")).distinct().collect()]
+    relevant = reduce(lambda a, b: a | b, [m.kind.test(F.col("value")) for m in mentions.values()])
+    offered = substrings(lines.filter(relevant).select("value"), lengths)
     if fits_broadcast(names, broadcast_limit):
         offered = offered.join(F.broadcast(names), "name", "left_semi")
-    counted = offered.groupBy("name").agg(
-        *[F.count_if(F.col("rule") == i).alias(column) for i, (column, _) in enumerate(rules)]
-    )
+    hits = offered.select(
+        "name", *[first_mention(m).cast("int").alias(column) for column, m in mentions.items()]
+    ).filter(reduce(lambda a, b: a | b, [F.col(column) == 1 for column in mentions]))
+    counted = hits.groupBy("name").agg(*[F.sum(column).alias(column) for column in mentions])
     return names.join(counted, "name", "left").select(
-        "name", *[F.coalesce(F.col(column), F.lit(0)).alias(column) for column, _ in rules]
+        "name", *[F.coalesce(F.col(column), F.lit(0)).alias(column) for column in mentions]
     )
 
 
-def substrings(rule: int, mention: Mention) -> Column:
-    """The distinct substrings of `length` characters in `value` that the suffix follows."""
-    value, length = F.col("value"), F.col("length")
-    needed = length + len(mention.suffix)
-
-    def at(position: Column) -> Column:
-        return F.struct(F.lit(rule).alias("rule"), F.substring(value, position, length).alias("name"))
+def substrings(lines: DataFrame, lengths: list[int]) -> DataFrame:
+    """All substrings of the given lengths with their position: value, position, name."""
+    kept = [F.lit(n) for n in lengths]
+    length = F.explode(F.array(*kept) if kept else F.array().cast("array<int>"))
+    position = F.explode(F.sequence(F.lit(1), F.length("value") - F.col("length") + 1))
+    return (
+        lines.select("value", length.alias("length"))
+        .filter(F.length("value") >= F.col("length"))
+        .select("value", "length", position.alias("position"))
+        .select("value", "position", F.substring(F.col("value"), F.col("position"), F.col("length")).alias("name"))
+    )
 
-    starts = F.sequence(F.lit(1), F.length(value) - needed + 1)
-    if mention.suffix:
-        after = lambda p: F.substring(value, p + length, F.lit(len(mention.suffix)))
-        starts = F.filter(starts, lambda p: after(p) == mention.suffix)
-    fits = mention.kind.test(value) & (F.length(value) >= needed)
-    none = F.array().cast("array<struct<rule:int,name:string>>")
-    return F.when(fits, F.array_distinct(F.transform(starts, at))).otherwise(none)
 
+def first_mention(mention: Mention) -> Column:
+    """The substring is where its line first mentions it, so that a line counts once per name."""
+    searched = F.concat(F.col("name"), F.lit(mention.suffix))
+    return mention.kind.test(F.col("value")) & (F.instr(F.col("value"), searched) == F.col("position"))

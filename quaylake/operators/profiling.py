@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
-from dataclasses import dataclass, replace
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
@@ -14,8 +14,10 @@ from quaylake.functions.casting import quoted
 
 QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
 
-# Values within the bracket of a quantile are counted in this many slices of equal width.
+# A range of values is cut into this many slices of equal width, until a slice that holds a
+# wanted rank has at most so many rows.
 SLICES = 1000
+RANKED_ROWS = 100_000
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
@@ -87,54 +89,26 @@ def distinct_values(df: DataFrame, columns: Sequence[str] | None = None, list_up
     )
 
 
-@dataclass(frozen=True)
-class Quantile:
-    """A wanted quantile of column i: the two ranks around it and the bracket that holds them."""
-
-    i: int
-    name: str
-    first: int
-    second: int
-    share: float
-    low: float
-    high: float
-
-    def slice_of(self, value: Column) -> Column:
-        """Slice of the bracket that holds the value, rising with it; 0 is below the bracket."""
-        inside = F.lit(1)
-        if self.low < self.high:
-            bucket = F.width_bucket(value, F.lit(self.low), F.lit(self.high), F.lit(SLICES))
-            inside = F.coalesce(bucket, F.lit(1))
-        return F.when(value < self.low, F.lit(0)).otherwise(inside).cast("int")
-
-    def column(self) -> Column:
-        return F.col(f"c{self.i}")
-
-
-def describe(df: DataFrame, columns: Sequence[str] | None = None, accuracy: int = 1000) -> DataFrame:
+def describe(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Count, mean, sample deviation, min, exact quartiles (interpolated) and max per column.
 
-    Nulls and NaN are left out. No column is sorted or gathered for the quartiles: a sketch
-    brackets each of them within a few parts in `accuracy`, a second scan counts rows by slice
-    of the bracket, and a third ranks the distinct values of the one or two slices that hold the
-    wanted ranks. The first two scans run here; their results (one row, and at most SLICES + 2
-    counts per quartile) are all that reaches the driver.
+    Nulls and NaN are left out. No column is sorted or gathered for the quartiles: the range that
+    holds a wanted rank is cut into slices whose rows are counted, the slice that holds the rank
+    becomes the next range, and when few rows are left in it their distinct values are ranked.
+    The scans run here; only measures, slice counts and the wanted values reach the driver.
     """
     names = list(columns or numeric_columns(df))
     numbers = df.select(*[number(c).alias(f"c{i}") for i, c in enumerate(names)])
-    summary = numbers.agg(*sketched(len(names), accuracy)).first()
-    wanted = [q for i in range(len(names)) for q in brackets(summary, i, accuracy)]
-    chosen = slices_of_ranks(numbers, wanted, summary)
-    measures = [
-        (i, c, *[summary[f"{m}{i}"] for m in ("count", "mean", "std", "min", "max")])
-        for i, c in enumerate(names)
-    ]
-    types = "i int, column string, count bigint, mean double, std double, min double, max double"
-    return (
-        df.sparkSession.createDataFrame(measures, types)
-        .join(F.broadcast(ranked_values(numbers, chosen)), "i", "left")  # one row per column
-        .select("column", "count", "mean", "std", "min", *QUARTILES, "max")
-    )
+    summary = numbers.agg(*plain_measures(len(names))).first()
+    wanted = [r for i in range(len(names)) if (r := whole_range(summary, i)) is not None]
+    values = values_at_ranks(numbers, wanted)
+    rows = []
+    for i, name in enumerate(names):
+        count, mean, std, low, high = [summary[f"{m}{i}"] for m in MEASURE_NAMES]
+        quartiles = [quartile(values, i, count, share) for share in QUARTILES.values()]
+        rows.append((name, count, mean, std, low, *quartiles, high))
+    types = ", ".join(f"{n} double" for n in ("mean", "std", "min", *QUARTILES, "max"))
+    return df.sparkSession.createDataFrame(rows, f"column string, count bigint, {types}")
 
 
 def number(column: str) -> Column:
@@ -142,138 +116,126 @@ def number(column: str) -> Column:
     return F.when(~F.isnan(value), value)
 
 
-def sketched(width: int, accuracy: int) -> list[Column]:
-    """Plain measures of every column and marks around its quartiles, for one scan."""
-    slack = bracket_slack(accuracy)
-    marks = [p for q in QUARTILES.values() for p in (q - slack, q + slack)]
-    aggregates = []
-    for i in range(width):
-        c = F.col(f"c{i}")
-        aggregates += [
-            F.count(c).alias(f"count{i}"),
-            F.avg(c).alias(f"mean{i}"),
-            F.stddev_samp(c).alias(f"std{i}"),
-            F.min(c).alias(f"min{i}"),
-            F.max(c).alias(f"max{i}"),
-            F.percentile_approx(c, marks, accuracy).alias(f"marks{i}"),
-        ]
-    return aggregates
+MEASURE_NAMES = ("count", "mean", "std", "min", "max")
+
+
+def plain_measures(width: int) -> list[Column]:
+    functions = (F.count, F.avg, F.stddev_samp, F.min, F.max)
+    return [
+        measure(F.col(f"c{i}")).alias(f"{name}{i}")
+        for i in range(width)
+        for name, measure in zip(MEASURE_NAMES, functions)
+    ]
+
+
+@dataclass(frozen=True)
+class RankRange:
+    """A range of column i that holds the wanted ranks: rows below it and rows in it."""
+
+    i: int
+    low: float
+    high: float
+    below: int
+    rows: int
+    ranks: tuple[int, ...]
+
+    def column(self) -> Column:
+        return F.col(f"c{self.i}")
+
+    def holds(self) -> Column:
+        return self.column().between(self.low, self.high)
+
+    def slice(self) -> Column:
+        """Number of the slice the value falls in, rising with the value.
 
+        Both ends are slices of their own, so every narrowing leaves something out, also where
+        an end is infinite. Halves keep the width of a very wide range finite.
+        """
+        width = self.high / 2 - self.low / 2
+        inner = F.lit(1).cast("bigint")
+        if 0 < width < math.inf:
+            inner = F.floor((self.column() / 2 - F.lit(self.low / 2)) / F.lit(width) * SLICES) + 1
+        end = F.when(self.column() == self.low, F.lit(0)).when(self.column() == self.high, F.lit(SLICES + 2))
+        return end.otherwise(inner)
 
-def bracket_slack(accuracy: int) -> float:
-    """The sketch is off by one part in `accuracy` at most; brackets are four wide on each side."""
-    return 4.0 / accuracy
 
+def ranks_of(count: int) -> tuple[int, ...]:
+    """Ranks on both sides of each quartile, from 0."""
+    places = [(count - 1) * share for share in QUARTILES.values()]
+    return tuple(sorted({math.floor(p) for p in places} | {math.ceil(p) for p in places}))
 
-def brackets(summary: Row, i: int, accuracy: int) -> list[Quantile]:
-    """Quartiles of column i with their brackets; a short column is its own bracket."""
+
+def whole_range(summary: Row, i: int) -> RankRange | None:
     count = summary[f"count{i}"]
     if count == 0:
-        return []
-    found = []
-    for k, (name, share) in enumerate(QUARTILES.items()):
-        rank = (count - 1) * share
-        low, high = summary[f"marks{i}"][2 * k : 2 * k + 2]
-        if count <= 4 * accuracy:
-            low, high = summary[f"min{i}"], summary[f"max{i}"]
-        first = math.floor(rank)
-        found.append(Quantile(i, name, first, math.ceil(rank), rank - first, low, high))
-    return found
+        return None
+    return RankRange(i, summary[f"min{i}"], summary[f"max{i}"], 0, count, ranks_of(count))
 
 
-def slice_counts(numbers: DataFrame, wanted: Sequence[Quantile]) -> dict[int, list[tuple[int, int]]]:
-    """Rows below the bracket (slice 0) and in each of its slices, by index into `wanted`."""
-    placed = F.array(
-        *[
-            F.when(
-                q.column() <= q.high,
-                F.struct(F.lit(k).alias("k"), q.slice_of(q.column()).alias("slice")),
-            )
-            for k, q in enumerate(wanted)
-        ]
+def values_at_ranks(numbers: DataFrame, ranges: Sequence[RankRange]) -> dict[tuple[int, int], float]:
+    """The value at each wanted rank, by column and rank."""
+    values = {}
+    while ranges:
+        values |= {(r.i, rank): r.low for r in ranges if r.low == r.high for rank in r.ranks}
+        several = [r for r in ranges if r.low < r.high]
+        values |= ranked_values(numbers, [r for r in several if r.rows <= RANKED_ROWS])
+        ranges = narrowed(numbers, [r for r in several if r.rows > RANKED_ROWS])
+    return values
+
+
+def one_row_each(ranges: Sequence[RankRange], *fields: Callable[[RankRange], Column]) -> Column:
+    """For one row of numbers: a struct per range that holds its value, null for the others."""
+    return F.array(
+        *[F.when(r.holds(), F.struct(F.lit(k).alias("k"), *[f(r) for f in fields])) for k, r in enumerate(ranges)]
     )
-    rows = (
-        numbers.select(F.inline(placed))
+
+
+def narrowed(numbers: DataFrame, ranges: Sequence[RankRange]) -> list[RankRange]:
+    """Per range the slices that hold its ranks, between their least and largest value."""
+    if not ranges:
+        return []
+    fields = (lambda r: r.slice().alias("slice"), lambda r: r.column().alias("value"))
+    counted = (
+        numbers.select(F.inline(one_row_each(ranges, *fields)))
         .filter(F.col("k").isNotNull())
         .groupBy("k", "slice")
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.count(F.lit(1)).alias("rows"), F.min("value").alias("low"), F.max("value").alias("high"))
         .orderBy("k", "slice")
-        .collect()  # at most SLICES + 2 rows per quartile
+        .collect()  # at most SLICES + 3 rows per range
     )
-    counted: dict[int, list[tuple[int, int]]] = {k: [] for k in range(len(wanted))}
-    for row in rows:
-        counted[row["k"]].append((row["slice"], row["n"]))
-    return counted
-
+    found, below = [], {k: r.below for k, r in enumerate(ranges)}
+    for k, _, rows, low, high in counted:
+        start = below[k]
+        below[k] += rows
+        ranks = tuple(rank for rank in ranges[k].ranks if start <= rank < start + rows)
+        if ranks:
+            found.append(RankRange(ranges[k].i, low, high, start, rows, ranks))
+    return found
 
-def slices_of_ranks(
-    numbers: DataFrame, wanted: Sequence[Quantile], summary: Row
-) -> list[tuple[Quantile, dict[int, int]]]:
-    """Per quartile the slices that hold its ranks, each with the number of values before it.
 
-    Should a bracket have missed a rank, the whole range of its column is sliced instead.
-    """
-    if not wanted:
-        return []
-    chosen = []
-    missed = []
-    for k, counts in slice_counts(numbers, wanted).items():
-        quantile, before, holding = wanted[k], 0, {}
-        for part, n in counts:
-            if any(before <= rank < before + n for rank in (quantile.first, quantile.second)):
-                holding[part] = before
-            before += n
-        if 0 in holding or before <= quantile.second:
-            whole = (summary[f"min{quantile.i}"], summary[f"max{quantile.i}"])
-            missed.append(replace(quantile, low=whole[0], high=whole[1]))
-        else:
-            chosen.append((quantile, holding))
-    return chosen + slices_of_ranks(numbers, missed, summary)
-
-
-def ranked_values(numbers: DataFrame, chosen: Sequence[tuple[Quantile, dict[int, int]]]) -> DataFrame:
-    """One row per column i with its quartiles, from the values in the chosen slices alone."""
-    if not chosen:
-        empty = ", ".join(f"{name} double" for name in QUARTILES)
-        return numbers.sparkSession.createDataFrame([], f"i int, {empty}")
-    cells = []
-    for q, holding in chosen:
-        part = q.slice_of(q.column())
-        start = F.lit(None).cast("bigint")
-        for held, before in holding.items():
-            start = F.when(part == held, F.lit(before).cast("bigint")).otherwise(start)
-        cells.append(
-            F.when(
-                (q.column() <= q.high) & part.isin(*holding),
-                F.struct(
-                    F.lit(q.i).alias("i"),
-                    F.lit(q.name).alias("name"),
-                    F.lit(q.first).cast("bigint").alias("first"),
-                    F.lit(q.second).cast("bigint").alias("second"),
-                    F.lit(q.share).alias("share"),
-                    start.alias("start"),
-                    q.column().alias("value"),
-                ),
-            )
-        )
-    keys = ["i", "name", "first", "second", "share", "start"]
-    by_value = Window.partitionBy("i", "name", "start").orderBy("value")
+def ranked_values(numbers: DataFrame, ranges: Sequence[RankRange]) -> dict[tuple[int, int], float]:
+    """Values at the wanted ranks from the few rows of each range."""
+    if not ranges:
+        return {}
+    below = F.array(*[F.lit(r.below).cast("bigint") for r in ranges])
+    ranks = F.array(*[F.array(*[F.lit(n).cast("bigint") for n in r.ranks]) for r in ranges])
+    by_value = Window.partitionBy("k").orderBy("value")
     placed = (
-        numbers.select(F.inline(F.array(*cells)))
-        .filter(F.col("i").isNotNull())
-        .groupBy(*keys, "value")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("until", F.col("start") + F.sum("n").over(by_value))
+        numbers.select(F.inline(one_row_each(ranges, lambda r: r.column().alias("value"))))
+        .filter(F.col("k").isNotNull())
+        .groupBy("k", "value")
+        .agg(F.count(F.lit(1)).alias("rows"))
+        .withColumn("until", F.get(below, F.col("k")) + F.sum("rows").over(by_value))
+        .withColumn("rank", F.explode(F.get(ranks, F.col("k"))))
+        .filter((F.col("until") - F.col("rows") <= F.col("rank")) & (F.col("rank") < F.col("until")))
     )
+    return {(ranges[row["k"]].i, row["rank"]): row["value"] for row in placed.collect()}  # the wanted ranks
 
-    def at(rank: str) -> Column:
-        here = (F.col("until") - F.col("n") <= F.col(rank)) & (F.col(rank) < F.col("until"))
-        return F.max(F.when(here, F.col("value")))
 
-    lower, upper = at("first"), at("second")
-    exact = placed.groupBy("i", "name").agg(
-        (lower + (upper - lower) * F.max("share")).alias("value")
-    )
-    return exact.groupBy("i").agg(
-        *[F.max(F.when(F.col("name") == name, F.col("value"))).alias(name) for name in QUARTILES]
-    )
+def quartile(values: dict[tuple[int, int], float], i: int, count: int, share: float) -> float | None:
+    """Linear interpolation between the two neighbouring ranks."""
+    if count == 0:
+        return None
+    place = (count - 1) * share
+    low, high = values[i, math.floor(place)], values[i, math.ceil(place)]
+    return low if low == high else low + (high - low) * (place - math.floor(place))

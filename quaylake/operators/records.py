@@ -138,15 +138,17 @@ def kept_pages(
 ) -> DataFrame:
     """The pages a sequential reader would have kept (see `last_pages`).
 
-    Payloads are not shuffled: without `runs` the bound is one scalar. With `runs` the bounds
-    are computed once (this runs a job), measured, and broadcast if small; beyond that limit
-    they are joined by a shuffle that adaptive execution splits where a run is hot.
+    The bounds are found by a job that runs here, so that they are not searched again by every
+    later use of the records, and payloads are not shuffled: a single bound goes to the scan as
+    a plain filter. With `runs` the bounds are kept in the shared folder, measured, and broadcast
+    if small; beyond that limit they are joined by a shuffle that adaptive execution splits where
+    a run is hot.
     """
     numbered = numbered_pages(pages, max_pages)
     bounds = last_pages(pages, page_size, max_pages, runs, mode)
     if not runs:
-        last = bounds.scalar()
-        return numbered.filter(F.col("page") <= F.coalesce(last, F.col("page")))
+        last = bounds.first()["last_page"]  # one row
+        return numbered if last is None else numbered.filter(F.col("page") <= last)
     bounds = materialize(bounds).withColumnsRenamed({r: f"_bound_{r}" for r in runs})
     # Null-safe, so that pages without a run name make up a run of their own.
     same_run = reduce(
@@ -183,9 +185,13 @@ def unwrap_row(records: DataFrame, strict: bool = False) -> DataFrame:
     Without an object there the record itself stays; strict makes it null instead (the row is
     kept and all its fields become null).
     """
-    row = F.try_variant_get("record", "$", "struct<row:variant>")["row"]
+    row = F.col("_row")
     fallback = F.lit(None).cast("variant") if strict else F.col("record")
-    return records.withColumn("record", F.when(is_object(row), row).otherwise(fallback))
+    return (
+        records.withColumn("_row", F.try_variant_get("record", member_path("row"), "variant"))
+        .withColumn("record", F.when(is_object(row), row).otherwise(fallback))
+        .drop("_row")
+    )
 
 
 def struct_type(fields: Mapping[str, str]) -> str:

@@ -7,8 +7,9 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from quaylake.functions import measures, text, time
-from quaylake.operators import grouping, listing, profiling, ranking
-from quaylake.plans import gold, reports
+from quaylake.operators import grouping, profiling, ranking
+from quaylake.plans import gold
+from quaylake.plans.reports import ConsoleReport, Dashboard, DumpReport, Profile, RangeStudy, SliceReport
 from quaylake.registry.base import query, rounded, table
 from quaylake.registry.inputs import LISTING_SQL, RECONCILIATION_SQL, listing_lines, reconciliation
 from quaylake.sources.readers import inventory
@@ -24,7 +25,7 @@ IN_RANGE = f"amount BETWEEN {LOW} AND {HIGH}"
 
 @query("console_total", "F1", REC + "SELECT count(*) AS total FROM conciliacoes")
 def console_total(spark, folder):
-    return reports.console_report(reconciliation(spark, folder))["total"]
+    return ConsoleReport(reconciliation(spark, folder)).total()
 
 
 @query("console_schema", "L2", """
@@ -37,21 +38,21 @@ def console_schema(spark, folder):
 
 @query("console_status", "F3", REC + "SELECT status, count(*) AS count FROM conciliacoes GROUP BY status ORDER BY count DESC")
 def console_status(spark, folder):
-    return reports.console_report(reconciliation(spark, folder))["status"]
+    return ConsoleReport(reconciliation(spark, folder)).status()
 
 
 @query("console_status_value", "F5", REC + """
 SELECT status, round(sum(amount), 2) AS total, round(avg(amount), 2) AS media
 FROM conciliacoes GROUP BY status ORDER BY total DESC""")
 def console_status_value(spark, folder):
-    return rounded(reports.console_report(reconciliation(spark, folder))["status_value"], "total", "media")
+    return rounded(ConsoleReport(reconciliation(spark, folder)).status_value(), "total", "media")
 
 
 @query("console_top_suppliers", "G1 D5 M12", REC + """
 SELECT supplier, count(*) AS count, round(sum(amount), 2) AS total FROM conciliacoes
 WHERE supplier IS NOT NULL GROUP BY supplier ORDER BY count DESC, supplier LIMIT 10""")
 def console_top_suppliers(spark, folder):
-    return rounded(reports.console_report(reconciliation(spark, folder))["top_suppliers"], "total")
+    return rounded(ConsoleReport(reconciliation(spark, folder)).top_suppliers(), "total")
 
 
 # Dashboard
@@ -60,21 +61,21 @@ def console_top_suppliers(spark, folder):
 @query("dashboard_status_value", "F4", REC + """
 SELECT status, round(sum(amount), 2) AS total FROM conciliacoes GROUP BY status ORDER BY total DESC""")
 def dashboard_status_value(spark, folder):
-    return rounded(reports.dashboard(reconciliation(spark, folder))["status_value"], "total")
+    return rounded(Dashboard(reconciliation(spark, folder)).status_value(), "total")
 
 
 @query("dashboard_top_suppliers", "G2", REC + """
 SELECT supplier, count(*) AS count, round(sum(amount), 2) AS total FROM conciliacoes
 WHERE supplier IS NOT NULL GROUP BY supplier ORDER BY sum(amount) DESC, supplier LIMIT 10""")
 def dashboard_top_suppliers(spark, folder):
-    return rounded(reports.dashboard(reconciliation(spark, folder))["top_suppliers"], "total")
+    return rounded(Dashboard(reconciliation(spark, folder)).top_suppliers(), "total")
 
 
 @query("dashboard_daily", "F9 E6 G9 M13", REC + """
 SELECT CAST(created_at AS DATE) AS data, count(*) AS quantidade, round(sum(amount), 2) AS valor
 FROM conciliacoes GROUP BY 1 ORDER BY 1""")
 def dashboard_daily(spark, folder):
-    return rounded(reports.dashboard(reconciliation(spark, folder))["daily"], "valor")
+    return rounded(Dashboard(reconciliation(spark, folder)).daily(), "valor")
 
 
 @query("dashboard_summary", "F15 E12", REC + """
@@ -83,7 +84,7 @@ SELECT count(*) AS total_registros, round(sum(amount), 2) AS total_valor,
        round(count(*) FILTER (WHERE status = 'MATCHED') / count(*) * 100, 4) AS taxa_match
 FROM conciliacoes""")
 def dashboard_summary(spark, folder):
-    summary = reports.dashboard(reconciliation(spark, folder))["summary"]
+    summary = Dashboard(reconciliation(spark, folder)).summary()
     return rounded(rounded(summary, "total_valor"), "taxa_match", digits=4)
 
 
@@ -107,46 +108,46 @@ def top_suppliers_by_sales(spark, folder):
 
 
 def study(spark, folder):
-    return reports.range_study(reconciliation(spark, folder), low=LOW, high=HIGH, large=LARGE)
+    return RangeStudy(reconciliation(spark, folder), low=LOW, high=HIGH, threshold=LARGE)
 
 
 @query("range_large", "D3 G5 C11", REC + f"""
 SELECT id, status, amount, supplier FROM conciliacoes WHERE amount > {LARGE} ORDER BY amount DESC, id LIMIT 5""")
 def range_large(spark, folder):
-    return study(spark, folder)["large"]
+    return study(spark, folder).large()
 
 
 @query("range_rows", "D4 G5", REC + f"""
 SELECT id, status, source, amount, supplier, created_at FROM conciliacoes
 WHERE {IN_RANGE} ORDER BY amount DESC, id LIMIT 20""")
 def range_rows(spark, folder):
-    return study(spark, folder)["rows"]
+    return study(spark, folder).rows()
 
 
 @query("range_totals", "F2 F1 D4", REC + f"""
 SELECT count(*) AS quantidade, round(sum(amount), 2) AS total, round(avg(amount), 2) AS media
 FROM conciliacoes WHERE {IN_RANGE}""")
 def range_totals(spark, folder):
-    return rounded(study(spark, folder)["totals"], "total", "media")
+    return rounded(study(spark, folder).totals(), "total", "media")
 
 
 @query("range_status", "F6", REC + f"""
 SELECT status, count(*) AS qtd, round(sum(amount), 2) AS total FROM conciliacoes
 WHERE {IN_RANGE} GROUP BY status ORDER BY qtd DESC""")
 def range_status(spark, folder):
-    return rounded(study(spark, folder)["status"], "total")
+    return rounded(study(spark, folder).status(), "total")
 
 
 @query("range_top_suppliers", "G3 D7", REC + f"""
 SELECT supplier, count(*) AS qtd, round(sum(amount), 2) AS total FROM conciliacoes
 WHERE {IN_RANGE} AND supplier IS NOT NULL GROUP BY supplier ORDER BY qtd DESC, supplier LIMIT 5""")
 def range_top_suppliers(spark, folder):
-    return rounded(study(spark, folder)["top_suppliers"], "total")
+    return rounded(study(spark, folder).top_suppliers(), "total")
 
 
 @query("range_slice", "G8 C10 M14", REC + f"SELECT * FROM conciliacoes WHERE {IN_RANGE} ORDER BY amount DESC, id")
 def range_slice(spark, folder):
-    return study(spark, folder)["slice"]
+    return study(spark, folder).slice()
 
 
 DESCRIBED = """
@@ -166,7 +167,7 @@ STATISTICS = ("mean", "std", "p25", "p50", "p75")
 
 @query("range_statistics", "F11", REC + described(["amount", "match_score"], f"(SELECT * FROM conciliacoes WHERE {IN_RANGE})"))
 def range_statistics(spark, folder):
-    return rounded(reports.slice_statistics(study(spark, folder)["slice"]), *STATISTICS, digits=4)
+    return rounded(study(spark, folder).statistics(), *STATISTICS, digits=4)
 
 
 @query("describe_lineitem", "F11", described(["l_quantity", "l_extendedprice", "l_discount", "l_tax"], "lineitem"))
@@ -179,7 +180,7 @@ def describe_lineitem(spark, folder):
 SELECT status, count(amount) AS count, round(sum(amount), 2) AS sum, round(avg(amount), 2) AS mean
 FROM conciliacoes WHERE status IS NOT NULL GROUP BY status""")
 def slice_by_status(spark, folder):
-    return rounded(reports.slice_groups(reconciliation(spark, folder))["status"], "sum", "mean")
+    return rounded(SliceReport(reconciliation(spark, folder)).status(), "sum", "mean")
 
 
 @query("slice_by_reason", "F8", REC + """
@@ -193,7 +194,7 @@ def slice_by_reason(spark, folder):
 @query("slice_largest", "G6", REC + """
 SELECT status, amount, supplier, match_reason FROM conciliacoes ORDER BY amount DESC, id LIMIT 5""")
 def slice_largest(spark, folder):
-    return reports.slice_groups(reconciliation(spark, folder))["largest"]
+    return SliceReport(reconciliation(spark, folder)).largest()
 
 
 @query("slice_unmatched", "F16 D2 D6", REC + """
@@ -202,7 +203,7 @@ SELECT count(*) FILTER (WHERE status = 'UNMATCHED') AS unmatched,
        count(*) FILTER (WHERE status IN ('UNMATCHED', 'UNMATCHED_MOVEMENT')) AS sem_match
 FROM conciliacoes""")
 def slice_unmatched(spark, folder):
-    return rounded(reports.slice_groups(reconciliation(spark, folder))["unmatched"], "unmatched_valor")
+    return rounded(SliceReport(reconciliation(spark, folder)).unmatched(), "unmatched_valor")
 
 
 # Filters
@@ -256,7 +257,7 @@ REC_COLUMNS = ("id", "run_id", "status", "source", "supplier", "amount", "create
 @query("profile_nulls", "F12", REC + " UNION ALL ".join(
     f"SELECT '{c}' AS \"column\", count(*) FILTER (WHERE {c} IS NULL) AS nulls FROM conciliacoes" for c in REC_COLUMNS))
 def profile_nulls(spark, folder):
-    return reports.profile(reconciliation(spark, folder))["nulls"]
+    return Profile(reconciliation(spark, folder)).nulls()
 
 
 @query("profile_distinct", "F13", REC + " UNION ALL ".join(
@@ -264,7 +265,7 @@ def profile_nulls(spark, folder):
     CASE WHEN count(DISTINCT {c}) <= 10 THEN string_agg(DISTINCT {c}, '|' ORDER BY {c}) END AS "values" FROM conciliacoes"""
     for c in ("run_id", "status", "source", "supplier", "match_reason")))
 def profile_distinct(spark, folder):
-    found = reports.profile(reconciliation(spark, folder))["distinct"]
+    found = Profile(reconciliation(spark, folder)).distinct()
     return found.withColumn("values", F.array_join("values", "|"))
 
 
@@ -272,19 +273,19 @@ def profile_distinct(spark, folder):
 SELECT match_reason, count(*) AS count FROM conciliacoes WHERE match_reason IS NOT NULL
 GROUP BY match_reason ORDER BY count DESC, match_reason""")
 def profile_reasons(spark, folder):
-    return reports.profile(reconciliation(spark, folder))["counts_match_reason"]
+    return Profile(reconciliation(spark, folder)).counts("match_reason")
 
 
 @query("profile_runs", "F10", REC + "SELECT run_id, count(*) AS count FROM conciliacoes GROUP BY run_id")
 def profile_runs(spark, folder):
-    return reports.profile(reconciliation(spark, folder))["counts_run_id"]
+    return Profile(reconciliation(spark, folder)).counts("run_id")
 
 
 @query("profile_top_suppliers", "G4", REC + """
 SELECT supplier, count(*) AS count FROM conciliacoes WHERE supplier IS NOT NULL
 GROUP BY supplier ORDER BY count DESC, supplier LIMIT 10""")
 def profile_top_suppliers(spark, folder):
-    return reports.profile(reconciliation(spark, folder))["top_suppliers"]
+    return Profile(reconciliation(spark, folder)).top_suppliers()
 
 
 @query("profile_by_status", "F7 M15", REC + """
@@ -292,12 +293,12 @@ SELECT status, count(amount) AS count, round(sum(amount), 2) AS sum, round(avg(a
        min(amount) AS min, max(amount) AS max
 FROM conciliacoes WHERE status IS NOT NULL GROUP BY status""")
 def profile_by_status(spark, folder):
-    return rounded(reports.profile(reconciliation(spark, folder))["by_status"], "sum", "mean")
+    return rounded(Profile(reconciliation(spark, folder)).by_status(), "sum", "mean")
 
 
 @query("profile_head", "G7", REC + "SELECT * FROM conciliacoes ORDER BY id LIMIT 5")
 def profile_head(spark, folder):
-    return reports.profile(reconciliation(spark, folder))["head"]
+    return Profile(reconciliation(spark, folder)).head()
 
 
 # Distinct, sorts, ad hoc SQL
@@ -425,12 +426,12 @@ SELECT count(*) FILTER (WHERE contains(value, 'TABLE') AND contains(value, 'publ
        count(*) FILTER (WHERE contains(value, 'FK CONSTRAINT')) AS foreign_keys
 FROM lines""")
 def listing_objects(spark, folder):
-    return listing.kind_counts(listing_lines(spark, folder))
+    return DumpReport(listing_lines(spark, folder)).objects()
 
 
 @query("listing_tables", "F19 E14 G9", LISTING_SQL + "SELECT name FROM names ORDER BY name")
 def listing_tables(spark, folder):
-    return listing.object_names(listing_lines(spark, folder)).orderBy("name")
+    return DumpReport(listing_lines(spark, folder)).tables()
 
 
 @query("listing_mentions", "H1 M16", LISTING_SQL + """
@@ -439,11 +440,11 @@ SELECT name,
        count(*) FILTER (WHERE contains(value, name) AND contains(value, 'FK CONSTRAINT')) AS foreign_keys
 FROM names CROSS JOIN lines GROUP BY name ORDER BY name""")
 def listing_mentions(spark, folder):
-    return reports.dump_report(listing_lines(spark, folder))["mentions"]
+    return DumpReport(listing_lines(spark, folder)).mentions()
 
 
 @query("listing_header", "M16", LISTING_SQL + """
 SELECT n, value FROM (SELECT n, ';' || value AS value FROM lines ORDER BY n LIMIT 20) WHERE starts_with(value, ';') ORDER BY n""")
 def listing_header(spark, folder):
     lines = listing_lines(spark, folder).withColumn("value", F.concat(F.lit(";"), "value"))
-    return listing.header(lines, "n")
+    return DumpReport(lines).header()

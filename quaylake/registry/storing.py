@@ -13,7 +13,7 @@ from quaylake.registry.base import query, rounded, table
 from quaylake.registry.inputs import LISTING_SQL, RECONCILIATION_SQL, listing_lines, reconciliation
 from quaylake.operators.grouping import within
 from quaylake.operators.ranking import sorted_by_amount
-from quaylake.plans import reports
+from quaylake.plans.reports import ConsoleReport, SliceReport
 from quaylake.sources import readers, writers
 from quaylake.session import new_folder
 
@@ -139,7 +139,7 @@ SELECT status, round(sum(amount), 2) AS total, round(avg(amount), 2) AS media FR
 def table_as_select(spark, folder):
     name = new_table("conciliacoes")
     stored = writers.replace_table(reconciliation(spark, folder), name, new_folder(spark, name))
-    return rounded(reports.console_report(stored)["status_value"], "total", "media")
+    return rounded(ConsoleReport(stored).status_value(), "total", "media")
 
 
 @query("view_of_query", "B7", "SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus = 'O'")
@@ -175,4 +175,4 @@ def exported_slice(spark, folder):
     part = within(reconciliation(spark, folder), "amount", 100000, 200000)
     writers.export_csv(sorted_by_amount(part, "amount", ["id"]), path)
     exported = readers.csv_table(spark, path, readers.NULL_TEXT)
-    return rounded(reports.slice_groups(exported)["source"], "sum")
+    return rounded(SliceReport(exported).source(), "sum")

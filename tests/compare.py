@@ -52,9 +52,11 @@ def kinds(rows: list[tuple]) -> list[str]:
     return found
 
 
-def difference(spark, con, folder: str, name: str) -> str | None:
+def difference(spark, con, folder: str, name: str, sizes: dict | None = None) -> str | None:
     df = queries()[name](spark, folder)
     got = [tuple(r) for r in df.collect()]
+    if sizes is not None:
+        sizes[name] = (len(got), len(df.columns))
     sql = oracle_sql().get(name)
     if sql is None:
         return None
@@ -78,15 +80,15 @@ def main() -> int:
     folder = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     wanted = sys.argv[2:] or list(queries())
     spark, con = local_session(), database(folder)
-    failed = 0
+    failed, sizes = 0, {}
     for name in wanted:
         start = time.time()
         try:
-            problem = difference(spark, con, folder, name)
+            problem = difference(spark, con, folder, name, sizes)
         except Exception as error:  # noqa: BLE001 - report and go on
             problem = f"{type(error).__name__}: {str(error)[:600]}"
         failed += problem is not None
-        print(f"{'FAIL' if problem else 'ok':5}{time.time() - start:7.2f}s {name} {problem or ''}", flush=True)
+        print(f"{'FAIL' if problem else 'ok':5}{time.time() - start:7.2f}s {name} {sizes.get(name, '')} {problem or ''}", flush=True)
     print(f"{len(wanted) - failed} of {len(wanted)} agree")
     return 1 if failed else 0
 
