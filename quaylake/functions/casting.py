@@ -8,9 +8,14 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def literal_name(name: str) -> str:
+    """A column name to pass to `select`, also when it holds dots or slashes."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def quoted(name: str) -> Column:
-    """Column by its literal name, also when the name holds dots or slashes."""
-    return F.col("`" + name.replace("`", "``") + "`")
+    """Column by its literal name."""
+    return F.col(literal_name(name))
 
 
 def strict_casts(types: Mapping[str, str]) -> list[Column]:

@@ -89,11 +89,13 @@ def mention_counts(
     lengths = [r["n"] for r in names.select(F.length("name").alias("n")).distinct().collect()]
     relevant = reduce(lambda a, b: a | b, [m.kind.test(F.col("value")) for m in mentions.values()])
     offered = substrings(lines.filter(relevant).select("value"), lengths)
+    firsts = {column: first_mention(m) for column, m in mentions.items()}
     if fits_broadcast(names, broadcast_limit):
+        # Without a filter on the mentions: it would be pushed below the join and run per substring.
         offered = offered.join(F.broadcast(names), "name", "left_semi")
-    hits = offered.select(
-        "name", *[first_mention(m).cast("int").alias(column) for column, m in mentions.items()]
-    ).filter(reduce(lambda a, b: a | b, [F.col(column) == 1 for column in mentions]))
+    else:
+        offered = offered.filter(reduce(lambda a, b: a | b, firsts.values()))
+    hits = offered.select("name", *[found.cast("int").alias(column) for column, found in firsts.items()])
     counted = hits.groupBy("name").agg(*[F.sum(column).alias(column) for column in mentions])
     return names.join(counted, "name", "left").select(
         "name", *[F.coalesce(F.col(column), F.lit(0)).alias(column) for column in mentions]

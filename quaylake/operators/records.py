@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quaylake.functions.casting import quoted
+from quaylake.functions.casting import literal_name, quoted
 from quaylake.session import BROADCAST_BYTES, broadcast_if_small, materialize
 
 # Envelope members that may hold the records, in order of preference.
@@ -48,11 +48,11 @@ def with_records(pages: DataFrame, mode: str = STRICT, payload: str = "payload")
 
     strict: an array payload, else the first envelope member that is a list, else the first
     member in document order that is a list of objects only; elements other than objects go.
-    lenient: the first envelope member that is a non-empty list.
+    lenient: an array payload, else the first envelope member that is a non-empty list.
     """
     document = F.col("_document")
     if mode == LENIENT:
-        lists = [as_list(document, member_path(k)) for k in LENIENT_ENVELOPE_KEYS]
+        lists = [as_list(document), *[as_list(document, member_path(k)) for k in LENIENT_ENVELOPE_KEYS]]
         found = [F.when(F.size(a) > 0, F.filter(a, is_object)) for a in lists]
     else:
         # A map keeps the members in document order; a variant would sort them.
@@ -157,7 +157,7 @@ def kept_pages(
     return (
         numbered.join(broadcast_if_small(bounds, broadcast_limit), same_run)
         .filter(F.col("page") <= F.coalesce(F.col("last_page"), F.col("page")))
-        .select(*[quoted(c) for c in pages.columns])
+        .select(*[literal_name(c) for c in pages.columns])
     )
 
 
@@ -171,7 +171,7 @@ def page_sequence(
 ) -> DataFrame:
     """Records of the pages a sequential reader would have kept: runs, page, record."""
     kept = kept_pages(pages, page_size, max_pages, runs, mode, broadcast_limit)
-    return page_records(kept, mode).select(*[quoted(r) for r in runs], "page", "record")
+    return page_records(kept, mode).select(*[literal_name(r) for r in runs], "page", "record")
 
 
 def union_by_name(frames: Sequence[DataFrame]) -> DataFrame:
@@ -204,10 +204,9 @@ def select_fields(records: DataFrame, fields: Mapping[str, str], keep: Sequence[
 
     A missing field, a field of another kind, or a scalar where a record is expected is null.
     """
-    return records.select(
-        *[quoted(k) for k in keep],
-        F.try_variant_get("record", "$", struct_type(fields)).alias("_fields"),
-    ).select(*[quoted(k) for k in keep], "_fields.*")
+    kept = [literal_name(k) for k in keep]
+    read = F.try_variant_get("record", "$", struct_type(fields)).alias("_fields")
+    return records.select(*kept, read).select(*kept, "_fields.*")
 
 
 def inferred_fields(records: DataFrame) -> dict[str, str]:

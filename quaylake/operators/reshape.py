@@ -7,41 +7,36 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quaylake.functions.casting import quoted, to_timestamp_or_null
+from quaylake.functions.casting import literal_name, quoted, to_timestamp_or_null
 from quaylake.functions.measures import scaled
 
 
 def expand_record(df: DataFrame, column: str, fields: Mapping[str, str]) -> DataFrame:
     """Fields of a struct column as columns at the end (field -> new name); the struct goes."""
-    rest = [quoted(c) for c in df.columns if c != column]
-    return df.select(*rest, *[quoted(column)[f].alias(name) for f, name in fields.items()])
+    rest = [literal_name(c) for c in df.columns if c != column]
+    record = literal_name(column)
+    return df.select(*rest, *[F.col(f"{record}.{literal_name(f)}").alias(n) for f, n in fields.items()])
 
 
 def explode_list(df: DataFrame, column: str) -> DataFrame:
     """One row per element; an empty or null list leaves one row with null."""
-    others = [c for c in df.columns if c != column]
-    exploded = F.explode_outer(quoted(column)).alias(column)
-    return df.select(*[quoted(c) for c in others], exploded).select(*[quoted(c) for c in df.columns])
+    return df.withColumn(column, F.explode_outer(quoted(column)))
 
 
 def rename_columns(df: DataFrame, names: Mapping[str, str]) -> DataFrame:
     """Rename by map; names that the frame lacks are ignored."""
-    return df.select(*[quoted(c).alias(names.get(c, c)) for c in df.columns])
+    return df.withColumnsRenamed(dict(names))
 
 
 def reorder_columns(df: DataFrame, first: Sequence[str]) -> DataFrame:
     """The listed columns that exist, then the rest in their order."""
-    listed = [c for c in first if c in df.columns]
-    return df.select(*[quoted(c) for c in listed + [c for c in df.columns if c not in listed]])
+    given = df.columns
+    listed = [c for c in first if c in given]
+    return df.select(*[literal_name(c) for c in listed + [c for c in given if c not in listed]])
 
 
 def prefix_columns(df: DataFrame, prefix: str) -> DataFrame:
-    return df.select(*[quoted(c).alias(prefix + c) for c in df.columns])
-
-
-def convert_columns(df: DataFrame, changes: Mapping[str, Column]) -> DataFrame:
-    """Replace columns by expressions, in place."""
-    return df.select(*[changes.get(c, quoted(c)).alias(c) for c in df.columns])
+    return df.withColumnsRenamed({c: prefix + c for c in df.columns})
 
 
 def journey_measures(df: DataFrame) -> DataFrame:

@@ -14,8 +14,7 @@ from quaylake.operators.records import (
     LENIENT, MAX_PAGES, PAGE_SIZE, inferred_fields, page_sequence, select_fields, unwrap_row,
 )
 from quaylake.operators.reshape import (
-    convert_columns, expand_record, explode_list, journey_measures, prefix_columns,
-    rename_columns, reorder_columns,
+    expand_record, explode_list, journey_measures, prefix_columns, rename_columns, reorder_columns,
 )
 from quaylake.operators.snapshots import MAX_SNAPSHOTS, newest_snapshots
 from quaylake.plans.endpoints import ENDPOINTS, Endpoint
@@ -32,8 +31,10 @@ def flatten(records: DataFrame, endpoint: Endpoint) -> DataFrame:
     changes = {c: to_number(quoted(c)) for c in endpoint.numbers}
     changes |= {c: to_date_or_null(quoted(c)) for c in endpoint.dates}
     changes |= {c: to_timestamp_or_null(quoted(c)) for c in endpoint.timestamps}
-    flat = rename_columns(convert_columns(flat, changes), endpoint.names)
-    return prefix_columns(reorder_columns(flat, endpoint.order), endpoint.prefix)
+    flat = rename_columns(flat.withColumns(changes) if changes else flat, endpoint.names)
+    if endpoint.order:
+        flat = reorder_columns(flat, endpoint.order)
+    return prefix_columns(flat, endpoint.prefix) if endpoint.prefix else flat
 
 
 def bronze_table(

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quaylake.registry.base import table
+from quaylake.session import new_folder
+from quaylake.sources.writers import overwrite_parquet
 
 RECORDS_PER_PAGE = 500
 
@@ -56,13 +58,14 @@ def landed(
     rows: DataFrame, key: str, record: Column, page: Column | None = None, runs: dict[str, Column] | None = None,
     status: Column | None = None,
 ) -> DataFrame:
-    """Pages of JSON texts, all under `content`. The key is unique and gives the page, so a
-    page gathers at most RECORDS_PER_PAGE texts."""
+    """Pages of JSON texts, all under `content`, landed in the shared folder. The key is unique
+    and gives the page, so a page gathers at most RECORDS_PER_PAGE texts."""
     groups = [c.alias(name) for name, c in (runs or {}).items()]
     number = (page if page is not None else page_of(key)).alias("page")
     answered = (status if status is not None else F.lit(200)).cast("int")
     content = F.concat(F.lit('{"content":['), F.array_join(F.collect_list(record), ","), F.lit("]}"))
-    return rows.groupBy(*groups, number).agg(answered.alias("status"), content.alias("payload"))
+    pages = rows.groupBy(*groups, number).agg(answered.alias("status"), content.alias("payload"))
+    return overwrite_parquet(pages, new_folder(rows.sparkSession, "pages"))
 
 
 def order_runs(spark: SparkSession, folder: str) -> tuple[DataFrame, dict[str, Column], Column]:

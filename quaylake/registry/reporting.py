@@ -383,7 +383,7 @@ def file_kinds(spark, folder):
     lang = F.col("lang")
     prefix = F.when(lang == "en", "data-").when(lang == "fr", "df_").otherwise(F.concat(lang, F.lit("-")))
     files = table(spark, folder, "documents").select(
-        F.concat(F.lit("/files/"), prefix, "doc_id", F.lit(".csv")).alias("path"),
+        F.concat(prefix, "doc_id", F.lit(".csv")).alias("file"),
         F.octet_length("text").alias("length"),
     )
     return inventory(files)

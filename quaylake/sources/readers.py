@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.errors import PySparkException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -68,11 +69,10 @@ def csv_folder(
     A file that cannot be read (an empty one, for instance) is noted and the others go on.
     """
     loaded = CsvFolder()
-    listed = file_listing(spark, folder, "*.csv").select("path").collect()  # one row per file
-    for path in sorted(row["path"] for row in listed):
-        name = path.rsplit("/", 1)[-1]
+    files = spark.read.option("pathGlobFilter", "*.csv").text(folder).inputFiles()
+    for name in sorted(file_name(uri) for uri in files):
         try:
-            df = csv_table(spark, path, null_text, (schemas or {}).get(name))
+            df = csv_table(spark, f"{folder}/{name}", null_text, (schemas or {}).get(name))
         except PySparkException as error:
             loaded.errors[name] = str(error)
             continue
@@ -129,9 +129,19 @@ def text_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
 
 
 def file_listing(spark: SparkSession, folder: str, pattern: str = "*") -> DataFrame:
-    """Path and length of the files of a folder; their content is not read."""
+    """File name and length of the files of a folder; their content is not read.
+
+    The names come from the listing that Spark makes for every read; lengths are those of the
+    files it would scan, which leaves out empty ones.
+    """
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
-    return files.select("path", "length")
+    names = spark.createDataFrame([(file_name(p),) for p in files.inputFiles()], "file string")
+    lengths = files.select(F.element_at(F.split("path", "/"), -1).alias("file"), "length")
+    return names.join(lengths, "file", "left").select("file", F.coalesce("length", F.lit(0)).alias("length"))
+
+
+def file_name(uri: str) -> str:
+    return unquote(uri.rsplit("/", 1)[-1])
 
 
 def file_inventory(spark: SparkSession, folder: str, pattern: str = "*.csv") -> DataFrame:
@@ -140,10 +150,9 @@ def file_inventory(spark: SparkSession, folder: str, pattern: str = "*.csv") ->
 
 
 def inventory(files: DataFrame) -> DataFrame:
-    name = F.element_at(F.split("path", "/"), -1)
     return files.select(
-        prefix_category(name, FILE_KINDS, OTHER_FILE).alias("kind"),
-        name.alias("file"),
+        prefix_category(F.col("file"), FILE_KINDS, OTHER_FILE).alias("kind"),
+        "file",
         F.round(kilobytes(F.col("length")), 1).alias("size_kb"),
     ).orderBy("file")
 
@@ -151,13 +160,9 @@ def inventory(files: DataFrame) -> DataFrame:
 def expected_files(spark: SparkSession, folder: str, names: Sequence[str]) -> DataFrame:
     """For a fixed list of files: whether each exists, and its size in KB and MB."""
     wanted = spark.createDataFrame([(n,) for n in names], "file string")
-    found = file_listing(spark, folder).select(
-        F.element_at(F.split("path", "/"), -1).alias("file"), "length"
-    )
-    present: Column = F.col("length").isNotNull()
-    return wanted.join(found, "file", "left").select(
+    return wanted.join(file_listing(spark, folder), "file", "left").select(
         "file",
-        present.alias("exists"),
+        F.col("length").isNotNull().alias("exists"),
         F.round(kilobytes(F.col("length")), 1).alias("size_kb"),
         F.round(megabytes(F.col("length")), 2).alias("size_mb"),
     )

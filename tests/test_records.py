@@ -1,0 +1,223 @@
+"""Record extraction, paging rules and reshaping on hand-made pages."""
+
+from __future__ import annotations
+
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from quaylake.operators import records, reshape
+
+PAGE = "page int, status int, payload string"
+
+
+def pages_of(spark, payloads, status=None):
+    status = status or {}
+    rows = [
+        (i + 1, status.get(i + 1, 200), p if isinstance(p, str) or p is None else json.dumps(p))
+        for i, p in enumerate(payloads)
+    ]
+    return spark.createDataFrame(rows, PAGE)
+
+
+def ids(frame):
+    fields = records.select_fields(frame, {"id": "bigint"}, keep=["page"])
+    return sorted(tuple(r) for r in fields.collect())
+
+
+def objects(n):
+    return [{"id": i} for i in range(n)]
+
+
+# payload -> ids that are extracted
+ENVELOPES = [
+    ([{"id": 1}, 2, "x", None, [], {"id": 3}], [1, 3]),
+    ({"content": [{"id": 1}], "data": [{"id": 2}]}, [1]),
+    ({"content": [], "data": [{"id": 2}]}, []),
+    ({"content": None, "data": [{"id": 2}]}, [2]),
+    ({"content": {"id": 9}, "results": [{"id": 2}, 7]}, [2]),
+    ({"rows": [{"id": 4}]}, [4]),
+    ({"items": [{"id": 5}], "aaa": [{"id": 6}]}, [5]),
+    ({"z": 1, "late": [{"id": 7}], "early": [{"id": 8}]}, [7]),
+    ({"mixed": [{"id": 1}, 2], "b": [{"id": 9}]}, [9]),
+    ({"empty": [], "b": [{"id": 9}]}, []),
+    ({"a b'c": [{"id": 9}]}, [9]),
+    ({"nothing": 1}, []),
+    ("null", []),
+    ('"text"', []),
+    ("12", []),
+    ("not json", []),
+    (None, []),
+]
+
+
+def brute_records(payload):
+    """The extraction rule on parsed JSON, for comparison."""
+    if isinstance(payload, list):
+        found = payload
+    elif isinstance(payload, dict):
+        named = [payload.get(k) for k in records.ENVELOPE_KEYS]
+        whole = [v for v in payload.values() if isinstance(v, list) and all(isinstance(x, dict) for x in v)]
+        found = next((v for v in [*named, *whole[:1]] if isinstance(v, list)), [])
+    else:
+        found = []
+    return [x["id"] for x in found if isinstance(x, dict)]
+
+
+def test_envelopes(spark):
+    got = ids(records.page_records(pages_of(spark, [p for p, _ in ENVELOPES])))
+    assert got == sorted((i + 1, n) for i, (_, want) in enumerate(ENVELOPES) for n in want)
+    for payload, want in ENVELOPES:
+        if not isinstance(payload, str) and payload is not None:
+            assert brute_records(payload) == want
+
+
+def test_unreadable_pages_are_marked(spark):
+    marked = records.with_records(pages_of(spark, ["{", None, "null", "[]"])).orderBy("page")
+    assert [r["unreadable"] for r in marked.collect()] == [True, True, False, False]
+
+
+def test_payload_is_parsed_once_per_pass(spark, folder):
+    """No filter with a copy of the parse may appear below the explode."""
+    pages_of(spark, [objects(2)]).write.parquet(folder)
+    plan = records.page_records(spark.read.parquet(folder))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("parseJson") == 1
+
+
+@pytest.mark.parametrize(
+    "sizes, page_size, max_pages, kept",
+    [
+        ([3, 3, 2, 3], 3, 1000, [1, 2, 3]),
+        ([3, 0, 3], 3, 1000, [1]),
+        ([0, 3], 3, 1000, []),
+        ([3, 3, 3], 3, 1000, [1, 2, 3]),
+        ([3, 3, 3], 3, 2, [1, 2]),
+        ([3, 3, 3], 3, None, [1, 2, 3]),
+        ([5, 2], 3, 1000, [1, 2]),
+    ],
+)
+def test_reading_ends_with_the_first_short_page(spark, sizes, page_size, max_pages, kept):
+    pages = pages_of(spark, [objects(n) for n in sizes])
+    got = records.page_sequence(pages, page_size, max_pages)
+    assert sorted({r["page"] for r in got.select("page").collect()}) == kept
+    assert got.count() == sum(sizes[p - 1] for p in kept)
+
+
+def test_default_limits(spark):
+    """A thousand and one full pages: the last one is not asked for."""
+    pages = spark.range(1, 1002).select(
+        F.col("id").cast("int").alias("page"), F.lit(200).alias("status"), F.lit('[{"id":1}]').alias("payload")
+    )
+    assert records.page_sequence(pages, page_size=1).count() == 1000
+
+
+def test_refused_page_fails_a_strict_read(spark):
+    pages = pages_of(spark, [objects(2), objects(2), objects(1)], {2: 500})
+    with pytest.raises(Exception, match="page 2 could not be read"):
+        records.page_sequence(pages, 2).collect()
+
+
+def test_refused_page_after_the_end_is_never_asked_for(spark):
+    pages = pages_of(spark, [objects(2), objects(1), objects(2), "{"], {3: 500})
+    assert records.page_sequence(pages, 2).count() == 3
+
+
+def test_refused_page_ends_a_lenient_read(spark):
+    pages = pages_of(spark, [objects(2), objects(2), objects(2)], {2: 404})
+    assert records.page_sequence(pages, 2, mode=records.LENIENT).count() == 2
+
+
+@pytest.mark.parametrize("mode", [records.STRICT, records.LENIENT])
+def test_unreadable_page_fails(spark, mode):
+    pages = pages_of(spark, [{"data": objects(2)}, "{"])
+    with pytest.raises(Exception, match="page 2 could not be read"):
+        records.page_sequence(pages, 2, mode=mode).collect()
+
+
+def test_lenient_takes_the_first_filled_member(spark):
+    pages = pages_of(spark, [{"content": [], "data": [{"id": 1}]}, {"rows": [{"id": 2}]}, {"results": [{"id": 3}]}])
+    assert ids(records.page_records(pages, records.LENIENT)) == [(1, 1), (3, 3)]
+
+
+@pytest.mark.parametrize("limit", [records.BROADCAST_BYTES, 0])
+def test_runs_are_read_separately(spark, limit):
+    """With and without a broadcast; a run without a name is a run of its own."""
+    rows, want = [], []
+    for run, sizes, kept in [("a", [2, 1, 2], 2), ("b", [2, 2, 2], 3), (None, [1, 2], 1)]:
+        for i, n in enumerate(sizes):
+            rows.append((run, i + 1, 200, json.dumps(objects(n))))
+            want += [(run, i + 1)] * (n if i < kept else 0)
+    pages = spark.createDataFrame(rows, f"run string, {PAGE}")
+    got = records.page_sequence(pages, 2, runs=["run"], broadcast_limit=limit)
+    assert sorted(((r["run"], r["page"]) for r in got.collect()), key=repr) == sorted(want, key=repr)
+
+
+def test_hot_run(spark):
+    """A third of all pages in one run."""
+    hot = [("hot", p, 200, '[{"id":1}]') for p in range(1, 101)]
+    cold = [(f"r{p}", 1, 200, '[{"id":1}]') for p in range(200)]
+    pages = spark.createDataFrame(hot + cold, f"run string, {PAGE}")
+    for limit in (records.BROADCAST_BYTES, 0):
+        assert records.page_sequence(pages, 1, None, ["run"], broadcast_limit=limit).count() == 300
+
+
+def test_unwrapping(spark):
+    pages = pages_of(spark, [[{"row": {"id": 1}}, {"id": 2}, {"row": [3], "id": 3}, {"row": None, "id": 4}]])
+    found = records.page_records(pages)
+    assert [i for _, i in ids(records.unwrap_row(found))] == [1, 2, 3, 4]
+    strict = records.select_fields(records.unwrap_row(found, strict=True), {"id": "bigint"}).collect()
+    assert sorted((r["id"] for r in strict), key=repr) == [1, None, None, None]
+
+
+def test_fields_of_another_kind_are_null(spark):
+    pages = pages_of(spark, [[{"id": "x", "code": 5, "v": 3}, {"id": "7", "code": {"a": 1}, "v": {"k": 1}}, {}]])
+    fields = {"id": "bigint", "code": "string", "v": "struct<k:int>", "absent": "double"}
+    got = records.select_fields(records.page_records(pages), fields).collect()
+    assert [tuple(r) for r in got] == [(None, "5", None, None), (7, '{"a":1}', (1,), None), (None, None, None, None)]
+
+
+def test_repeated_keys_keep_the_last_value(spark):
+    pages = pages_of(spark, ['[{"id":1,"id":2}]'])
+    assert ids(records.page_records(pages)) == [(1, 2)]
+
+
+def test_inferred_fields(spark):
+    pages = pages_of(spark, [[{"a": 1, "b": 1.5, "n": None}, {"b": 2, "c": {"VOID": [1]}, "void": "x"}]])
+    assert records.inferred_fields(records.page_records(pages)) == {
+        "a": "bigint", "b": "double", "c": "struct<VOID:array<bigint>>", "n": "string", "void": "string",
+    }
+
+
+def test_union_by_name(spark):
+    got = records.union_by_name([
+        spark.createDataFrame([(1, "x")], "a int, b string"),
+        spark.createDataFrame([(2.5, 2)], "c double, a int"),
+    ])
+    assert [tuple(r) for r in got.collect()] == [(1, "x", None), (2, None, 2.5)]
+
+
+def test_explode_keeps_empty_and_null_lists(spark):
+    df = spark.createDataFrame([(1, [1, 2], [5]), (2, [], [6, 7]), (3, None, [])], "id int, `a.b` array<int>, c array<int>")
+    once = reshape.explode_list(df, "a.b")
+    assert once.columns == ["id", "a.b", "c"]
+    twice = reshape.explode_list(once, "c")
+    assert [tuple(r) for r in twice.collect()] == [
+        (1, 1, 5), (1, 2, 5), (2, None, 6), (2, None, 7), (3, None, None),
+    ]
+
+
+def test_names_and_order(spark):
+    df = spark.createDataFrame([(1, 2, 3)], "id int, make int, `x.y` int")
+    renamed = reshape.rename_columns(df, {"make": "MARCA/MODELO", "id": "ID", "gone": "z"})
+    assert renamed.columns == ["ID", "MARCA/MODELO", "x.y"]
+    ordered = reshape.reorder_columns(renamed, ["x.y", "gone", "ID"])
+    assert ordered.columns == ["x.y", "ID", "MARCA/MODELO"]
+    prefixed = reshape.prefix_columns(ordered, "row.")
+    assert prefixed.columns == ["row.x.y", "row.ID", "row.MARCA/MODELO"]
+    assert tuple(prefixed.first()) == (3, 1, 2)
+
+
+def test_journey_without_sources(spark):
+    got = reshape.journey_measures(spark.createDataFrame([(1,)], "id int")).first()
+    assert tuple(got) == (1, None, None, None, None)
