@@ -13,6 +13,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quaylake.functions.casting import literal_name, quoted
 from quaylake.session import BROADCAST_BYTES, broadcast_if_small, materialize
@@ -209,16 +210,19 @@ def select_fields(records: DataFrame, fields: Mapping[str, str], keep: Sequence[
     return records.select(*kept, read).select(*kept, "_fields.*")
 
 
-def inferred_fields(records: DataFrame) -> dict[str, str]:
-    """All keys seen in the records with a type that holds every value.
+def inferred_schema(records: DataFrame) -> T.StructType:
+    """All keys seen in the records, each with a type that holds every value.
 
     Runs one aggregation; only the schema text comes back. Numbers with a fraction are read as
-    double and keys that are always null as string.
+    double, keys that are always null as string; values of unlike kinds stay `VARIANT`.
     """
     text = records.agg(F.schema_of_variant_agg("record").alias("schema")).first()["schema"]
     if text is None or not text.startswith("OBJECT<"):
-        return {}
+        return T.StructType()
     text = re.sub(r"DECIMAL\(\d+,\s*\d+\)", "DOUBLE", text)
     text = re.sub(r"\bVOID\b(?!`|:)", "STRING", text).replace("OBJECT<", "STRUCT<")
-    schema = records.sparkSession.createDataFrame([], f"record {text}").schema["record"].dataType
+    return records.sparkSession.createDataFrame([], f"record {text}").schema["record"].dataType
+
+
+def field_types(schema: T.StructType) -> dict[str, str]:
     return {field.name: field.dataType.simpleString() for field in schema.fields}

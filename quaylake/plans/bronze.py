@@ -7,11 +7,13 @@ from dataclasses import replace
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from quaylake.functions.casting import quoted, to_date_or_null, to_number, to_timestamp_or_null
 from quaylake.operators.profiling import dataset_summary
 from quaylake.operators.records import (
-    LENIENT, MAX_PAGES, PAGE_SIZE, inferred_fields, page_sequence, select_fields, unwrap_row,
+    LENIENT, MAX_PAGES, PAGE_SIZE, field_types, inferred_schema, page_sequence, select_fields, struct_type,
+    unwrap_row,
 )
 from quaylake.operators.reshape import (
     expand_record, explode_list, journey_measures, prefix_columns, rename_columns, reorder_columns,
@@ -80,11 +82,17 @@ def driver_journeys(
 
 
 def journey_fields(records: DataFrame) -> dict[str, str]:
-    """All keys seen, with the two records read for the members that become columns."""
-    fields = inferred_fields(records)
+    """All keys seen, with the two records read for the members that become columns.
+
+    A member keeps its type where every value of the record is an object, and is text elsewhere.
+    """
+    schema = inferred_schema(records)
+    fields = field_types(schema)
     for column, names in JOURNEY_RECORDS.items():
         if column in fields:
-            fields[column] = "struct<" + ",".join(f"{n}:string" for n in names) + ">"
+            seen = schema[column].dataType
+            members = field_types(seen) if isinstance(seen, StructType) else {}
+            fields[column] = struct_type({n: members.get(n, "string") for n in names})
     return fields
 
 

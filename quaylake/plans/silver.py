@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from quaylake.functions.casting import quoted, strict_casts
 from quaylake.functions.text import clean_text
 from quaylake.functions.time import iso_to_timestamp, processing_time
+from quaylake.operators.filters import keys_present
 
 # Columns of the two silver tables and their types, in order.
 SUPERVISOR_TYPES = {
@@ -76,7 +77,7 @@ def invoices(bronze: DataFrame, as_of: datetime | None = None) -> DataFrame:
     does not travel through its shuffle.
     """
     measures = {name: INVOICE_MEASURE_TYPE for name in INVOICE_MEASURES}
-    treated = bronze.dropna(how="any", subset=list(INVOICE_KEYS)).select(
+    treated = keys_present(bronze, list(INVOICE_KEYS)).select(
         *strict_casts({**INVOICE_TYPES, **measures}),
         *[clean_text(quoted(name)).alias(name) for name in INVOICE_TEXTS],
         iso_to_timestamp(quoted("_ingestion_ts_utc")).alias("_ingestion_ts_utc"),

@@ -242,7 +242,7 @@ def bronze_vehicle_daily(spark, folder):
 
 
 @query("bronze_driver_journeys", "M4 A3 A4 C4 C12 E7", LENIENT_SQL.replace("AS n,", "AS unused, count(*) AS n,").replace(f"n < {SEQUENCE_SIZE}", "n < 500") + """
-SELECT o_orderkey AS journey, CAST(o_custkey AS VARCHAR) AS motorista_id, o_orderpriority AS motorista_nome,
+SELECT o_orderkey AS journey, o_custkey AS motorista_id, o_orderpriority AS motorista_nome,
        CAST(NULL AS VARCHAR) AS veiculo_id, CASE WHEN o_orderstatus <> 'P' THEN o_orderstatus END AS veiculo_codigo,
        o_orderdate AS entrada, CAST(NULL AS TIMESTAMP) AS saida, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') AS "enterTime",
        o_custkey AS duration, o_totalprice AS distance, o_custkey / 60 AS duracao_minutos, o_totalprice / 1000 AS distancia_km

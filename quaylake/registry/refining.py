@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quaylake.functions import casting, text, time
+from quaylake.operators import filters
 from quaylake.plans import silver
 from quaylake.registry.base import query, table, without_zone
 
@@ -110,13 +111,13 @@ SELECT id, supplier, match_reason FROM (
   SELECT o_orderkey AS id, CASE WHEN o_orderstatus <> 'P' THEN o_custkey END AS supplier,
          CASE WHEN o_orderpriority <> '5-LOW' THEN o_orderpriority END AS match_reason FROM orders)
 WHERE id IS NOT NULL AND supplier IS NOT NULL AND match_reason IS NOT NULL""")
-def keys_present(spark, folder):
+def all_keys_present(spark, folder):
     rows = table(spark, folder, "orders").select(
         F.col("o_orderkey").alias("id"),
         F.when(F.col("o_orderstatus") != "P", F.col("o_custkey")).alias("supplier"),
         F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_orderpriority")).alias("match_reason"),
     )
-    return rows.dropna(how="any", subset=["id", "supplier", "match_reason"])
+    return filters.keys_present(rows, ["id", "supplier", "match_reason"])
 
 
 # Silver

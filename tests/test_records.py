@@ -182,9 +182,9 @@ def test_repeated_keys_keep_the_last_value(spark):
     assert ids(records.page_records(pages)) == [(1, 2)]
 
 
-def test_inferred_fields(spark):
+def test_inferred_schema(spark):
     pages = pages_of(spark, [[{"a": 1, "b": 1.5, "n": None}, {"b": 2, "c": {"VOID": [1]}, "void": "x"}]])
-    assert records.inferred_fields(records.page_records(pages)) == {
+    assert records.field_types(records.inferred_schema(records.page_records(pages))) == {
         "a": "bigint", "b": "double", "c": "struct<VOID:array<bigint>>", "n": "string", "void": "string",
     }
 

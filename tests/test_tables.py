@@ -224,7 +224,7 @@ def test_driver_journeys(spark):
         "veiculo_id", "veiculo_codigo", "entrada", "saida", "duracao_minutos", "distancia_km",
     }
     some = got.select("motorista_id", "veiculo_codigo", F.col("entrada").cast("timestamp_ntz"), "saida", "duracao_minutos", "distancia_km")
-    assert rows(some) == [("1", None, datetime(2024, 1, 2, 3, 4, 5), None, 1.5, None), (None, None, None, None, None, 1.5)]
+    assert rows(some) == [(1, None, datetime(2024, 1, 2, 3, 4, 5), None, 1.5, None), (None, None, None, None, None, 1.5)]
 
 
 def test_landed_endpoint(spark, folder):
