@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
 
 from quaylake.functions.casting import quoted
 from quaylake.session import configure
@@ -65,3 +66,21 @@ def without_zone(df: DataFrame, *columns: str) -> DataFrame:
         return quoted(c).cast("timestamp_ntz").alias(c) if c in columns else quoted(c)
 
     return df.select(*[plain(c) for c in df.columns])
+
+
+def decimals_as_text(df: DataFrame) -> DataFrame:
+    """Decimals as text, which keeps every digit and shows the scale in any comparison."""
+    decimals = {f.name for f in df.schema.fields if isinstance(f.dataType, DecimalType)}
+    return df.select(
+        *[quoted(c).cast("string").alias(c) if c in decimals else quoted(c) for c in df.columns]
+    )
+
+
+def plain_name(name: str) -> str:
+    """A column name that needs no quoting."""
+    return name.replace(".", "_").replace("/", "_")
+
+
+def plain_names(df: DataFrame) -> DataFrame:
+    """The bronze names with dots and slashes need quoting in a select; results are compared without."""
+    return df.toDF(*[plain_name(c) for c in df.columns])

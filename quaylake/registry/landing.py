@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from quaylake.operators import records, reshape
 from quaylake.plans import bronze
 from quaylake.plans.endpoints import ENDPOINTS, MAINTENANCE_REMINDERS
-from quaylake.registry.base import query, table, without_zone
+from quaylake.registry.base import plain_name, plain_names, query, table, without_zone
 from quaylake.registry.inputs import ORDER_RUNS_SQL, landed, order_runs, wrapped
 
 # Pages
@@ -132,10 +132,10 @@ def nested_customers(spark, folder) -> DataFrame:
 
 @query("expanded_record", "C4", """
 SELECT c_custkey AS id, CASE WHEN c_nationkey <> 3 THEN c_mktsegment END AS segment,
-       CASE WHEN c_nationkey <> 3 THEN c_acctbal END AS "balance.1" FROM customer""")
+       CASE WHEN c_nationkey <> 3 THEN c_acctbal END AS balance_1 FROM customer""")
 def expanded_record(spark, folder):
     nested = nested_customers(spark, folder).select("id", "details")
-    return reshape.expand_record(nested, "details", {"segment": "segment", "balance": "balance.1"})
+    return plain_names(reshape.expand_record(nested, "details", {"segment": "segment", "balance": "balance.1"}))
 
 
 @query("exploded_list", "C5", """
@@ -158,11 +158,11 @@ def exploded_twice(spark, folder):
 
 
 @query("renamed_ordered_prefixed", "C7 C8 C9", """
-SELECT o_totalprice AS "row.VALOR/TOTAL", o_orderkey AS "row.id.1", o_orderstatus AS "row.o_orderstatus" FROM orders""")
+SELECT o_totalprice AS "row_VALOR_TOTAL", o_orderkey AS row_id_1, o_orderstatus AS row_o_orderstatus FROM orders""")
 def renamed_ordered_prefixed(spark, folder):
     orders = table(spark, folder, "orders").select("o_orderkey", "o_orderstatus", "o_totalprice")
     renamed = reshape.rename_columns(orders, {"o_orderkey": "id.1", "o_totalprice": "VALOR/TOTAL", "absent": "x"})
-    return reshape.prefix_columns(reshape.reorder_columns(renamed, ["VALOR/TOTAL", "absent", "id.1"]), "row.")
+    return plain_names(reshape.prefix_columns(reshape.reorder_columns(renamed, ["VALOR/TOTAL", "absent", "id.1"]), "row."))
 
 
 @query("journey_measures", "C12 E7", """
@@ -267,9 +267,9 @@ def bronze_driver_journeys(spark, folder):
 SELECT event_id AS id, ts AS "eventDate", CAST(NULL AS VARCHAR) AS address, props AS description,
        CASE WHEN event_type <> 'error' THEN value END AS "newValue", CAST(NULL AS VARCHAR) AS "newState",
        CAST(NULL AS VARCHAR) AS "fenceId", '["' || event_type || '",1]' AS "rulesList", CAST(NULL AS VARCHAR) AS "driverKeyId",
-       CAST(NULL AS DOUBLE) AS seconds, user_id AS "id.1", event_type AS code, CAST(NULL AS VARCHAR) AS "licensePlate",
-       event_id AS "id.2", 'name ' || user_id AS name, CAST(NULL AS VARCHAR) AS "taxpayerId", CAST(user_id AS VARCHAR) AS "cardId",
-       CAST(NULL AS BIGINT) AS "id.3", event_type AS "name.1", CAST(NULL AS VARCHAR) AS property
+       CAST(NULL AS DOUBLE) AS seconds, user_id AS id_1, event_type AS code, CAST(NULL AS VARCHAR) AS "licensePlate",
+       event_id AS id_2, 'name ' || user_id AS name, CAST(NULL AS VARCHAR) AS "taxpayerId", CAST(user_id AS VARCHAR) AS "cardId",
+       CAST(NULL AS BIGINT) AS id_3, event_type AS name_1, CAST(NULL AS VARCHAR) AS property
 FROM events""")
 def bronze_notifications(spark, folder):
     kind = F.col("event_type")
@@ -282,7 +282,7 @@ def bronze_notifications(spark, folder):
         F.array(kind.cast("variant"), F.lit(1).cast("variant")).alias("rulesList"), F.lit("?").alias("seconds"),
     )
     pages = landed(table(spark, folder, "events"), "event_id", wrapped("event_id", record))
-    return without_zone(bronze.bronze_table(pages, "notifications", max_pages=None), "eventDate")
+    return plain_names(without_zone(bronze.bronze_table(pages, "notifications", max_pages=None), "eventDate"))
 
 
 def reminders_sql() -> str:
@@ -297,7 +297,7 @@ def reminders_sql() -> str:
              "assembleYear": "BIGINT", "vehicleTypeOrdinal": "BIGINT", "tankSize": "DOUBLE", "kmPerLiter": "DOUBLE",
              "INTERVALO_GAP": "DOUBLE", "ODEMETRO_GAP": "DOUBLE", "hourmeterGap": "DOUBLE", "intervalType": "DOUBLE",
              "odometerThreshold": "DOUBLE", "hourmeterThreshold": "DOUBLE", "timeThreshold": "DOUBLE", "thresholdIntervalType": "DOUBLE"}
-    columns = [f'CAST({given.get(c, "NULL")} AS {types.get(c, "VARCHAR")}) AS "{c}"' for c in MAINTENANCE_REMINDERS.order]
+    columns = [f'CAST({given.get(c, "NULL")} AS {types.get(c, "VARCHAR")}) AS "{plain_name(c)}"' for c in MAINTENANCE_REMINDERS.order]
     return f"""SELECT {', '.join(columns)} FROM customer
     LEFT JOIN (VALUES (1), (2), (3)) v(i) ON i <= c_nationkey % 4
     LEFT JOIN (VALUES (1), (2)) w(j) ON j <= (c_nationkey + 1) % 3"""
@@ -323,7 +323,7 @@ def bronze_maintenance_reminders(spark, folder):
         F.slice(F.array(*items), 1, (nation + 1) % 3).alias("reminderItems"),
     )
     pages = landed(table(spark, folder, "customer"), "c_custkey", wrapped("c_custkey", record))
-    return bronze.bronze_table(pages, "maintenance_reminders", max_pages=None)
+    return plain_names(bronze.bronze_table(pages, "maintenance_reminders", max_pages=None))
 
 
 def results_sql() -> str:
@@ -334,7 +334,7 @@ def results_sql() -> str:
     }
     types = {"string": "VARCHAR"}
     columns = [
-        f'CAST(CASE WHEN {odd} THEN {given.get(n, "NULL")} END AS {types.get(t, t)}) AS "row.{n}"'
+        f'CAST(CASE WHEN {odd} THEN {given.get(n, "NULL")} END AS {types.get(t, t)}) AS "row_{n}"'
         for n, t in ENDPOINTS["maintenance_results"].fields.items()
     ]
     return f"SELECT {', '.join(columns)} FROM part"
@@ -348,4 +348,4 @@ def bronze_maintenance_results(spark, folder):
         F.col("p_partkey").alias("lastMaintenanceId"), (F.col("p_size") > 25).alias("isDueSoon"),
     )
     pages = landed(table(spark, folder, "part"), "p_partkey", wrapped("p_partkey", record))
-    return bronze.bronze_table(pages, "maintenance_results", max_pages=None)
+    return plain_names(bronze.bronze_table(pages, "maintenance_results", max_pages=None))

@@ -10,12 +10,12 @@ from pyspark.sql import functions as F
 from quaylake.functions import casting, text, time
 from quaylake.operators import filters
 from quaylake.plans import silver
-from quaylake.registry.base import query, table, without_zone
+from quaylake.registry.base import decimals_as_text, query, table, without_zone
 
 
 @query("strict_casts", "E1", """
-SELECT o_orderkey, CAST(o_totalprice AS DECIMAL(18, 4)) AS price4, CAST(o_totalprice AS DECIMAL(18, 6)) AS price6,
-       CAST(o_custkey AS DECIMAL(38, 0)) AS customer, CAST(o_custkey AS INTEGER) AS small, o_totalprice AS price,
+SELECT o_orderkey, CAST(CAST(o_totalprice AS DECIMAL(18, 4)) AS VARCHAR) AS price4,
+       CAST(CAST(o_totalprice AS DECIMAL(18, 6)) AS VARCHAR) AS price6, CAST(CAST(o_custkey AS DECIMAL(38, 0)) AS VARCHAR) AS customer, CAST(o_custkey AS INTEGER) AS small, o_totalprice AS price,
        o_orderdate AS moment, CAST(o_orderdate AS DATE) AS day, CAST(o_custkey AS VARCHAR) AS label
 FROM orders""")
 def strict_casts(spark, folder):
@@ -30,7 +30,7 @@ def strict_casts(spark, folder):
         "o_orderkey": "bigint", "price4": "decimal(18,4)", "price6": "decimal(18,6)", "customer": "decimal(38,0)",
         "small": "int", "price": "double", "moment": "timestamp", "day": "date", "label": "string",
     }
-    return without_zone(texts.select(*casting.strict_casts(types)), "moment")
+    return without_zone(decimals_as_text(texts.select(*casting.strict_casts(types))), "moment")
 
 
 @query("whole_numbers", "E1", """
@@ -194,7 +194,8 @@ def bronze_invoices(spark, folder) -> DataFrame:
 
 def invoices_sql() -> str:
     def typed(expression: str, kind: str) -> str:
-        return f"CAST({expression} AS {kind.replace('int', 'INTEGER') if kind == 'int' else kind})"
+        cast = f"CAST({expression} AS {kind})"
+        return f"CAST({cast} AS VARCHAR)" if kind.startswith("decimal") else cast
 
     columns = []
     for name, kind in silver.INVOICE_KEYS.items():
@@ -218,4 +219,4 @@ def invoices_sql() -> str:
 @query("silver_invoices", "M10 D1 E1 E2 E3 E4 F18", invoices_sql())
 def silver_invoices(spark, folder):
     clean = silver.invoices(bronze_invoices(spark, folder), datetime(2024, 2, 1, 3, 4, 5))
-    return without_zone(clean, "data_faturamento", "_ingestion_ts_utc", "_silver_ts_utc")
+    return without_zone(decimals_as_text(clean), "data_faturamento", "_ingestion_ts_utc", "_silver_ts_utc")
