@@ -96,10 +96,14 @@ def journey_fields(records: DataFrame) -> dict[str, str]:
     return fields
 
 
-def land_endpoint(pages: DataFrame, name: str, path: str, as_of: datetime | None = None) -> bool:
+def land_endpoint(
+    pages: DataFrame, name: str, path: str, as_of: datetime | None = None,
+    page_size: int = PAGE_SIZE, max_pages: int | None = MAX_PAGES, runs: tuple[str, ...] = (),
+) -> bool:
     """Write the bronze table of an endpoint; without records the old table stays."""
-    table = driver_journeys(pages) if name == "driver_journeys" else bronze_table(pages, name)
-    return land(table, path, as_of)
+    if name == "driver_journeys":
+        return land(driver_journeys(pages, page_size, max_pages, runs), path, as_of)
+    return land(bronze_table(pages, name, page_size, max_pages, runs), path, as_of)
 
 
 def database_snapshot(

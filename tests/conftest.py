@@ -12,7 +12,9 @@ from quaylake.session import local_session, new_folder  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    return local_session("8", 4)
+    spark = local_session("8", 4)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "1000")  # plans are searched for pushed filters
+    return spark
 
 
 @pytest.fixture

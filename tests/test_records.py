@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -53,7 +54,7 @@ ENVELOPES = [
 
 
 def brute_records(payload):
-    """The extraction rule on parsed JSON, for comparison."""
+    """The extraction rule on parsed JSON, for comparison: the ids of the records."""
     if isinstance(payload, list):
         found = payload
     elif isinstance(payload, dict):
@@ -73,6 +74,30 @@ def test_envelopes(spark):
             assert brute_records(payload) == want
 
 
+def random_json(draw, depth=0):
+    """A JSON value, often with lists of objects under members that matter."""
+    kind = draw.random()
+    if depth > 2 or kind < 0.2:
+        return draw.choice([None, True, 3, 2.5, "x", "", "[1]"])
+    if kind < 0.6:
+        return [
+            {"id": draw.randint(0, 99)} if draw.random() < 0.8 else random_json(draw, depth + 1)
+            for _ in range(draw.randint(0, 4))
+        ]
+    keys = draw.sample([*records.ENVELOPE_KEYS, "zeta", "alpha", "a.b", "q'q", "é"], draw.randint(0, 4))
+    return {"id": draw.randint(0, 99), **{k: random_json(draw, depth + 1) for k in keys}}
+
+
+def test_extraction_of_random_payloads(spark):
+    draw = random.Random(5)
+    payloads = [random_json(draw) for _ in range(600)]
+    found = records.page_records(pages_of(spark, [json.dumps(p) for p in payloads]))
+    want = []
+    for i, payload in enumerate(payloads):
+        want += [(i + 1, n) for n in brute_records(payload)]
+    assert ids(found) == sorted(want)
+
+
 def test_unreadable_pages_are_marked(spark):
     marked = records.with_records(pages_of(spark, ["{", None, "null", "[]"])).orderBy("page")
     assert [r["unreadable"] for r in marked.collect()] == [True, True, False, False]
@@ -221,3 +246,14 @@ def test_names_and_order(spark):
 def test_journey_without_sources(spark):
     got = reshape.journey_measures(spark.createDataFrame([(1,)], "id int")).first()
     assert tuple(got) == (1, None, None, None, None)
+
+
+def test_payloads_are_not_shuffled(spark, folder):
+    pages = spark.createDataFrame([("a", 1, 200, "[]"), ("b", 1, 200, "[]")], f"run string, {PAGE}")
+    pages.write.parquet(folder)
+    landed = spark.read.parquet(folder)
+    for runs in ([], ["run"]):
+        kept = records.kept_pages(landed, 1, runs=runs)
+        assert "hashpartitioning" not in kept._jdf.queryExecution().executedPlan().toString()
+    single = records.kept_pages(landed.filter("run = 'a'"), 1)._jdf.queryExecution().executedPlan().toString()
+    assert "LessThanOrEqual(page,1)" in single.replace(" ", "")

@@ -274,7 +274,6 @@ def test_silver_fails_on_a_bad_value(spark):
 
 def test_silver_keys_are_filtered_in_the_scan(spark, folder):
     invoices(spark, invoice()).write.parquet(folder)
-    spark.conf.set("spark.sql.maxMetadataStringLength", "1000")
     plan = silver.invoices(spark.read.parquet(folder))._jdf.queryExecution().executedPlan().toString()
     assert all(f"IsNotNull({key})" in plan for key in silver.INVOICE_KEYS)
 
