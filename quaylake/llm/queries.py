@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quaylake.llm import linededup, packing, pii, quality, simhash, tokens
+from quaylake.llm import (
+    language, linededup, packing, pii, quality, sharding, simhash, substring, subwords, tokens, vptree,
+)
 from quaylake.llm.common import prepared
 
 Run = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +31,15 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@query("op1_sharding")
+def sharding_of_documents(spark: SparkSession, folder: str) -> DataFrame:
+    text = F.coalesce("text", F.lit(""))
+    return sharding.sharded(table(spark, folder, "documents")).select(
+        "doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"),
+        F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 @query("op2_quality_rules")
 def quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
@@ -36,11 +47,41 @@ def quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select("doc_id", *quality.METRICS, "base_failed", "kept", "quality")
 
 
+@query(
+    "op3_nearest_neighbours",
+    """
+    WITH vectors AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+    pairs AS (
+      SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+             sqrt(list_reduce(
+               list_transform(range(1, len(q.v) + 1), lambda i: (q.v[i] - c.v[i]) * (q.v[i] - c.v[i])),
+               lambda x, y: x + y)) AS score
+      FROM vectors q JOIN vectors c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0
+    ), ranked AS (
+      SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS INTEGER) AS rank FROM pairs
+    )
+    SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+    """,
+)
+def nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    return vptree.nearest(table(spark, folder, "embeddings"), F.col("id") % 100 == 0, k=10)
+
+
 @query("op4_simhash_near_duplicates")
 def simhash_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.classes(table(spark, folder, "documents"))
 
 
+@query("op5_sentencepiece_round_trip")
+def sentencepiece_round_trip(spark: SparkSession, folder: str) -> DataFrame:
+    docs = subwords.encoded(table(spark, folder, "documents").select("doc_id", "text"))
+    back = docs.withColumn("back", subwords.decoder()("ids"))
+    return back.select(
+        "doc_id", subwords.n_ids(F.col("ids")).alias("n_ids"), F.crc32("ids").alias("ids_crc32"),
+        F.md5("back").alias("decoded_md5"), F.col("back").eqNullSafe(F.coalesce("text", F.lit(""))).alias("round_trip"),
+    )
+
+
 @query("op6_personal_data")
 def personal_data(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
@@ -82,6 +123,22 @@ def line_boilerplate(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query("op8_language_spans")
+def language_spans(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    rest = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4
+    docs = docs.withColumn("held_out", F.coalesce(rest == 2, F.lit(False)))
+    model = language.learned(docs.where(rest != 2))
+    found = language.predicted(docs, model, doc_id="doc_id", held_out="held_out")
+    return found.select("doc_id", "held_out", "lang_pred", "score", F.size("spans").alias("n_spans"))
+
+
+@query("op9_substring_repeats")
+def substring_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    result = substring.repeats_removed(table(spark, folder, "documents"))
+    return result.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 @query("op10_best_fit_packing")
 def best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     pieces = tokens.pieces(table(spark, folder, "documents"), packing.CAPACITY)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -76,22 +76,29 @@ class WordEncoder:
         plain = pc.fill_null(texts, "").cast(pa.large_string())
         for space in "\n\t":
             plain = pc.replace_substring(plain, space, " ")
-        lists = pc.split_pattern(plain, " ")
-        lists = lists.combine_chunks() if isinstance(lists, pa.ChunkedArray) else lists
-        words = lists.flatten().dictionary_encode()
-        codes = words.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        ids = [np.uint32(END).astype("<u4").tobytes(), *self.words(words.dictionary.to_pylist())]
-        counts = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-        starts = np.cumsum(counts) - counts
-        pool = np.frombuffer(b"".join(ids), "<u4")
-        edges = lists.offsets.to_numpy().astype(np.int64)
-        edges = edges - edges[0]
-        order = np.insert(codes + 1, edges[1:], 0)  # code 0 is the end
-        lengths = counts[order]
-        ends = np.cumsum(lengths)
-        places = np.repeat(starts[order] - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)
-        at = np.concatenate([[0], ends])[edges + np.arange(len(edges))]
-        return pool[places], at
+        return word_by_word(plain, self.words, np.array([END], "<u4").tobytes())
+
+
+def word_by_word(
+    texts: pa.Array, encode: Callable[[list[str]], list[bytes]], end: bytes = b"", separator: str = " "
+) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all texts in a row, each with the ids `end` behind it, and where each text begins. Texts
+    are split at the separator; `encode` gives the ids of distinct words, 32-bit numbers as bytes."""
+    lists = pc.split_pattern(texts, separator)
+    words = lists.flatten().dictionary_encode()
+    codes = words.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    ids = [end, *encode(words.dictionary.to_pylist())]
+    counts = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+    starts = np.cumsum(counts) - counts
+    pool = np.frombuffer(b"".join(ids), "<u4")
+    edges = lists.offsets.to_numpy().astype(np.int64)
+    edges = edges - edges[0]
+    order = np.insert(codes + 1, edges[1:], 0)  # code 0 is the end
+    lengths = counts[order]
+    ends = np.cumsum(lengths)
+    places = np.repeat(starts[order] - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)
+    at = np.concatenate([[0], ends])[edges + np.arange(len(edges))]
+    return pool[places], at
 
 
 ENCODERS: dict[str, WordEncoder] = {}
