@@ -42,6 +42,12 @@ def to_number(value: Column) -> Column:
     return F.when(text.rlike(NUMBER), text.try_cast("double"))
 
 
+def json_number(value: Column) -> Column:
+    """As `to_number` for a JSON value (`VARIANT`); true and false are 1 and 0, a text "true" is null."""
+    flag = F.when(F.schema_of_variant(value) == "BOOLEAN", F.try_variant_get(value, "$", "boolean"))
+    return F.coalesce(flag.cast("int").cast("double"), to_number(F.try_variant_get(value, "$", "string")))
+
+
 def to_timestamp_or_null(value: Column, formats: Iterable[str] = ()) -> Column:
     """ISO text, or text in one of `formats`, to timestamp; null when no form fits.
 
@@ -53,8 +59,18 @@ def to_timestamp_or_null(value: Column, formats: Iterable[str] = ()) -> Column:
     return F.coalesce(*tries)
 
 
+# The date at the beginning of ISO text.
+OWN_DATE = r"^\s*([+-]?\d{4,6}-\d{1,2}-\d{1,2})"
+
+
 def to_date_or_null(value: Column, formats: Iterable[str] = ()) -> Column:
-    return to_timestamp_or_null(value, formats).cast("date")
+    """Day of ISO text, or of text in one of `formats`; null when no form fits.
+
+    Text with an offset keeps the day that it names itself: an evening at -03:00 is not the next day.
+    """
+    text = value.cast("string")
+    own = F.when(F.try_to_timestamp(text).isNotNull(), F.regexp_extract(text, OWN_DATE, 1).try_cast("date"))
+    return F.coalesce(own, to_timestamp_or_null(text, formats).cast("date"))
 
 
 def to_text(value: Column) -> Column:

@@ -9,10 +9,10 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from quaylake.functions.casting import quoted, to_date_or_null, to_number, to_timestamp_or_null
+from quaylake.functions.casting import json_number, quoted, to_date_or_null, to_number, to_timestamp_or_null
 from quaylake.operators.profiling import dataset_summary
 from quaylake.operators.records import (
-    LENIENT, MAX_PAGES, PAGE_SIZE, field_types, inferred_schema, page_sequence, select_fields, struct_type,
+    LENIENT, PAGE_SIZE, field_types, inferred_schema, page_sequence, select_fields, struct_type,
     unwrap_row,
 )
 from quaylake.operators.reshape import (
@@ -30,7 +30,10 @@ def flatten(records: DataFrame, endpoint: Endpoint) -> DataFrame:
         flat = explode_list(flat, column)
     for column, fields in endpoint.records.items():
         flat = expand_record(flat, column, fields)
-    changes = {c: to_number(quoted(c)) for c in endpoint.numbers}
+    kinds = dict(flat.dtypes)
+    changes = {
+        c: json_number(quoted(c)) if kinds[c] == "variant" else to_number(quoted(c)) for c in endpoint.numbers
+    }
     changes |= {c: to_date_or_null(quoted(c)) for c in endpoint.dates}
     changes |= {c: to_timestamp_or_null(quoted(c)) for c in endpoint.timestamps}
     flat = rename_columns(flat.withColumns(changes) if changes else flat, endpoint.names)
@@ -43,11 +46,12 @@ def bronze_table(
     pages: DataFrame,
     name: str,
     page_size: int = PAGE_SIZE,
-    max_pages: int | None = MAX_PAGES,
+    max_pages: int | None = None,
     runs: tuple[str, ...] = (),
     types: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """Bronze table of one of `ENDPOINTS` from its landed pages; `types` overrides field types."""
+    """Bronze table of one of `ENDPOINTS` from its landed pages. Fields are text unless they are
+    coerced; `types` gives some of them other types, and values that don't fit are null then."""
     endpoint = ENDPOINTS[name]
     if types:
         endpoint = replace(endpoint, fields={**endpoint.fields, **types})
@@ -64,7 +68,7 @@ JOURNEY_RECORDS = {
 def driver_journeys(
     pages: DataFrame,
     page_size: int = PAGE_SIZE,
-    max_pages: int | None = MAX_PAGES,
+    max_pages: int | None = None,
     runs: tuple[str, ...] = (),
     fields: Mapping[str, str] | None = None,
 ) -> DataFrame:
@@ -98,7 +102,7 @@ def journey_fields(records: DataFrame) -> dict[str, str]:
 
 def land_endpoint(
     pages: DataFrame, name: str, path: str, as_of: datetime | None = None,
-    page_size: int = PAGE_SIZE, max_pages: int | None = MAX_PAGES, runs: tuple[str, ...] = (),
+    page_size: int = PAGE_SIZE, max_pages: int | None = None, runs: tuple[str, ...] = (),
 ) -> bool:
     """Write the bronze table of an endpoint; without records the old table stays."""
     if name == "driver_journeys":

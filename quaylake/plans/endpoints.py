@@ -1,7 +1,8 @@
 """What each API endpoint holds.
 
 The names of fields, columns and their order are fixed values of the API and of the bronze
-tables. Types are read tolerantly; a nested value without an expansion is kept as JSON text.
+tables. Fields are read as text, which keeps every value; a nested value without an expansion is
+its JSON text. Only the columns that are coerced have another type, and callers may name more.
 """
 
 from __future__ import annotations
@@ -9,6 +10,8 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
+from quaylake.operators.records import struct_type
+
 
 @dataclass(frozen=True)
 class Endpoint:
@@ -40,12 +43,17 @@ def text_fields(*names: str) -> dict[str, str]:
     return {name: "string" for name in names}
 
 
+def json_fields(*names: str) -> dict[str, str]:
+    """Fields that become numbers: their kind in the JSON decides how."""
+    return {name: "variant" for name in names}
+
+
 def struct_of(**fields: str) -> str:
-    return "struct<" + ",".join(f"{name}:{kind}" for name, kind in fields.items()) + ">"
+    return struct_type(fields)
 
 
 VEHICLES = Endpoint(
-    fields={"id": "bigint", **text_fields("code", "licensePlate", "vehicleStatus", "deviceCode")},
+    fields=text_fields("id", "code", "licensePlate", "vehicleStatus", "deviceCode"),
     names={
         "id": "ID_VEICULO",
         "code": "VEICULO",
@@ -78,7 +86,7 @@ VEHICLE_DAILY = Endpoint(
     fields={
         "date": "string",
         "vehicle": struct_of(id="string", code="string", licensePlate="string"),
-        **text_fields(*DAILY_NUMBERS),
+        **json_fields(*DAILY_NUMBERS),
     },
     records={"vehicle": {"id": "id", "code": "code", "licensePlate": "licensePlate"}},
     numbers=DAILY_NUMBERS,
@@ -88,13 +96,15 @@ VEHICLE_DAILY = Endpoint(
 
 NOTIFICATIONS = Endpoint(
     fields={
-        "id": "bigint",
-        "eventDate": "string",
-        "vehicle": struct_of(id="bigint", code="string", licensePlate="string"),
-        "driver": struct_of(id="bigint", name="string", taxpayerId="string", cardId="string"),
-        **text_fields("address", "description", "newValue", "newState", "fenceId"),
-        "rule": struct_of(id="bigint", name="string", property="string"),
-        **text_fields("rulesList", "driverKeyId", "seconds"),
+        **text_fields("id", "eventDate"),
+        "vehicle": struct_of(id="string", code="string", licensePlate="string"),
+        "driver": struct_of(id="string", name="string", taxpayerId="string", cardId="string"),
+        **text_fields("address", "description"),
+        **json_fields("newValue"),
+        **text_fields("newState", "fenceId"),
+        "rule": struct_of(id="string", name="string", property="string"),
+        **text_fields("rulesList", "driverKeyId"),
+        **json_fields("seconds"),
     },
     records={
         "vehicle": {"id": "id.1", "code": "code", "licensePlate": "licensePlate"},
@@ -105,20 +115,12 @@ NOTIFICATIONS = Endpoint(
     timestamps=("eventDate",),
 )
 
-PAYABLE = {
-    "id": "bigint",
-    **text_fields("code", "name", "unit", "manufacturer", "payableType", "responsible", "documentNumber"),
-}
+PAYABLE = text_fields("id", "code", "name", "unit", "manufacturer", "payableType", "responsible", "documentNumber")
 
-REMINDER_VEHICLE = {
-    "id": "bigint",
-    **text_fields("vehicleType", "make", "model", "licensePlate", "code"),
-    "assembleYear": "bigint",
-    **text_fields("subsidiary", "vehicleStatus"),
-    "tankSize": "double",
-    "kmPerLiter": "double",
-    "vehicleTypeOrdinal": "bigint",
-}
+REMINDER_VEHICLE = text_fields(
+    "id", "vehicleType", "make", "model", "licensePlate", "code", "assembleYear", "subsidiary",
+    "vehicleStatus", "tankSize", "kmPerLiter", "vehicleTypeOrdinal",
+)
 
 REMINDER_NUMBERS = (
     "odometerThreshold", "intervalType", "hourmeterThreshold", "timeThreshold",
@@ -126,10 +128,10 @@ REMINDER_NUMBERS = (
 )
 
 REMINDER_ITEM = {
-    "id": "bigint",
+    "id": "string",
     "payable": struct_of(**PAYABLE),
-    "reminderid": "bigint",
-    **text_fields(
+    "reminderid": "string",
+    **json_fields(
         "odometerGap", "hourmeterGap", "intervalGap", "intervalType", "odometerThreshold",
         "hourmeterThreshold", "timeThreshold", "thresholdIntervalType",
     ),
@@ -137,9 +139,7 @@ REMINDER_ITEM = {
 
 MAINTENANCE_REMINDERS = Endpoint(
     fields={
-        "id": "bigint",
-        **text_fields("name", "emailCSV", "creationInstant"),
-        "closed": "boolean",
+        **text_fields("id", "name", "emailCSV", "creationInstant", "closed"),
         "vehicles": f"array<{struct_of(**REMINDER_VEHICLE)}>",
         "reminderItems": f"array<{struct_of(**REMINDER_ITEM)}>",
     },
@@ -174,24 +174,13 @@ MAINTENANCE_REMINDERS = Endpoint(
 )
 
 MAINTENANCE_RESULTS = Endpoint(
-    fields={
-        **text_fields("reminderItem", "vehicle", "reminder"),
-        **{name: "double" for name in ("nextOdometer", "nextHourmeter")},
-        **text_fields("nextDate", "maintenancePlanned"),
-        **{name: "double" for name in ("startOdometer", "startHourmeter")},
-        "startDate": "string",
-        **{
-            name: "double"
-            for name in (
-                "odometerDiff", "trackingOdometerDiff", "hourmeterDiff", "timeDiff",
-                "timeDiffThreshold", "lastMaintenanceOdometer", "lastMaintenanceHourmeter",
-            )
-        },
-        "lastMaintenanceId": "bigint",
-        **text_fields("lastMaintenanceDate", "lastPendentMaintenance"),
-        "isDueSoon": "boolean",
-        "isOverDue": "boolean",
-    },
+    fields=text_fields(
+        "reminderItem", "vehicle", "reminder", "nextOdometer", "nextHourmeter", "nextDate",
+        "maintenancePlanned", "startOdometer", "startHourmeter", "startDate", "odometerDiff",
+        "trackingOdometerDiff", "hourmeterDiff", "timeDiff", "timeDiffThreshold",
+        "lastMaintenanceOdometer", "lastMaintenanceHourmeter", "lastMaintenanceId",
+        "lastMaintenanceDate", "lastPendentMaintenance", "isDueSoon", "isOverDue",
+    ),
     prefix="row.",
     strict_row=True,
 )

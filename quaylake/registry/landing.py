@@ -180,11 +180,16 @@ def journey_measures(spark, folder):
 
 
 @query("bronze_vehicles", "M1 A2 C1 C3 C7", """
-SELECT p_partkey AS "ID_VEICULO", p_name AS "VEICULO", p_brand AS "PLACA", p_type AS "STATUS_VEICULO",
+SELECT CASE WHEN p_partkey % 5 = 0 THEN 'V-' || p_partkey WHEN p_partkey % 5 = 1 THEN p_partkey || '.5' ELSE CAST(p_partkey AS VARCHAR) END AS "ID_VEICULO", p_name AS "VEICULO", p_brand AS "PLACA", p_type AS "STATUS_VEICULO",
        CASE WHEN p_size > 25 THEN CAST(p_size AS VARCHAR) END AS "deviceCode" FROM part""")
 def bronze_vehicles(spark, folder):
+    """Ids that are no whole numbers are kept as they are."""
+    key = F.col("p_partkey")
+    odd = F.when(key % 5 == 0, F.concat(F.lit("V-"), key).cast("variant")).when(
+        key % 5 == 1, F.concat(key, F.lit(".5")).cast("decimal(20,1)").cast("variant")
+    ).otherwise(key.cast("variant"))
     record = F.struct(
-        F.col("p_partkey").alias("id"), F.col("p_name").alias("code"), F.col("p_brand").alias("licensePlate"),
+        odd.alias("id"), F.col("p_name").alias("code"), F.col("p_brand").alias("licensePlate"),
         F.col("p_type").alias("vehicleStatus"), F.when(F.col("p_size") > 25, F.col("p_size")).alias("deviceCode"),
     )
     pages = landed(table(spark, folder, "part"), "p_partkey", wrapped("p_partkey", record))
@@ -203,7 +208,10 @@ SELECT c_name AS name, CAST(NULL AS VARCHAR) AS email, lpad(CAST(c_custkey AS VA
 FROM customer""")
 def bronze_contact_drivers(spark, folder):
     nation = F.col("c_nationkey")
-    expiry = F.when(nation == 0, "sem data").otherwise(F.date_add(F.lit("2024-01-01").cast("date"), nation).cast("string"))
+    expiry = F.date_add(F.lit("2024-01-01").cast("date"), nation).cast("string")
+    # An evening of that day west of Greenwich.
+    expiry = F.when(nation % 3 == 2, F.concat(expiry, F.lit("T22:00:00-03:00"))).otherwise(expiry)
+    expiry = F.when(nation == 0, "sem data").otherwise(expiry)
     plain = [
         F.col("c_name").alias("name"), F.lpad(F.col("c_custkey").cast("string"), 11, "0").alias("cpf"),
         F.col("c_custkey").alias("rg"), F.lit("01/02/1990").alias("birthday"), F.col("c_mktsegment").alias("type"),
@@ -223,7 +231,7 @@ DAILY_GIVEN = ("headDuration", "pointCount", "powerFailCount", "ignitionOn", "in
 def daily_sql() -> str:
     given = {
         "headDuration": "o_totalprice", "pointCount": "CAST(o_custkey AS DOUBLE)", "powerFailCount": "CAST(NULL AS DOUBLE)",
-        "ignitionOn": "CAST(o_orderkey AS DOUBLE)", "input1": "CASE WHEN o_orderstatus = 'F' THEN 12.5 END",
+        "ignitionOn": "CAST(o_orderkey AS DOUBLE)", "ignitionOff": "CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END", "input1": "CASE WHEN o_orderstatus = 'F' THEN 12.5 END",
     }
     numbers = [f'CAST({given.get(n, "NULL")} AS DOUBLE) AS "{n}"' for n in ENDPOINTS["vehicle_daily"].numbers]
     return f"""SELECT CASE WHEN o_orderpriority <> '5-LOW' THEN CAST(o_orderdate AS DATE) END AS date, {', '.join(numbers)},
@@ -232,11 +240,15 @@ def daily_sql() -> str:
 
 @query("bronze_vehicle_daily", "M3 E8 E9 E10", daily_sql())
 def bronze_vehicle_daily(spark, folder):
-    day = F.when(F.col("o_orderpriority") == "5-LOW", "amanhã").otherwise(F.date_format("o_orderdate", "yyyy-MM-dd"))
+    """Flags count as numbers, their text does not; an evening with an offset keeps its day."""
+    day = F.date_format("o_orderdate", "yyyy-MM-dd")
+    day = F.when(F.col("o_orderstatus") == "O", F.concat(day, F.lit("T22:30:00-03:00"))).otherwise(day)
+    day = F.when(F.col("o_orderpriority") == "5-LOW", "amanhã").otherwise(day)
     record = F.struct(
         day.alias("date"), F.struct(F.col("o_custkey").alias("id"), F.col("o_orderpriority").alias("code")).alias("vehicle"),
         F.col("o_totalprice").alias("headDuration"), F.col("o_custkey").cast("string").alias("pointCount"),
         F.lit("n/a").alias("powerFailCount"), F.col("o_orderkey").alias("ignitionOn"),
+        (F.col("o_orderstatus") == "F").alias("ignitionOff"), F.lit("true").alias("input2"),
         F.when(F.col("o_orderstatus") == "F", F.lit(12.5)).alias("input1"),
     )
     pages = landed(table(spark, folder, "orders"), "o_orderkey", wrapped("o_orderkey", record))
@@ -247,7 +259,8 @@ def bronze_vehicle_daily(spark, folder):
 SELECT o_orderkey AS journey, o_custkey AS motorista_id, o_orderpriority AS motorista_nome,
        CAST(NULL AS VARCHAR) AS veiculo_id, CASE WHEN o_orderstatus <> 'P' THEN o_orderstatus END AS veiculo_codigo,
        o_orderdate AS entrada, CAST(NULL AS TIMESTAMP) AS saida, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') AS "enterTime",
-       o_custkey AS duration, o_totalprice AS distance, o_custkey / 60 AS duracao_minutos, o_totalprice / 1000 AS distancia_km
+       o_custkey AS duration, o_totalprice AS distance, o_orderstatus AS "odd_start address", o_custkey AS "odd_a-b", o_orderkey AS odd_double,
+       o_custkey / 60 AS duracao_minutos, o_totalprice / 1000 AS distancia_km
 FROM placed LEFT JOIN stops USING (run) WHERE stop IS NULL OR page <= stop""")
 def bronze_driver_journeys(spark, folder):
     plain = [
@@ -255,21 +268,29 @@ def bronze_driver_journeys(spark, folder):
         F.struct(F.col("o_custkey").alias("id"), F.col("o_orderpriority").alias("name")).alias("driver"),
         F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss").alias("enterTime"),
         F.col("o_custkey").alias("duration"), F.col("o_totalprice").alias("distance"),
+        F.struct(
+            F.col("o_orderstatus").alias("start address"), F.col("o_custkey").alias("a-b"),
+            F.struct(F.col("o_orderkey").alias("DECIMAL(3, 1)`x")).alias("OBJECT<d.e>"),
+        ).alias("odd keys"),
     ]
     text = F.when(F.col("o_orderstatus") == "P", F.to_json(F.struct(*plain, F.lit(0).alias("vehicle")))).otherwise(
         F.to_json(F.struct(*plain, F.struct(F.col("o_orderstatus").alias("code")).alias("vehicle")))
     )
     table_ = bronze.driver_journeys(refused_pages(spark, folder, text), max_pages=None, runs=("run",))
+    odd = F.col("odd keys")
+    table_ = table_.withColumns({
+        "odd_start address": odd["start address"], "odd_a-b": odd["a-b"], "odd_double": odd["OBJECT<d.e>"]["DECIMAL(3, 1)`x"],
+    }).drop("odd keys")
     return without_zone(table_, "entrada", "saida")
 
 
 @query("bronze_notifications", "M5 C4 E7 E9", """
-SELECT event_id AS id, ts AS "eventDate", CAST(NULL AS VARCHAR) AS address, props AS description,
+SELECT CAST(event_id AS VARCHAR) AS id, ts AS "eventDate", CAST(NULL AS VARCHAR) AS address, props AS description,
        CASE WHEN event_type <> 'error' THEN value END AS "newValue", CAST(NULL AS VARCHAR) AS "newState",
        CAST(NULL AS VARCHAR) AS "fenceId", '["' || event_type || '",1]' AS "rulesList", CAST(NULL AS VARCHAR) AS "driverKeyId",
-       CAST(NULL AS DOUBLE) AS seconds, user_id AS id_1, event_type AS code, CAST(NULL AS VARCHAR) AS "licensePlate",
-       event_id AS id_2, 'name ' || user_id AS name, CAST(NULL AS VARCHAR) AS "taxpayerId", CAST(user_id AS VARCHAR) AS "cardId",
-       CAST(NULL AS BIGINT) AS id_3, event_type AS name_1, CAST(NULL AS VARCHAR) AS property
+       CAST(NULL AS DOUBLE) AS seconds, CAST(user_id AS VARCHAR) AS id_1, event_type AS code, CAST(NULL AS VARCHAR) AS "licensePlate",
+       'D-' || event_id AS id_2, 'name ' || user_id AS name, CAST(NULL AS VARCHAR) AS "taxpayerId", CAST(user_id AS VARCHAR) AS "cardId",
+       CAST(NULL AS VARCHAR) AS id_3, event_type AS name_1, CAST(NULL AS VARCHAR) AS property
 FROM events""")
 def bronze_notifications(spark, folder):
     kind = F.col("event_type")
@@ -277,7 +298,7 @@ def bronze_notifications(spark, folder):
     record = F.struct(
         F.col("event_id").alias("id"), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("eventDate"),
         F.struct(F.col("user_id").alias("id"), kind.alias("code")).alias("vehicle"),
-        F.struct(F.col("event_id").alias("id"), F.concat(F.lit("name "), "user_id").alias("name"), F.col("user_id").alias("cardId")).alias("driver"),
+        F.struct(F.concat(F.lit("D-"), "event_id").alias("id"), F.concat(F.lit("name "), "user_id").alias("name"), F.col("user_id").alias("cardId")).alias("driver"),
         F.col("props").alias("description"), value.alias("newValue"), F.struct(kind.alias("name")).alias("rule"),
         F.array(kind.cast("variant"), F.lit(1).cast("variant")).alias("rulesList"), F.lit("?").alias("seconds"),
     )
@@ -287,15 +308,13 @@ def bronze_notifications(spark, folder):
 
 def reminders_sql() -> str:
     given = {
-        "ID": "c_custkey", "NOME_VEICULO": "c_name", "closed": "c_nationkey > 12",
+        "ID": "c_custkey", "NOME_VEICULO": "c_name", "closed": "CASE WHEN c_nationkey > 20 THEN 'sim' WHEN c_nationkey > 12 THEN 'true' ELSE 'false' END",
         "ID_VEICULO": "c_custkey * 10 + i", "MODELO": "CASE WHEN i IS NOT NULL THEN c_mktsegment END",
         "MARCA/MODELO": "CASE WHEN i IS NOT NULL THEN c_mktsegment || ' ' || i END", "PLACA": "CASE WHEN i IS NOT NULL THEN 'P' || i END",
         "tankSize": "CASE WHEN i IS NOT NULL THEN c_acctbal END", "id.2": "c_custkey * 100 + j", "id.3": "CAST(j AS BIGINT)",
         "TIPO_MANUTENCAO": "CASE WHEN j IS NOT NULL THEN 'kind ' || j END", "ODEMETRO_GAP": "CASE WHEN j IS NOT NULL THEN c_acctbal END",
     }
-    types = {"closed": "BOOLEAN", "ID": "BIGINT", "ID_VEICULO": "BIGINT", "id.2": "BIGINT", "id.3": "BIGINT", "reminderid": "BIGINT",
-             "assembleYear": "BIGINT", "vehicleTypeOrdinal": "BIGINT", "tankSize": "DOUBLE", "kmPerLiter": "DOUBLE",
-             "INTERVALO_GAP": "DOUBLE", "ODEMETRO_GAP": "DOUBLE", "hourmeterGap": "DOUBLE", "intervalType": "DOUBLE",
+    types = {"tankSize": "DOUBLE", "INTERVALO_GAP": "DOUBLE", "ODEMETRO_GAP": "DOUBLE", "hourmeterGap": "DOUBLE", "intervalType": "DOUBLE",
              "odometerThreshold": "DOUBLE", "hourmeterThreshold": "DOUBLE", "timeThreshold": "DOUBLE", "thresholdIntervalType": "DOUBLE"}
     columns = [f'CAST({given.get(c, "NULL")} AS {types.get(c, "VARCHAR")}) AS "{plain_name(c)}"' for c in MAINTENANCE_REMINDERS.order]
     return f"""SELECT {', '.join(columns)} FROM customer
@@ -319,23 +338,24 @@ def bronze_maintenance_reminders(spark, folder):
     # Without vehicles the list is empty for some customers and absent for others.
     chosen = F.when(nation != 24, F.slice(F.array(*vehicles), 1, nation % 4))
     record = F.struct(
-        key.alias("id"), F.col("c_name").alias("name"), (nation > 12).alias("closed"), chosen.alias("vehicles"),
+        key.alias("id"), F.col("c_name").alias("name"), F.when(nation > 20, F.lit("sim").cast("variant")).otherwise((nation > 12).cast("variant")).alias("closed"), chosen.alias("vehicles"),
         F.slice(F.array(*items), 1, (nation + 1) % 3).alias("reminderItems"),
     )
     pages = landed(table(spark, folder, "customer"), "c_custkey", wrapped("c_custkey", record))
-    return plain_names(bronze.bronze_table(pages, "maintenance_reminders", max_pages=None))
+    reminders = plain_names(bronze.bronze_table(pages, "maintenance_reminders", max_pages=None))
+    return reminders.withColumn("tankSize", F.col("tankSize").cast("double"))  # its text may be 5 or 5.0
 
 
 def results_sql() -> str:
     odd = "p_partkey % 2 = 1"
     given = {
         "reminderItem": """'{"id":' || p_partkey || '}'""", "vehicle": "p_brand", "nextOdometer": "p_retailprice", "nextDate": "'soon'",
-        "lastMaintenanceId": "p_partkey", "isDueSoon": "p_size > 25",
+        "lastMaintenanceId": "'M/' || p_partkey", "isDueSoon": "CASE WHEN p_size > 40 THEN 'yes' WHEN p_size > 25 THEN 'true' ELSE 'false' END",
     }
-    types = {"string": "VARCHAR"}
+    types = {"nextOdometer": "DOUBLE"}
     columns = [
-        f'CAST(CASE WHEN {odd} THEN {given.get(n, "NULL")} END AS {types.get(t, t)}) AS "row_{n}"'
-        for n, t in ENDPOINTS["maintenance_results"].fields.items()
+        f'CAST(CASE WHEN {odd} THEN {given.get(n, "NULL")} END AS {types.get(n, "VARCHAR")}) AS "row_{n}"'
+        for n in ENDPOINTS["maintenance_results"].fields
     ]
     return f"SELECT {', '.join(columns)} FROM part"
 
@@ -345,7 +365,9 @@ def bronze_maintenance_results(spark, folder):
     record = F.struct(
         F.struct(F.col("p_partkey").alias("id")).alias("reminderItem"), F.col("p_brand").alias("vehicle"),
         F.col("p_retailprice").alias("nextOdometer"), F.lit("soon").alias("nextDate"),
-        F.col("p_partkey").alias("lastMaintenanceId"), (F.col("p_size") > 25).alias("isDueSoon"),
+        F.concat(F.lit("M/"), "p_partkey").alias("lastMaintenanceId"),
+        F.when(F.col("p_size") > 40, F.lit("yes").cast("variant")).otherwise((F.col("p_size") > 25).cast("variant")).alias("isDueSoon"),
     )
     pages = landed(table(spark, folder, "part"), "p_partkey", wrapped("p_partkey", record))
-    return plain_names(bronze.bronze_table(pages, "maintenance_results", max_pages=None))
+    results = plain_names(bronze.bronze_table(pages, "maintenance_results", max_pages=None))
+    return results.withColumn("row_nextOdometer", F.col("row_nextOdometer").cast("double"))

@@ -67,7 +67,7 @@ def brute_records(payload):
 
 
 def test_envelopes(spark):
-    got = ids(records.page_records(pages_of(spark, [p for p, _ in ENVELOPES])))
+    got = ids(records.page_records(pages_of(spark, [p for p, _ in ENVELOPES]), skip_unreadable=True))
     assert got == sorted((i + 1, n) for i, (_, want) in enumerate(ENVELOPES) for n in want)
     for payload, want in ENVELOPES:
         if not isinstance(payload, str) and payload is not None:
@@ -124,17 +124,43 @@ def test_payload_is_parsed_once_per_pass(spark, folder):
 )
 def test_reading_ends_with_the_first_short_page(spark, sizes, page_size, max_pages, kept):
     pages = pages_of(spark, [objects(n) for n in sizes])
-    got = records.page_sequence(pages, page_size, max_pages)
+    got = records.page_sequence(pages, page_size, max_pages, whole=False)
     assert sorted({r["page"] for r in got.select("page").collect()}) == kept
     assert got.count() == sum(sizes[p - 1] for p in kept)
 
 
-def test_default_limits(spark):
-    """A thousand and one full pages: the last one is not asked for."""
-    pages = spark.range(1, 1002).select(
+def test_no_page_is_left_out_by_default(spark):
+    """Fifteen hundred full pages."""
+    pages = spark.range(1, 1501).select(
         F.col("id").cast("int").alias("page"), F.lit(200).alias("status"), F.lit('[{"id":1}]').alias("payload")
     )
-    assert records.page_sequence(pages, page_size=1).count() == 1000
+    assert records.page_sequence(pages, page_size=1).count() == 1500
+    with pytest.raises(Exception, match="limit of 1000 pages"):
+        records.page_sequence(pages, 1, 1000).collect()
+    assert records.page_sequence(pages, 1, 1500 + 1).count() == 1500
+
+
+@pytest.mark.parametrize("payload", ["{", None])
+def test_unreadable_payloads_fail_without_a_paging_rule_too(spark, payload):
+    with pytest.raises(Exception, match="not JSON"):
+        records.page_records(pages_of(spark, [objects(1), payload])).collect()
+
+
+@pytest.mark.parametrize("runs", [[], ["run"]])
+@pytest.mark.parametrize("numbers, problem", [
+    ([1, 3], "missing"), ([2], "missing"), ([1, 2, 2], "more than once"), ([1, None, 2], "no number"), ([0, 1], "no number"),
+])
+def test_reads_must_be_whole(spark, numbers, problem, runs):
+    rows = [("a", n, 200, '[{"id":1},{"id":2}]') for n in numbers] + [("b", 1, 200, "[]")]
+    pages = spark.createDataFrame(rows if runs else rows[:-1], f"run string, {PAGE}")
+    with pytest.raises(Exception, match=problem):
+        records.page_sequence(pages, 2, runs=runs).collect()
+    assert records.page_sequence(pages, 2, runs=runs, whole=False).count() > 0
+
+
+def test_pages_behind_the_end_may_be_missing(spark):
+    pages = pages_of(spark, [objects(2), objects(1), objects(2), objects(2)]).where("page <> 3")
+    assert records.page_sequence(pages, 2).count() == 3
 
 
 def test_refused_page_fails_a_strict_read(spark):
@@ -210,10 +236,21 @@ def test_repeated_keys_keep_the_last_value(spark):
 def test_inferred_schema(spark):
     pages = pages_of(spark, [[{"a": 1, "b": 1.5, "n": None}, {"b": 2, "c": {"VOID": [1]}, "void": "x"}]])
     assert records.field_types(records.inferred_schema(records.page_records(pages))) == {
-        "a": "bigint", "b": "double", "c": "struct<VOID:array<bigint>>", "n": "string", "void": "string",
+        "a": "bigint", "b": "double", "c": "struct<`VOID`:array<bigint>>", "n": "string", "void": "string",
     }
 
 
+def test_keys_of_any_kind(spark):
+    """Spaces, dashes, dots, backticks and words that look like types."""
+    nested = {"start address": 1, "a-b": "x", "c.d": {"e`f": 2.5, "OBJECT<g>": [{"DECIMAL(1,2)": None}]}, "h, i: j": {}}
+    found = records.page_records(pages_of(spark, [[{"top level": nested, "VOID": True}]]))
+    fields = records.field_types(records.inferred_schema(found))
+    got = records.select_fields(found, fields).first().asDict(recursive=True)
+    assert got["VOID"] is True
+    assert got["top level"]["start address"] == 1 and got["top level"]["a-b"] == "x"
+    assert got["top level"]["c.d"] == {"e`f": 2.5, "OBJECT<g>": [{"DECIMAL(1,2)": None}]}
+
+
 def test_union_by_name(spark):
     got = records.union_by_name([
         spark.createDataFrame([(1, "x")], "a int, b string"),
@@ -253,7 +290,7 @@ def test_payloads_are_not_shuffled(spark, folder):
     pages.write.parquet(folder)
     landed = spark.read.parquet(folder)
     for runs in ([], ["run"]):
-        kept = records.kept_pages(landed, 1, runs=runs)
+        kept = records.kept_pages(landed, 1, runs=runs, whole=False)
         assert "hashpartitioning" not in kept._jdf.queryExecution().executedPlan().toString()
     single = records.kept_pages(landed.filter("run = 'a'"), 1)._jdf.queryExecution().executedPlan().toString()
     assert "LessThanOrEqual(page,1)" in single.replace(" ", "")

@@ -199,18 +199,31 @@ def test_bronze_reminders(spark):
         "ID", "ID_VEICULO", "MODELO", "`MARCA/MODELO`", "`id.2`", "`id.3`", "TIPO_MANUTENCAO", "ODEMETRO_GAP", "INTERVALO_GAP"
     )
     assert rows(got) == [
-        (1, 5, "m", "k", 7, 9, "oil", None, 2.0),
-        (1, None, None, None, 7, 9, "oil", None, 2.0),
-        (1, None, None, None, 7, 9, "oil", None, 2.0),
-        (2, None, None, None, None, None, None, None, None),
-        (3, None, None, None, 8, None, None, None, None),
+        ("1", "5", "m", "k", "7", "9", "oil", None, 2.0),
+        ("1", None, None, None, "7", "9", "oil", None, 2.0),
+        ("1", None, None, None, "7", "9", "oil", None, 2.0),
+        ("2", None, None, None, None, None, None, None, None),
+        ("3", None, None, None, "8", None, None, None, None),
     ]
 
 
-def test_bronze_types_can_be_changed(spark):
-    data = pages(spark, [{"id": "A-1"}])
-    assert rows(bronze.bronze_table(data, "vehicles").select("ID_VEICULO")) == [(None,)]
-    assert rows(bronze.bronze_table(data, "vehicles", types={"id": "string"}).select("ID_VEICULO")) == [("A-1",)]
+def test_bronze_keeps_values_as_they_are(spark):
+    data = pages(spark, [{"id": "V-1"}, {"id": 1.5}, {"id": 7}])
+    assert sorted(rows(bronze.bronze_table(data, "vehicles").select("ID_VEICULO"))) == [("1.5",), ("7",), ("V-1",)]
+    narrowed = bronze.bronze_table(data, "vehicles", types={"id": "bigint"}).select("ID_VEICULO")
+    assert sorted(rows(narrowed), key=repr) == [(1,), (7,), (None,)]
+    results = pages(spark, [{"row": {"isDueSoon": "yes", "startOdometer": "12 km", "lastMaintenanceId": "a/1"}}])
+    kept = bronze.bronze_table(results, "maintenance_results").select("`row.isDueSoon`", "`row.startOdometer`", "`row.lastMaintenanceId`")
+    assert rows(kept) == [("yes", "12 km", "a/1")]
+
+
+def test_flags_days_and_numbers_of_a_day(spark):
+    data = pages(spark, [
+        {"date": "2024-01-01T22:00:00-03:00", "ignitionOn": True, "ignitionOff": False, "maxSpeed": "true", "meanSpeed": "1e2"},
+        {"date": "2024-01-01T01:00:00+09:00", "ignitionOn": None, "ignitionOff": {"a": 1}, "maxSpeed": "12 km", "meanSpeed": 7},
+    ])
+    got = bronze.bronze_table(data, "vehicle_daily").select("date", "ignitionOn", "ignitionOff", "maxSpeed", "meanSpeed")
+    assert rows(got) == [(date(2024, 1, 1), 1.0, 0.0, None, 100.0), (date(2024, 1, 1), None, None, None, 7.0)]
 
 
 def test_driver_journeys(spark):
@@ -231,7 +244,7 @@ def test_landed_endpoint(spark, folder):
     data = pages(spark, {"content": [{"row": {"id": 1, "code": "c"}}]})
     assert bronze.land_endpoint(data, "vehicles", folder, NOON)
     assert not bronze.land_endpoint(pages(spark, {"content": []}), "vehicles", folder, NOON)
-    assert rows(spark.read.parquet(folder)) == [(1, "c", None, None, None, "2024-02-01T12:00:00+00:00", "2024-02-01")]
+    assert rows(spark.read.parquet(folder)) == [("1", "c", None, None, None, "2024-02-01T12:00:00+00:00", "2024-02-01")]
 
 
 # Silver
