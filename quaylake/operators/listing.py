@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quaylake.functions.text import token_from_end
-from quaylake.session import BROADCAST_BYTES, fits_broadcast, materialize
+from quaylake.session import materialize
 
 
 @dataclass(frozen=True)
@@ -46,7 +46,6 @@ MENTIONS = {
     "foreign_keys": Mention(LineKind(("FK CONSTRAINT",))),
 }
 HEADER_MARK = ";"
-HEADER_LINES = 20
 NAME_FROM_END = 2
 NAME_MIN_TOKENS = 4
 
@@ -56,10 +55,9 @@ def kind_counts(lines: DataFrame, kinds: dict[str, LineKind] = OBJECT_KINDS) ->
     return lines.agg(*[F.count_if(k.test(F.col("value"))).alias(name) for name, k in kinds.items()])
 
 
-def header(lines: DataFrame, order: str, first: int = HEADER_LINES) -> DataFrame:
-    """The comment lines among the first lines of the listing; `order` numbers the lines."""
-    top = lines.orderBy(F.asc(order)).limit(first)
-    return top.filter(F.col("value").startswith(HEADER_MARK)).orderBy(F.asc(order))
+def header(lines: DataFrame, order: str) -> DataFrame:
+    """All comment lines of the listing, in the order that `order` gives the lines."""
+    return lines.filter(F.col("value").startswith(HEADER_MARK)).orderBy(F.asc(order))
 
 
 def object_names(
@@ -74,48 +72,43 @@ def object_names(
 
 def mention_counts(
     lines: DataFrame, names: DataFrame, mentions: dict[str, Mention] = MENTIONS,
-    broadcast_limit: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Per name the number of lines that mention it, one column per mention rule.
 
-    `names` holds distinct names. A line contains a name exactly when one of its substrings
-    equals it, so the substring test becomes an equality: every line offers its substrings of
-    the lengths that occur among the names. Lines are never compared with all names. Names of a
-    measured small size first sift the substrings by a broadcast semi-join; a larger list is
-    matched by a shuffle. Counting before the join keeps a name that occurs everywhere from
-    loading one task. Finding and measuring the names runs jobs.
+    `names` holds distinct names. Every line offers one seed per place, the text there in the length of
+    the shortest name; a name is looked for only where its own beginning equals the seed, and the rest
+    is compared there. Lines are never compared with all names, and of a line no more moves than its
+    number and, per place, as much text as the longest name needs. A seed that occurs very often is
+    split by adaptive execution. A line counts once per name. Finding the names, and numbering the
+    lines, runs jobs.
     """
-    names = materialize(names.select("name"))
-    lengths = [r["n"] for r in names.select(F.length("name").alias("n")).distinct().collect()]
-    relevant = reduce(lambda a, b: a | b, [m.kind.test(F.col("value")) for m in mentions.values()])
-    offered = substrings(lines.filter(relevant).select("value"), lengths)
-    firsts = {column: first_mention(m) for column, m in mentions.items()}
-    if fits_broadcast(names, broadcast_limit):
-        # Without a filter on the mentions: it would be pushed below the join and run per substring.
-        offered = offered.join(F.broadcast(names), "name", "left_semi")
-    else:
-        offered = offered.filter(reduce(lambda a, b: a | b, firsts.values()))
-    hits = offered.select("name", *[found.cast("int").alias(column) for column, found in firsts.items()])
-    counted = hits.groupBy("name").agg(*[F.sum(column).alias(column) for column in mentions])
+    names = materialize(names.select("name").where(F.length("name") > 0))
+    size = names.agg(F.min(F.length("name")).alias("least"), F.max(F.length("name")).alias("most")).first()
+    least, most = size["least"] or 1, size["most"] or 1
+    suffix = max(len(m.suffix) for m in mentions.values())
+    kinds = {f"is_{column}": m.kind.test(F.col("value")) for column, m in mentions.items()}
+    relevant = lines.select("value", *[test.alias(name) for name, test in kinds.items()])
+    relevant = relevant.where(reduce(lambda a, b: a | b, [F.col(name) for name in kinds]))
+    numbered = materialize(relevant.withColumn("line", F.monotonically_increasing_id()))
+    seeds = offered(numbered, least, most + suffix, list(kinds))
+    started = names.withColumn("seed", F.substring("name", 1, least))
+    found = seeds.join(started, "seed").where(F.col("text").startswith(F.col("name")))
+    hit = [
+        (F.col(f"is_{column}") & F.col("text").startswith(F.concat("name", F.lit(m.suffix)))).cast("int").alias(column)
+        for column, m in mentions.items()
+    ]
+    once = found.select("name", "line", *hit).groupBy("name", "line").agg(*[F.max(c).alias(c) for c in mentions])
+    counted = once.groupBy("name").agg(*[F.sum(column).alias(column) for column in mentions])
     return names.join(counted, "name", "left").select(
         "name", *[F.coalesce(F.col(column), F.lit(0)).alias(column) for column in mentions]
     )
 
 
-def substrings(lines: DataFrame, lengths: list[int]) -> DataFrame:
-    """All substrings of the given lengths with their position: value, position, name."""
-    kept = [F.lit(n) for n in lengths]
-    length = F.explode(F.array(*kept) if kept else F.array().cast("array<int>"))
-    position = F.explode(F.sequence(F.lit(1), F.length("value") - F.col("length") + 1))
-    return (
-        lines.select("value", length.alias("length"))
-        .filter(F.length("value") >= F.col("length"))
-        .select("value", "length", position.alias("position"))
-        .select("value", "position", F.substring(F.col("value"), F.col("position"), F.col("length")).alias("name"))
-    )
-
-
-def first_mention(mention: Mention) -> Column:
-    """The substring is where its line first mentions it, so that a line counts once per name."""
-    searched = F.concat(F.col("name"), F.lit(mention.suffix))
-    return mention.kind.test(F.col("value")) & (F.instr(F.col("value"), searched) == F.col("position"))
+def offered(lines: DataFrame, least: int, most: int, keep: list[str]) -> DataFrame:
+    """One row per place of every line where a name of `least` characters fits: the seed, and the text
+    from there on, at most `most` characters."""
+    last = F.length("value") - least + 1
+    place = F.explode(F.sequence(F.lit(1), last)).alias("place")
+    placed = lines.where(last >= 1).select("line", "value", *keep, place)
+    text = F.substring(F.col("value"), F.col("place"), F.lit(most))
+    return placed.select("line", *keep, F.substring(text, 1, least).alias("seed"), text.alias("text"))

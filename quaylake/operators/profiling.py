@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Row, Window
@@ -14,10 +14,8 @@ from quaylake.functions.casting import quoted
 
 QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
 
-# A range of values is cut into this many slices of equal width, until a slice that holds a
-# wanted rank has at most so many rows.
+# A range of values is cut into this many slices of equal width.
 SLICES = 1000
-RANKED_ROWS = 100_000
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
@@ -67,35 +65,43 @@ def dataset_summary(df: DataFrame) -> DataFrame:
 def distinct_values(df: DataFrame, columns: Sequence[str] | None = None, list_up_to: int = 10) -> DataFrame:
     """Distinct non-null values per text column, with the sorted list where there are few.
 
-    The values are deduplicated as (column, value) rows, so no task holds the set of a column;
-    only columns with at most `list_up_to` values have them gathered.
+    One scan and one deduplication: each value is a (column, 128-bit hash) key, so that texts are no
+    shuffle keys and no task holds the set of a column. The texts of columns with few values are read
+    by one more scan. Both run here; the driver gets a count per column and the few values.
     """
     names = list(columns or text_columns(df))
-    pairs = (
-        df.select(
-            F.inline(F.array(*[F.struct(F.lit(i).alias("i"), quoted(c).alias("value")) for i, c in enumerate(names)]))
-        )
-        .filter(F.col("value").isNotNull())
-        .distinct()
-    )
+    pairs = hashed_values(df, names).select("i", "hash").distinct()
     counts = pairs.groupBy("i").agg(F.count(F.lit(1)).alias("n"))
-    few = F.broadcast(counts.filter(F.col("n") <= list_up_to).select("i"))  # one row per column at most
-    listed = pairs.join(few, "i", "left_semi").groupBy("i").agg(F.array_sort(F.collect_list("value")).alias("listed"))
-    named = df.sparkSession.createDataFrame(list(enumerate(names)), "i int, column string")
-    return (
-        named.join(F.broadcast(counts), "i", "left")
-        .join(F.broadcast(listed), "i", "left")
-        .select("column", F.coalesce("n", F.lit(0)).alias("distinct_values"), F.col("listed").alias("values"))
-    )
+    found = {r["i"]: r["n"] for r in counts.collect()}  # one row per column
+    few = [i for i, n in found.items() if n <= list_up_to]
+    listed: dict[int, list[str]] = {}
+    if few:
+        # At most `list_up_to` values per column: the groups are bounded.
+        for r in hashed_values(df, [names[i] for i in few]).groupBy("i", "hash").agg(F.min("value").alias("value")).collect():
+            listed.setdefault(few[r["i"]], []).append(r["value"])
+    rows = [(name, found.get(i, 0), sorted(listed[i]) if i in listed else None) for i, name in enumerate(names)]
+    return df.sparkSession.createDataFrame(rows, "column string, distinct_values bigint, values array<string>")
+
+
+def hashed_values(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """One row per column and non-null value: number of the column, hash, value."""
+    def entry(i: int, name: str) -> Column:
+        value = quoted(name)
+        hashed = F.struct(F.xxhash64(value).alias("a"), F.xxhash64(F.lit(1), value).alias("b"))
+        return F.struct(F.lit(i).alias("i"), hashed.alias("hash"), value.alias("value"))
+
+    entries = F.array(*[entry(i, c) for i, c in enumerate(names)])
+    return df.select(F.inline(entries)).filter(F.col("value").isNotNull())
 
 
 def describe(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Count, mean, sample deviation, min, exact quartiles (interpolated) and max per column.
 
-    Nulls and NaN are left out. No column is sorted or gathered for the quartiles: the range that
-    holds a wanted rank is cut into slices whose rows are counted, the slice that holds the rank
-    becomes the next range, and when few rows are left in it their distinct values are ranked.
-    The scans run here; only measures, slice counts and the wanted values reach the driver.
+    Nulls and NaN are left out. No column is sorted or gathered for the quartiles: values are first
+    counted by sign and power of two, then the range that holds a wanted rank is cut into slices of
+    equal width, each step a scan with a small shuffle. A power of two has 2^52 values, so at most six
+    cuts find the rank whatever the values: eight scans in all, for all columns together. They run
+    here; the driver gets the measures and, per wanted rank, one slice.
     """
     names = list(columns or numeric_columns(df))
     numbers = df.select(*[number(c).alias(f"c{i}") for i, c in enumerate(names)])
@@ -130,14 +136,14 @@ def plain_measures(width: int) -> list[Column]:
 
 @dataclass(frozen=True)
 class RankRange:
-    """A range of column i that holds the wanted ranks: rows below it and rows in it."""
+    """A range of column i that holds the wanted ranks: rows below it, and its ends."""
 
     i: int
     low: float
     high: float
     below: int
-    rows: int
     ranks: tuple[int, ...]
+    whole: bool = False
 
     def column(self) -> Column:
         return F.col(f"c{self.i}")
@@ -146,11 +152,19 @@ class RankRange:
         return self.column().between(self.low, self.high)
 
     def slice(self) -> Column:
-        """Number of the slice the value falls in, rising with the value.
-
-        Both ends are slices of their own, so every narrowing leaves something out, also where
-        an end is infinite. Halves keep the width of a very wide range finite.
-        """
+        """Number of the slice the value falls in, rising with the value."""
+        return self.power() if self.whole else self.cut()
+
+    def power(self) -> Column:
+        """By sign and power of two; infinite values and zero are slices of their own."""
+        value, size = self.column(), F.abs(self.column())
+        inner = F.floor(F.log2(F.when((size > 0) & (size < math.inf), size).otherwise(1.0))) + 2000
+        inner = F.when(size == math.inf, 9000).when(size == 0, 0).otherwise(inner)
+        return F.when(value < 0, -inner).otherwise(inner).cast("bigint")
+
+    def cut(self) -> Column:
+        """Of equal width. Both ends are slices of their own, so every cut leaves something out. Halves
+        keep the width of a very wide range finite."""
         width = self.high / 2 - self.low / 2
         inner = F.lit(1).cast("bigint")
         if 0 < width < math.inf:
@@ -169,7 +183,7 @@ def whole_range(summary: Row, i: int) -> RankRange | None:
     count = summary[f"count{i}"]
     if count == 0:
         return None
-    return RankRange(i, summary[f"min{i}"], summary[f"max{i}"], 0, count, ranks_of(count))
+    return RankRange(i, summary[f"min{i}"], summary[f"max{i}"], 0, ranks_of(count), whole=True)
 
 
 def values_at_ranks(numbers: DataFrame, ranges: Sequence[RankRange]) -> dict[tuple[int, int], float]:
@@ -177,59 +191,34 @@ def values_at_ranks(numbers: DataFrame, ranges: Sequence[RankRange]) -> dict[tup
     values = {}
     while ranges:
         values |= {(r.i, rank): r.low for r in ranges if r.low == r.high for rank in r.ranks}
-        several = [r for r in ranges if r.low < r.high]
-        values |= ranked_values(numbers, [r for r in several if r.rows <= RANKED_ROWS])
-        ranges = narrowed(numbers, [r for r in several if r.rows > RANKED_ROWS])
+        ranges = narrowed(numbers, [r for r in ranges if r.low < r.high])
     return values
 
 
-def one_row_each(ranges: Sequence[RankRange], *fields: Callable[[RankRange], Column]) -> Column:
-    """For one row of numbers: a struct per range that holds its value, null for the others."""
-    return F.array(
-        *[F.when(r.holds(), F.struct(F.lit(k).alias("k"), *[f(r) for f in fields])) for k, r in enumerate(ranges)]
-    )
-
-
 def narrowed(numbers: DataFrame, ranges: Sequence[RankRange]) -> list[RankRange]:
-    """Per range the slices that hold its ranks, between their least and largest value."""
+    """Per range the slices that hold its ranks, between their least and largest value; one scan."""
     if not ranges:
         return []
-    fields = (lambda r: r.slice().alias("slice"), lambda r: r.column().alias("value"))
+    inside = F.array(*[
+        F.when(r.holds(), F.struct(F.lit(k).alias("k"), r.slice().alias("slice"), r.column().alias("value")))
+        for k, r in enumerate(ranges)
+    ])
     counted = (
-        numbers.select(F.inline(one_row_each(ranges, *fields)))
+        numbers.select(F.inline(inside))
         .filter(F.col("k").isNotNull())
         .groupBy("k", "slice")
         .agg(F.count(F.lit(1)).alias("rows"), F.min("value").alias("low"), F.max("value").alias("high"))
-        .orderBy("k", "slice")
-        .collect()  # at most SLICES + 3 rows per range
     )
-    found, below = [], {k: r.below for k, r in enumerate(ranges)}
-    for k, _, rows, low, high in counted:
-        start = below[k]
-        below[k] += rows
-        ranks = tuple(rank for rank in ranges[k].ranks if start <= rank < start + rows)
-        if ranks:
-            found.append(RankRange(ranges[k].i, low, high, start, rows, ranks))
-    return found
-
-
-def ranked_values(numbers: DataFrame, ranges: Sequence[RankRange]) -> dict[tuple[int, int], float]:
-    """Values at the wanted ranks from the few rows of each range."""
-    if not ranges:
-        return {}
+    # A few thousand slices per range at most; only those with a wanted rank go on.
     below = F.array(*[F.lit(r.below).cast("bigint") for r in ranges])
     ranks = F.array(*[F.array(*[F.lit(n).cast("bigint") for n in r.ranks]) for r in ranges])
-    by_value = Window.partitionBy("k").orderBy("value")
-    placed = (
-        numbers.select(F.inline(one_row_each(ranges, lambda r: r.column().alias("value"))))
-        .filter(F.col("k").isNotNull())
-        .groupBy("k", "value")
-        .agg(F.count(F.lit(1)).alias("rows"))
-        .withColumn("until", F.get(below, F.col("k")) + F.sum("rows").over(by_value))
-        .withColumn("rank", F.explode(F.get(ranks, F.col("k"))))
-        .filter((F.col("until") - F.col("rows") <= F.col("rank")) & (F.col("rank") < F.col("until")))
-    )
-    return {(ranges[row["k"]].i, row["rank"]): row["value"] for row in placed.collect()}  # the wanted ranks
+    until = F.get(below, F.col("k")) + F.sum("rows").over(Window.partitionBy("k").orderBy("slice"))
+    here = F.filter(F.get(ranks, F.col("k")), lambda n: (n >= F.col("until") - F.col("rows")) & (n < F.col("until")))
+    found = counted.withColumn("until", until).withColumn("ranks", here).where(F.size("ranks") > 0)
+    return [
+        RankRange(ranges[r["k"]].i, r["low"], r["high"], r["until"] - r["rows"], tuple(r["ranks"]))
+        for r in found.orderBy("k", "slice").collect()  # at most one row per wanted rank
+    ]
 
 
 def quartile(values: dict[tuple[int, int], float], i: int, count: int, share: float) -> float | None:

@@ -48,14 +48,19 @@ def local_session(cores: str = "8", shuffle_partitions: int = 8) -> SparkSession
 
 
 def shared_root(spark: SparkSession) -> str:
-    """Folder every executor can reach: the one the cluster names for checkpoints.
+    """Folder every executor can reach: the one the cluster names for checkpoints, by setting or by
+    `setCheckpointDir`.
 
-    Only a local session without that setting gets a folder of its own.
+    Only a local session without either gets a folder of its own.
     """
     root = spark.conf.get(CHECKPOINT_SETTING, None)
     context = spark.sparkContext
+    if not root and context.getCheckpointDir() is not None:
+        # Spark makes a folder of its own below the one it was given.
+        root = context.getCheckpointDir().rstrip("/").rpartition("/")[0]
+        spark.conf.set(CHECKPOINT_SETTING, root)
     if not root:
-        if not context.master.startswith("local"):
+        if not (context.master == "local" or context.master.startswith("local[")):
             raise RuntimeError(f"{CHECKPOINT_SETTING} must name a shared folder")
         root = tempfile.mkdtemp(prefix="quaylake-")
         spark.conf.set(CHECKPOINT_SETTING, root)
@@ -64,6 +69,30 @@ def shared_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def file_system(spark: SparkSession, path: str):
+    """Hadoop's file system of a path, and the path for it."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def moved(spark: SparkSession, path: str, to: str) -> bool:
+    """Rename a folder; whether it was there. A refused rename is an error."""
+    files, place = file_system(spark, path)
+    if not files.exists(place):
+        return False
+    target = spark._jvm.org.apache.hadoop.fs.Path(to)
+    files.mkdirs(target.getParent())
+    if not files.rename(place, target):
+        raise OSError(f"{path} could not be renamed to {to}")
+    return True
+
+
+def removed(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this library wrote, if it is there."""
+    files, place = file_system(spark, path)
+    files.delete(place, True)
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
     """A path under the shared folder that no other run uses."""
     return f"{shared_root(spark)}/quaylake/{name}-{uuid.uuid4().hex}"

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quaylake.functions.time import utc_instant
+from quaylake.session import moved, removed
 
 SNAPSHOT_COLUMN = "snapshot_ts"
 
@@ -24,19 +26,51 @@ def stamped(df: DataFrame, as_of: datetime | None = None) -> DataFrame:
 
 
 def overwrite_parquet(df: DataFrame, path: str) -> DataFrame:
-    """Replace a Parquet table and return it as written. `df` must not read from `path`."""
-    df.write.mode("overwrite").option("compression", "snappy").parquet(path)
+    """Replace a Parquet table and return it as written; `df` may read from `path`.
+
+    The new table is written beside the old one, which is put aside only when the job has succeeded.
+    """
+    put_in_place(df.sparkSession, written_beside(df, path), path)
     return df.sparkSession.read.parquet(path)
 
 
+def written_beside(df: DataFrame, path: str) -> str:
+    """Writes to a sibling of `path`; after a failure nothing of it stays."""
+    beside = f"{path.rstrip('/')}__new-{uuid.uuid4().hex}"
+    try:
+        df.write.option("compression", "snappy").parquet(beside)
+    except Exception:
+        removed(df.sparkSession, beside)
+        raise
+    return beside
+
+
+def put_in_place(spark: SparkSession, beside: str, path: str) -> None:
+    """The old folder moves aside, the new one takes its place, then the old one goes. If the second
+    move fails the old one comes back."""
+    aside = f"{path.rstrip('/')}__old-{uuid.uuid4().hex}"
+    had = moved(spark, path, aside)
+    try:
+        if not moved(spark, beside, path):
+            raise FileNotFoundError(beside)
+    except Exception:
+        if had:
+            moved(spark, aside, path)
+        raise
+    if had:
+        removed(spark, aside)
+
+
 def overwrite_if_any(df: DataFrame, path: str) -> bool:
     """Replace a Parquet table unless there are no rows; then the old table stays.
 
-    The test stops at the first row it finds.
+    `df` is computed once: what was written is looked at before it takes the old table's place.
     """
-    if df.isEmpty():
+    spark, beside = df.sparkSession, written_beside(df, path)
+    if spark.read.schema(df.schema).parquet(beside).isEmpty():
+        removed(spark, beside)
         return False
-    overwrite_parquet(df, path)
+    put_in_place(spark, beside, path)
     return True
 
 
@@ -48,9 +82,10 @@ def land(df: DataFrame, path: str, as_of: datetime | None = None) -> bool:
 def write_snapshot(df: DataFrame, folder: str, as_of: datetime | None = None) -> str | None:
     """Keep a frame as a new snapshot of `folder`/history and as `folder`/latest.
 
-    The source is read once: `latest` is copied from the snapshot just written, so both hold the
-    same rows even when the source changes meanwhile or an executor is lost. Writing the same
-    instant again replaces its snapshot. Returns its label, or None when there are no rows.
+    The source is read once, also to see whether it has rows: `latest` is copied from the snapshot
+    just written, so both hold the same rows even when the source changes meanwhile or an executor
+    is lost. An empty snapshot never becomes visible. Writing the same instant again replaces its
+    snapshot. Returns its label, or None when there are no rows.
     """
     label = utc_instant(as_of).strftime("%Y%m%d_%H%M%S")
     snapshot = f"{folder}/history/{SNAPSHOT_COLUMN}={label}"
@@ -61,8 +96,10 @@ def write_snapshot(df: DataFrame, folder: str, as_of: datetime | None = None) ->
 
 
 def history(spark: SparkSession, folder: str) -> DataFrame:
-    """All snapshots, with their label as a partition column."""
-    return spark.read.option("basePath", f"{folder}/history").parquet(f"{folder}/history/*")
+    """All snapshots, with their label as a partition column and the columns of all of them: one that
+    a snapshot lacks is null there."""
+    reader = spark.read.option("basePath", f"{folder}/history").option("mergeSchema", True)
+    return reader.parquet(f"{folder}/history/{SNAPSHOT_COLUMN}=*[0-9]")
 
 
 def replace_table(df: DataFrame, table: str, path: str | None = None) -> DataFrame:
@@ -75,21 +112,39 @@ def replace_table(df: DataFrame, table: str, path: str | None = None) -> DataFra
 
 
 def replace_view(df: DataFrame, name: str) -> DataFrame:
+    """View of the session over a frame."""
     df.createOrReplaceTempView(name)
     return df.sparkSession.table(name)
 
 
+def store_view(spark: SparkSession, name: str, sql: str) -> DataFrame:
+    """View of the catalog, which outlives the session; `sql` may name tables and views of the catalog."""
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS {sql}")
+    return spark.table(name)
+
+
 def swap_table(df: DataFrame, table: str, path: str | None = None) -> DataFrame:
     """Build a table under a temporary name, then put it in the place of the old one.
 
-    Readers see the old table until the new one is complete; `df` may read from it.
+    Readers see the old table until the new one is complete; `df` may read from it. The old one is
+    renamed aside, dropped last, and put back if the new one can't take its name.
     """
     spark = df.sparkSession
-    building = f"{table}__tmp"
+    building, aside = f"{table}__tmp", f"{table}__old"
     spark.sql(f"DROP TABLE IF EXISTS {building}")
     replace_table(df, building, path)
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
-    spark.sql(f"ALTER TABLE {building} RENAME TO {table}")
+    had = spark.catalog.tableExists(table)
+    if had:
+        spark.sql(f"DROP TABLE IF EXISTS {aside}")
+        spark.sql(f"ALTER TABLE {table} RENAME TO {aside}")
+    try:
+        spark.sql(f"ALTER TABLE {building} RENAME TO {table}")
+    except Exception:
+        if had:
+            spark.sql(f"ALTER TABLE {aside} RENAME TO {table}")
+        raise
+    if had:
+        spark.sql(f"DROP TABLE {aside}")
     return spark.table(table)
 
 

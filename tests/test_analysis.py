@@ -79,10 +79,19 @@ def brute_quantile(values, share):
     return low if low == high else low + (high - low) * (place - math.floor(place))
 
 
-@pytest.mark.parametrize("few", [1, 50, 100_000])
-def test_quartiles_are_exact(spark, monkeypatch, few):
-    """Hot values, wide and infinite ranges, nulls and NaN, however few rows are ranked at the end."""
-    monkeypatch.setattr(profiling, "RANKED_ROWS", few)
+def test_texts_are_no_shuffle_keys(spark, folder):
+    """One scan and one deduplication, by hashes."""
+    spark.createDataFrame([("x" * 50, "y")], "a string, b string").write.parquet(folder)
+    pairs = profiling.hashed_values(spark.read.parquet(folder), ["a", "b"]).select("i", "hash").distinct()
+    plan = pairs.groupBy("i").count()._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and plan.count("Exchange hashpartitioning") == 2
+    assert "value" not in " ".join(line for line in plan.splitlines() if "Exchange" in line)
+
+
+@pytest.mark.parametrize("slices", [2, 7, 1000])
+def test_quartiles_are_exact(spark, monkeypatch, slices):
+    """Hot values, wide and infinite ranges, nulls and NaN, however fine the slices."""
+    monkeypatch.setattr(profiling, "SLICES", slices)
     draw = random.Random(7)
     third = [5.0 if draw.random() < 0.34 else draw.gauss(0, 100) for _ in range(2000)]
     wide = [draw.choice([-1e308, 1e308, float("inf"), draw.gauss(0, 1) * 10 ** draw.randint(-300, 300)]) for _ in range(2000)]
@@ -97,6 +106,28 @@ def test_quartiles_are_exact(spark, monkeypatch, few):
             assert got[name][quartile] == brute_quantile(kept, share), (name, quartile)
 
 
+def test_the_number_of_scans_does_not_depend_on_the_values(spark, monkeypatch):
+    """Values even over all exponents, even within one, and crowded: at most nine scans each."""
+    draw, scans = random.Random(9), []
+    plain = profiling.narrowed
+
+    def counted(numbers, ranges):
+        scans.append(len(ranges) > 0)
+        return plain(numbers, ranges)
+
+    monkeypatch.setattr(profiling, "narrowed", counted)
+    rows = [
+        (math.ldexp(1 + draw.random(), draw.randint(-1070, 1020)) * draw.choice([1, -1]), draw.random(),
+         1 + draw.randint(0, 2**30) * 2.0**-52)
+        for _ in range(3000)
+    ]
+    got = {r["column"]: r for r in profiling.describe(spark.createDataFrame(rows, "a double, b double, c double")).collect()}
+    for name, column in zip("abc", zip(*rows)):
+        for quartile, share in profiling.QUARTILES.items():
+            assert got[name][quartile] == brute_quantile(sorted(column), share)
+    assert 1 + sum(scans) <= 9
+
+
 def test_description_of_short_columns(spark):
     df = spark.createDataFrame([(1, None), (2, None)], "a int, b double")
     got = {r["column"]: tuple(r)[1:] for r in profiling.describe(df).collect()}
@@ -154,8 +185,11 @@ def test_listing(lines):
     assert got == brute_mentions(LISTING, ["invoice", "invoices"])
 
 
-@pytest.mark.parametrize("limit", [listing.BROADCAST_BYTES, 0])
-def test_mentions_against_brute_force(spark, limit):
+@pytest.mark.parametrize("broadcast", ["10m", "-1"])
+def test_mentions_against_brute_force(spark, broadcast):
+    """With and without broadcasts by the optimizer."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
     draw = random.Random(11)
     names = sorted({"".join(draw.choice("ab_") for _ in range(draw.randint(1, 5))) for _ in range(40)} | {"zzzzzz"})
     texts = [
@@ -165,8 +199,23 @@ def test_mentions_against_brute_force(spark, limit):
     ]
     texts += ["INDEX aaaa_aaaa_"] * 150  # a third of the lines mention the same names
     lines = spark.createDataFrame([(t,) for t in texts], "value string")
-    found = listing.mention_counts(lines, spark.createDataFrame([(n,) for n in names], "name string"), broadcast_limit=limit)
-    assert {r["name"]: (r["indexes"], r["foreign_keys"]) for r in found.collect()} == brute_mentions(texts, names)
+    found = listing.mention_counts(lines, spark.createDataFrame([(n,) for n in names], "name string")).collect()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert {r["name"]: (r["indexes"], r["foreign_keys"]) for r in found} == brute_mentions(texts, names)
+
+
+def test_a_line_offers_no_more_than_its_length(spark):
+    texts = ["", "ab", "abc" * 14, "x" * 43]
+    lines = spark.createDataFrame(list(enumerate(texts)), "line long, value string")
+    for least, most in ((1, 30), (3, 30), (40, 60)):
+        got = listing.offered(lines, least, most, []).collect()
+        want = sorted((i, t[p:p + least], t[p:p + most]) for i, t in enumerate(texts) for p in range(len(t) - least + 1))
+        assert sorted(tuple(r) for r in got) == want
+
+
+def test_all_comment_lines_are_shown(spark):
+    lines = spark.createDataFrame([(n, ";" if n % 2 else "x") for n in range(100)], "n int, value string")
+    assert [r["n"] for r in listing.header(lines, "n").collect()] == list(range(1, 100, 2))
 
 
 def test_mentions_of_no_names(spark, lines):

@@ -106,6 +106,89 @@ def test_landing_keeps_the_old_table_when_there_is_nothing_new(spark, folder):
     assert [r["id"] for r in spark.read.parquet(folder).collect()] == [2]
 
 
+def failing(spark):
+    return spark.range(5).select(F.when(F.col("id") == 3, F.raise_error(F.lit("lost"))).otherwise(F.col("id")).cast("int").alias("id"))
+
+
+def test_a_failed_write_keeps_the_old_table(spark, folder):
+    path = f"{folder}/table"
+    writers.overwrite_parquet(spark.createDataFrame([(1,)], "id int"), path)
+    for write in (writers.overwrite_parquet, writers.overwrite_if_any, writers.land):
+        with pytest.raises(Exception, match="lost"):
+            write(failing(spark), path)
+    assert rows(spark.read.parquet(path)) == [(1,)]
+    files, place = session.file_system(spark, folder)
+    assert [f.getPath().getName() for f in files.listStatus(place)] == ["table"]
+
+
+def test_a_failed_move_puts_the_old_table_back(spark, folder, monkeypatch):
+    path = f"{folder}/table"
+    writers.overwrite_parquet(spark.createDataFrame([(1,)], "id int"), path)
+
+    def refuse(spark, source, to):
+        if "__new" in source:
+            raise OSError("refused")
+        return session.moved(spark, source, to)
+
+    monkeypatch.setattr(writers, "moved", refuse)
+    with pytest.raises(OSError):
+        writers.overwrite_parquet(spark.createDataFrame([(2,)], "id int"), path)
+    assert rows(spark.read.parquet(path)) == [(1,)]
+
+
+def test_a_table_may_be_replaced_by_rows_of_itself(spark, folder):
+    writers.overwrite_parquet(spark.range(3).toDF("id"), folder + "/t")
+    writers.overwrite_parquet(spark.read.parquet(folder + "/t").where("id > 0"), folder + "/t")
+    assert spark.read.parquet(folder + "/t").count() == 2
+
+
+def test_a_source_is_read_once(spark, folder):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    source = spark.range(0, 10, 1, 2).mapInArrow(count, "id long")
+    assert writers.write_snapshot(source, folder, NOON) is not None
+    assert seen.value == 10
+
+
+def test_history_has_the_columns_of_all_snapshots(spark, folder):
+    bronze.database_snapshot(spark.range(2), folder, datetime(2024, 2, 1, 1))
+    bronze.database_snapshot(spark.range(1).withColumn("added", F.lit("x")), folder, datetime(2024, 2, 1, 2))
+    got = bronze.retained_history(spark, folder).select("id", "added", "snapshot_ts")
+    assert sorted(rows(got), key=repr) == [
+        (0, "x", "20240201_020000"), (0, None, "20240201_010000"), (1, None, "20240201_010000"),
+    ]
+
+
+def test_a_failed_rename_keeps_the_old_catalog_table(spark, folder, monkeypatch):
+    writers.swap_table(spark.range(3).toDF("id"), "swap_fails", f"{folder}/1")
+    run = type(spark).sql
+
+    def refuse(self, text, *args, **kwargs):
+        if text == "ALTER TABLE swap_fails__tmp RENAME TO swap_fails":
+            raise RuntimeError("refused")
+        return run(self, text, *args, **kwargs)
+
+    monkeypatch.setattr(type(spark), "sql", refuse)
+    with pytest.raises(RuntimeError):
+        writers.swap_table(spark.range(9).toDF("id"), "swap_fails", f"{folder}/2")
+    monkeypatch.undo()
+    assert spark.table("swap_fails").count() == 3
+    spark.sql("DROP TABLE swap_fails")
+
+
+def test_stored_view(spark, folder):
+    writers.replace_table(spark.range(4), "view_source", f"{folder}/s")
+    assert writers.store_view(spark, "stored_view", "SELECT id FROM view_source WHERE id > 1").count() == 2
+    assert spark.newSession().table("stored_view").count() == 2
+    spark.sql("DROP VIEW stored_view")
+    spark.sql("DROP TABLE view_source")
+
+
 def test_snapshots(spark, folder):
     assert bronze.database_snapshot(spark.createDataFrame([], "id int"), folder, NOON) == (None, None)
     for hour in range(7):
@@ -154,13 +237,19 @@ def test_shared_folder_must_be_named_on_a_cluster():
             return None
 
     class Context:
-        master = "spark://cluster"
+        def __init__(self, master):
+            self.master = master
+
+        def getCheckpointDir(self):
+            return None
 
     class Session:
-        conf, sparkContext = Conf(), Context()
+        def __init__(self, master):
+            self.conf, self.sparkContext = Conf(), Context(master)
 
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        session.shared_root(Session())
+    for master in ("spark://cluster", "local-cluster[3,2,1024]"):
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            session.shared_root(Session(master))
 
 
 def test_broadcast_is_measured(spark):
