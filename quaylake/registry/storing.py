@@ -5,17 +5,18 @@ from __future__ import annotations
 import uuid
 from datetime import datetime
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quaylake.operators.snapshots import newest_snapshots
 from quaylake.plans import bronze, gold
 from quaylake.registry.base import query, rounded, table
-from quaylake.registry.inputs import LISTING_SQL, RECONCILIATION_SQL, listing_lines, reconciliation
+from quaylake.registry.inputs import LISTING_SQL, RECONCILIATION_SQL, landed, listing_lines, reconciliation
 from quaylake.operators.grouping import within
 from quaylake.operators.ranking import sorted_by_amount
 from quaylake.plans.reports import ConsoleReport, SliceReport
 from quaylake.sources import readers, writers
-from quaylake.session import new_folder
+from quaylake.session import file_system, moved, new_folder
 
 NOON = datetime(2024, 2, 1, 12, 0, 0)
 LATER = datetime(2024, 2, 1, 18, 30, 0)
@@ -25,6 +26,13 @@ def new_table(name: str) -> str:
     return f"{name}_{uuid.uuid4().hex}"
 
 
+def dropped(df: DataFrame, *tables: str) -> DataFrame:
+    """The frame without the names it was read by: its files stay until the rows have been read."""
+    for name in tables:
+        df.sparkSession.sql(f"DROP TABLE IF EXISTS {name}")
+    return df
+
+
 def customers_with_null_text(spark, folder):
     """The segment of some customers is the text NULL, and that of others is missing."""
     nation = F.col("c_nationkey")
@@ -62,9 +70,53 @@ def csv_folder_report(spark, folder):
     return report.groupBy("columns").agg(F.sum("rows").alias("rows"))
 
 
-@query("file_inventory", "A11")
+FILES = {"data-1.csv": 0, "df_2.csv": 1, "other.csv": 2}
+
+
+def written_files(spark, folder) -> str:
+    """Three files of known names and lengths: the names of a third of the customers each."""
+    target = new_folder(spark, "files")
+    for name, rest in FILES.items():
+        part = new_folder(spark, "part")
+        names = table(spark, folder, "customer").where(F.col("c_custkey") % 3 == rest).select("c_name")
+        names.coalesce(1).write.text(part)
+        files, place = file_system(spark, part)
+        source = next(f.getPath() for f in files.listStatus(place) if f.getPath().getName().startswith("part-"))
+        moved(spark, source.toString(), f"{target}/{name}")
+    return target
+
+
+def files_sql(of: str) -> str:
+    return " UNION ALL ".join(of.format(name=n, rest=r, kind={0: "CSV Original", 1: "DataFrame Exportado"}.get(r, "Outro")) for n, r in FILES.items())
+
+
+@query("file_inventory", "A11", files_sql("""
+SELECT '{kind}' AS kind, '{name}' AS file, round(sum(strlen(c_name) + 1) / 1024.0, 1)::DOUBLE AS size_kb FROM customer WHERE c_custkey % 3 = {rest}"""))
 def file_inventory(spark, folder):
-    return readers.file_inventory(spark, written_csv(spark, folder))
+    return readers.file_inventory(spark, written_files(spark, folder))
+
+
+@query("expected_files", "A11", files_sql("""
+SELECT '{name}' AS file, TRUE AS "exists", round(sum(strlen(c_name) + 1) / 1024.0, 1)::DOUBLE AS size_kb FROM customer WHERE c_custkey % 3 = {rest}""")
+ + " UNION ALL SELECT 'gone.html', FALSE, NULL")
+def expected_files(spark, folder):
+    path = written_files(spark, folder)
+    return readers.expected_files(spark, path, [*FILES, "gone.html"]).select("file", "exists", "size_kb")
+
+
+@query("csv_line_breaks", "A6 A7 B9", """
+SELECT CAST(p_partkey AS INTEGER) AS p_partkey, p_name || chr(10) || 'a "b", c' AS note,
+       CASE WHEN p_size % 4 = 3 THEN p_size END AS size FROM part""")
+def csv_line_breaks(spark, folder):
+    """Line breaks, quotes and commas inside fields, and three spellings of a missing number."""
+    size = F.col("p_size")
+    missing = F.when(size % 4 == 0, "N/A").when(size % 4 == 1, "None").when(size % 4 == 2, "nan").otherwise(size.cast("string"))
+    rows = table(spark, folder, "part").select(
+        "p_partkey", F.concat("p_name", F.lit('\na "b", c')).alias("note"), missing.alias("size")
+    )
+    path = new_folder(spark, "notes")
+    writers.export_csv(rows, path)
+    return readers.csv_table(spark, path, readers.MISSING_TEXTS, multi_line=True).withColumn("size", F.col("size").cast("int"))
 
 
 @query("parquet_scan", "A9 C10", "SELECT * FROM orders")
@@ -77,7 +129,7 @@ def named_source(spark, folder):
     name = new_table("silver_supplier")
     suppliers = table(spark, folder, "supplier").select("s_suppkey", "s_name", "s_acctbal")
     writers.replace_table(suppliers, name, new_folder(spark, name))
-    return readers.named_table(spark, spark.catalog.currentDatabase(), name)
+    return dropped(readers.named_table(spark, spark.catalog.currentDatabase(), name), name)
 
 
 @query("text_listing", "A12", LISTING_SQL + "SELECT value FROM lines")
@@ -110,21 +162,38 @@ def guarded_write(spark, folder):
     return readers.parquet_table(spark, path)
 
 
-@query("database_snapshots", "B3 B4 M8 F14", """
-SELECT '20240201_120000' AS snapshot_ts, c_custkey, 'history' AS part FROM customer
-UNION ALL SELECT '20240201_183000', c_custkey, 'history' FROM customer WHERE c_acctbal > 0
-UNION ALL SELECT NULL, c_custkey, 'latest' FROM customer WHERE c_acctbal > 0""")
+SNAPSHOT_HOURS = range(12, 19)
+
+
+@query("database_snapshots", "B3 B4 M8 F14", " UNION ALL ".join(
+    f"SELECT '20240201_{h}0000' AS snapshot_ts, c_custkey, {'c_name' if h > 15 else 'NULL'} AS added, 'history' AS part "
+    f"FROM customer WHERE c_custkey % 20 >= {h}" for h in SNAPSHOT_HOURS[-5:]) + """
+ UNION ALL SELECT NULL, c_custkey, c_name, 'latest' FROM customer WHERE c_custkey % 20 >= 18""")
 def database_snapshots(spark, folder):
+    """Seven snapshots, the newest with one more column; an empty one leaves no trace."""
     target = new_folder(spark, "snapshots")
-    customers = table(spark, folder, "customer").select("c_custkey", "c_acctbal")
-    bronze.database_snapshot(customers, target, NOON)
-    bronze.database_snapshot(customers.filter(F.col("c_acctbal") > 0), target, LATER)
+    customers = table(spark, folder, "customer").select("c_custkey", F.col("c_name").alias("added"))
+    for hour in SNAPSHOT_HOURS:
+        rows = customers.where(F.col("c_custkey") % 20 >= hour)
+        bronze.database_snapshot(rows if hour > 15 else rows.drop("added"), target, NOON.replace(hour=hour))
     bronze.database_snapshot(customers.filter(F.col("c_custkey").isNull()), target, LATER)
-    kept = bronze.retained_history(spark, target).select("snapshot_ts", "c_custkey", F.lit("history").alias("part"))
-    latest = readers.parquet_table(spark, f"{target}/latest").select("c_custkey", F.lit("latest").alias("part"))
+    kept = bronze.retained_history(spark, target).select("snapshot_ts", "c_custkey", "added", F.lit("history").alias("part"))
+    latest = readers.parquet_table(spark, f"{target}/latest").select("c_custkey", "added", F.lit("latest").alias("part"))
     return kept.unionByName(latest, allowMissingColumns=True)
 
 
+@query("landed_in_many_pages", "A2 M1 B5", """
+SELECT CAST(o_orderkey AS VARCHAR) AS "ID_VEICULO", o_orderpriority AS "VEICULO", '2024-02-01' AS _ingestion_date FROM orders""")
+def landed_in_many_pages(spark, folder):
+    """More than a thousand full pages from the second scale on."""
+    key = F.col("o_orderkey")
+    record = F.to_json(F.struct(key.alias("id"), F.col("o_orderpriority").alias("code")))
+    pages = landed(table(spark, folder, "orders"), "o_orderkey", record, (F.floor(key / 10) + 1).cast("int"))
+    path = new_folder(spark, "vehicles")
+    bronze.land_endpoint(pages, "vehicles", path, NOON, page_size=10)
+    return readers.parquet_table(spark, path).select("ID_VEICULO", "VEICULO", "_ingestion_date")
+
+
 @query("newest_snapshots", "B4", """
 SELECT event_id, snapshot_ts FROM (
   SELECT event_id, strftime(ts, '%Y%m%d') AS snapshot_ts, dense_rank() OVER (ORDER BY CAST(ts AS DATE) DESC) AS age FROM events)
@@ -139,7 +208,7 @@ SELECT status, round(sum(amount), 2) AS total, round(avg(amount), 2) AS media FR
 def table_as_select(spark, folder):
     name = new_table("conciliacoes")
     stored = writers.replace_table(reconciliation(spark, folder), name, new_folder(spark, name))
-    return rounded(ConsoleReport(stored).status_value(), "total", "media")
+    return dropped(rounded(ConsoleReport(stored).status_value(), "total", "media"), name)
 
 
 @query("view_of_query", "B7", "SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus = 'O'")
@@ -154,7 +223,8 @@ def swapped_table(spark, folder):
     name = new_table("prices")
     prices = table(spark, folder, "orders").select("o_orderkey", F.col("o_totalprice").alias("doubled"))
     first = writers.swap_table(prices, name, new_folder(spark, name))
-    return writers.swap_table(first.withColumn("doubled", F.col("doubled") * 2), name, new_folder(spark, name))
+    second = writers.swap_table(first.withColumn("doubled", F.col("doubled") * 2), name, new_folder(spark, name))
+    return dropped(second, name)
 
 
 @query("gold_sales_summary", "M11 A10 B7 B8 F17", """
@@ -164,7 +234,25 @@ def gold_sales_summary(spark, folder):
     writers.replace_table(table(spark, folder, "orders"), name, new_folder(spark, name))
     staged = gold.staging(spark, name, spark.catalog.currentDatabase())
     summary = new_table(gold.SALES_SUMMARY)
-    return writers.swap_table(gold.sales_summary(staged, NOON.date()), summary, new_folder(spark, summary))
+    built = writers.swap_table(gold.sales_summary(staged, NOON.date()), summary, new_folder(spark, summary))
+    return dropped(built, name, summary)
+
+
+@query("staging_views", "A10 B7 M11", """
+SELECT 'sales' AS source, count(*) AS lines FROM orders UNION ALL SELECT 'users', count(*) FROM customer""")
+def staging_views(spark, folder):
+    """Both staging views, read by another session."""
+    schema = spark.catalog.currentDatabase()
+    sources = {gold.SALES_SOURCE: "orders", gold.USERS_SOURCE: "customer"}
+    for source, name in sources.items():
+        writers.replace_table(table(spark, folder, name), source, new_folder(spark, source))
+    gold.staging_views(spark, schema)
+    other = spark.newSession()
+    lines = [other.table(f"`{schema}`.`stg_{source}`").count() for source in sources]
+    for source in sources:
+        spark.sql(f"DROP VIEW stg_{source}")
+        spark.sql(f"DROP TABLE {source}")
+    return spark.createDataFrame(list(zip(("sales", "users"), lines)), "source string, lines bigint")
 
 
 @query("exported_slice", "B9 A7 F8 M14", RECONCILIATION_SQL + """

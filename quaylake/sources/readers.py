@@ -2,22 +2,29 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
 from functools import reduce
 from urllib.parse import unquote
 
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quaylake.functions.casting import quoted
 from quaylake.functions.measures import kilobytes, megabytes
 from quaylake.functions.text import prefix_category
 
 # Fixed value: how the exports write a missing value.
 NULL_TEXT = "NULL"
 
+# Spellings of a missing value that table readers commonly take.
+MISSING_TEXTS = (
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA",
+    "NULL", "NaN", "None", "n/a", "nan", "null",
+)
+
 # Kinds of CSV by file name.
 FILE_KINDS = (("data-", "CSV Original"), ("df_", "DataFrame Exportado"))
 OTHER_FILE = "Outro"
@@ -26,60 +33,145 @@ OTHER_FILE = "Outro"
 def csv_table(
     spark: SparkSession,
     path: str | Sequence[str],
-    null_text: str | None = None,
+    null_text: str | Sequence[str] | None = None,
     schema: T.StructType | str | None = None,
+    multi_line: bool = False,
+    strict: bool = True,
 ) -> DataFrame:
     """CSV with a header line; quotes inside a field are doubled.
 
     Types are inferred unless a schema is given: inferring reads the files once more, so name
-    the schema of large ones. `null_text` is read as null (`NULL_TEXT` for exports); left out,
-    such a text stays a string, as the SQL engine has it.
+    the schema of large ones. `null_text` is read as null (`NULL_TEXT` for exports), or a list of
+    spellings such as `MISSING_TEXTS`, which go before any type is looked for; left out, such a text
+    stays a string, as the SQL engine has it.
+
+    `multi_line` is for line breaks inside quotes; files are not split then. A line with more or
+    fewer fields than the header, or a value that doesn't fit a given schema, fails the read;
+    `strict=False` fills up and cuts off as Spark does.
     """
-    reader = spark.read.option("header", True).option("escape", '"')
-    if null_text is not None:
-        reader = reader.option("nullValue", null_text)
-    reader = reader.option("inferSchema", True) if schema is None else reader.schema(schema)
-    return reader.csv(path)
+    spellings = [null_text] if isinstance(null_text, str) else list(null_text or [])
+    reader = spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line)
+    if len(spellings) == 1:
+        reader = reader.option("nullValue", spellings[0])
+    wanted = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    if len(spellings) > 1:
+        texts = reader.csv(path).schema if wanted is None else wanted
+        texts = T.StructType([T.StructField(f.name, T.StringType()) for f in texts.fields])
+    elif wanted is None:
+        texts = wanted = reader.option("inferSchema", True).csv(path).schema
+    else:
+        texts = wanted
+    if not texts.fields:
+        return reader.csv(path)
+    reader = reader.option("inferSchema", False).option("mode", "FAILFAST" if strict else "PERMISSIVE")
+    read = reader.schema(texts).csv(path)
+    return read if len(spellings) < 2 else typed(without_texts(read, spellings), wanted, strict)
+
+
+def without_texts(df: DataFrame, spellings: Sequence[str]) -> DataFrame:
+    """Text columns with the spellings of a missing value as null."""
+    return df.select(*[F.when(~quoted(c).isin(*spellings), quoted(c)).alias(c) for c in df.columns])
+
+
+# The types that are tried for a column of texts, the first that takes every value.
+INFERRED = ("int", "bigint", "double", "date", "timestamp", "boolean")
+
+
+def typed(df: DataFrame, schema: T.StructType | None, strict: bool = True) -> DataFrame:
+    """Text columns cast to a schema, or each to the first of `INFERRED` that takes all its values,
+    for which one aggregation runs."""
+    if schema is None:
+        misfits = [
+            F.count_if(quoted(c).isNotNull() & quoted(c).try_cast(kind).isNull()).alias(f"{kind}{i}")
+            for i, c in enumerate(df.columns) for kind in INFERRED
+        ]
+        filled = [F.count(quoted(c)).alias(f"filled{i}") for i, c in enumerate(df.columns)]
+        found = df.agg(*misfits, *filled).first()
+        kinds = [
+            next((k for k in INFERRED if found[f"filled{i}"] and not found[f"{k}{i}"]), "string")
+            for i in range(len(df.columns))
+        ]
+    else:
+        kinds = [f.dataType.simpleString() for f in schema.fields]
+    cast = [quoted(c).cast(k) if strict else quoted(c).try_cast(k) for c, k in zip(df.columns, kinds)]
+    return df.select(*[value.alias(c) for value, c in zip(cast, df.columns)])
+
+
+class CsvFolder(Mapping):
+    """Frames by file name, each made when it is asked for; `errors` has the files that can't be read
+    with the reason, `headers` the columns of the others."""
 
+    def __init__(self, spark: SparkSession, folder: str, **options) -> None:
+        self.spark, self.folder, self.options = spark, folder, options
+        self.headers: dict[str, list[str]] = {}
+        self.errors: dict[str, str] = {}
 
-@dataclass
-class CsvFolder:
-    """Frames by file name, and the files that could not be read with the reason."""
+    @property
+    def frames(self) -> CsvFolder:
+        return self
 
-    frames: dict[str, DataFrame] = field(default_factory=dict)
-    errors: dict[str, str] = field(default_factory=dict)
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self.headers:
+            raise KeyError(name)
+        options = {k: v for k, v in self.options.items() if k != "schemas"}
+        return csv_table(self.spark, f"{self.folder}/{name}", schema=(self.options.get("schemas") or {}).get(name), **options)
+
+    def __iter__(self):
+        return iter(self.headers)
+
+    def __len__(self) -> int:
+        return len(self.headers)
 
     def report(self) -> DataFrame:
-        """File, rows and columns of every readable file, by name; counted when it runs."""
-        counted = [
-            df.agg(F.count(F.lit(1)).alias("rows")).select(
-                F.lit(name).alias("file"), "rows", F.lit(", ".join(df.columns)).alias("columns")
-            )
-            for name, df in self.frames.items()
-        ]
+        """File, rows and columns of every readable file, by name; counted when it runs. Files with one
+        header are read together."""
+        groups: dict[tuple[str, ...], list[str]] = {}
+        for name, columns in self.headers.items():
+            groups.setdefault(tuple(columns), []).append(name)
+        counted = [self.spark.createDataFrame([], "file string, rows bigint, columns string")]
+        for columns, names in groups.items():
+            schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(columns))])
+            reader = self.spark.read.option("header", True).option("escape", '"').schema(schema)
+            reader = reader.option("multiLine", self.options.get("multi_line", False))
+            rows = reader.csv([f"{self.folder}/{name}" for name in names]).select(file_name_column().alias("file"))
+            known = self.spark.createDataFrame([(name,) for name in names], "file string")  # a file may have no rows
+            count = known.join(rows.groupBy("file").count(), "file", "left")
+            counted.append(count.select("file", F.coalesce("count", F.lit(0)).alias("rows"), F.lit(", ".join(columns)).alias("columns")))
         return reduce(DataFrame.unionAll, counted).orderBy("file")
 
 
+def file_name_column() -> Column:
+    return F.element_at(F.split(F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))), "/"), -1)
+
+
 def csv_folder(
-    spark: SparkSession, folder: str, null_text: str | None = NULL_TEXT,
-    schemas: Mapping[str, T.StructType | str] | None = None,
+    spark: SparkSession, folder: str, null_text: str | Sequence[str] | None = NULL_TEXT,
+    schemas: Mapping[str, T.StructType | str] | None = None, multi_line: bool = False, strict: bool = True,
 ) -> CsvFolder:
     """Every `*.csv` of a folder as a frame of its own, in order of name.
 
-    A file that cannot be read (an empty one, for instance) is noted and the others go on.
+    A file that cannot be read (an empty one, for instance) is noted and the others go on. Header
+    lines are found by one job over all files; the driver holds the names, as Spark's listing does.
     """
-    loaded = CsvFolder()
-    files = spark.read.option("pathGlobFilter", "*.csv").text(folder).inputFiles()
-    for name in sorted(file_name(uri) for uri in files):
+    loaded = CsvFolder(spark, folder, null_text=null_text, schemas=schemas, multi_line=multi_line, strict=strict)
+    texts = spark.read.option("pathGlobFilter", "*.csv").text(folder)
+    first = texts.where(F.input_file_block_start() == 0).select(
+        file_name_column().alias("file"), "value", F.monotonically_increasing_id().alias("n")
+    )
+    lines = {r["file"]: r["line"] for r in first.groupBy("file").agg(F.min_by("value", "n").alias("line")).collect()}
+    columns: dict[str, list[str]] = {}  # by header line
+    for name in sorted(file_name(uri) for uri in texts.inputFiles()):
+        line = lines.get(name)
+        if not line:
+            loaded.errors[name] = "no columns"
+            continue
         try:
-            df = csv_table(spark, f"{folder}/{name}", null_text, (schemas or {}).get(name))
+            if line not in columns:
+                reader = spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line)
+                columns[line] = reader.csv(f"{folder}/{name}").columns
+            loaded.headers[name] = columns[line]
         except PySparkException as error:
             loaded.errors[name] = str(error)
-            continue
-        if df.columns:
-            loaded.frames[name] = df
-        else:
-            loaded.errors[name] = "no columns"
     return loaded
 
 
@@ -129,15 +221,25 @@ def text_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
 
 
 def file_listing(spark: SparkSession, folder: str, pattern: str = "*") -> DataFrame:
-    """File name and length of the files of a folder; their content is not read.
+    """File name and length of the files of a folder, one row per file; their content is not read.
 
-    The names come from the listing that Spark makes for every read; lengths are those of the
-    files it would scan, which leaves out empty ones.
+    The names come from the listing that Spark makes on the driver for every read; lengths are those
+    of the files it would scan, which leaves out empty ones. Files of one name in several subfolders
+    are several rows.
     """
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
-    names = spark.createDataFrame([(file_name(p),) for p in files.inputFiles()], "file string")
-    lengths = files.select(F.element_at(F.split("path", "/"), -1).alias("file"), "length")
-    return names.join(lengths, "file", "left").select("file", F.coalesce("length", F.lit(0)).alias("length"))
+    found = [(file_name(uri), plain_path(unquote(uri))) for uri in files.inputFiles()]
+    names = spark.createDataFrame(found, "file string, place string")
+    place = F.regexp_replace("path", SCHEME, "")
+    lengths = files.select(place.alias("place"), "length")
+    return names.join(lengths, "place", "left").select("file", F.coalesce("length", F.lit(0)).alias("length"))
+
+
+SCHEME = "^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?"
+
+
+def plain_path(uri: str) -> str:
+    return re.sub(SCHEME, "", uri)
 
 
 def file_name(uri: str) -> str:
@@ -169,7 +271,21 @@ def expected_files(spark: SparkSession, folder: str, names: Sequence[str]) -> Da
 
 
 def query(spark: SparkSession, sql: str, tables: Mapping[str, DataFrame], args: Mapping | None = None) -> DataFrame:
-    """Ad hoc SQL over named frames; values go in as `:name` parameters, not into the text."""
-    for name, df in tables.items():
-        df.createOrReplaceTempView(name)
-    return spark.sql(sql, args=dict(args or {}))
+    """Ad hoc SQL over named frames; values go in as `:name` parameters, not into the text.
+
+    Only queries run: anything that would change a table or a setting is refused by the parser. The
+    names are views while the query is planned; views of the caller under these names come back.
+    """
+    before = {}
+    for view in spark.catalog.listTables():
+        if view.isTemporary and view.name in {name.lower() for name in tables} | set(tables):
+            before[view.name] = spark.table(view.name)
+    try:
+        for name, df in tables.items():
+            df.createOrReplaceTempView(name)
+        return spark.sql(f"SELECT * FROM (\n{sql.rstrip().rstrip(';')}\n)", args=dict(args or {}))
+    finally:
+        for name in tables:
+            spark.catalog.dropTempView(name)
+        for name, df in before.items():
+            df.createOrReplaceTempView(name)

@@ -99,7 +99,7 @@ def history(spark: SparkSession, folder: str) -> DataFrame:
     """All snapshots, with their label as a partition column and the columns of all of them: one that
     a snapshot lacks is null there."""
     reader = spark.read.option("basePath", f"{folder}/history").option("mergeSchema", True)
-    return reader.parquet(f"{folder}/history/{SNAPSHOT_COLUMN}=*[0-9]")
+    return reader.parquet(f"{folder}/history/{SNAPSHOT_COLUMN}=????????_??????")
 
 
 def replace_table(df: DataFrame, table: str, path: str | None = None) -> DataFrame:

@@ -46,6 +46,61 @@ def test_csv_null_text(spark, folder):
     assert [r["document"] for r in named.collect()] == ["007", None, "12"]
 
 
+@pytest.mark.parametrize("lines", [["a,b", "1,2", "3"], ["a,b", "1,2", "4,5,6"], ["a,b", '1,"x', 'y"']])
+@pytest.mark.parametrize("missing", [None, readers.MISSING_TEXTS])
+def test_csv_with_ragged_lines_fails(spark, folder, lines, missing):
+    path = write_lines(spark, folder, "a.csv", lines)
+    with pytest.raises(Exception, match="MALFORMED|FAILFAST|FAILED_READ"):
+        readers.csv_table(spark, path, missing).collect()
+    assert len(readers.csv_table(spark, path, missing, strict=False).collect()) >= 2
+
+
+def test_csv_line_breaks_inside_quotes(spark, folder):
+    df = spark.createDataFrame([(1, 'a\nb"c'), (2, None)], "id int, note string")
+    writers.export_csv(df, folder)
+    assert sorted(rows(readers.csv_table(spark, folder, multi_line=True))) == [(1, 'a\nb"c'), (2, None)]
+
+
+def test_csv_spellings_of_missing_values(spark, folder):
+    path = write_lines(spark, folder, "a.csv", ["n,x,t,d,e", "1,1.5,NA,2024-01-02,", "N/A,None,y,nan,null", "12345678901,2,z,2024-01-03,NaN"])
+    got = readers.csv_table(spark, path, readers.MISSING_TEXTS)
+    assert [kind for _, kind in got.dtypes] == ["bigint", "double", "string", "date", "string"]
+    assert rows(got) == [
+        (1, 1.5, None, date(2024, 1, 2), None), (None, None, "y", None, None), (12345678901, 2.0, "z", date(2024, 1, 3), None),
+    ]
+    named = readers.csv_table(spark, path, readers.MISSING_TEXTS, "n bigint, x double, t string, d date, e string")
+    assert rows(named) == rows(got)
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        readers.csv_table(spark, path, readers.MISSING_TEXTS, "n bigint, x double, t int, d date, e string").collect()
+
+
+def test_csv_folder_without_files(spark, folder):
+    write_lines(spark, folder, "no.txt", ["q"])
+    assert rows(readers.csv_folder(spark, f"{folder}/in").report()) == []
+    write_lines(spark, folder, "empty.csv", [])
+    assert rows(readers.csv_folder(spark, f"{folder}/in").report()) == []
+
+
+def test_files_of_one_name_in_two_folders(spark, folder):
+    for part, lines in (("p=1", ["x" * 9]), ("p=2", ["x" * 19])):
+        write_lines(spark, f"{folder}/{part}", "data-1.csv", lines)
+    got = rows(readers.file_listing(spark, f"{folder}/*/in", "*.csv"))
+    assert sorted(got) == [("data-1.csv", 10), ("data-1.csv", 20)]
+
+
+def test_only_queries_run_and_views_come_back(spark, folder):
+    spark.range(3).createOrReplaceTempView("mine")
+    writers.replace_table(spark.range(2), "kept_table", folder)
+    given = {"mine": spark.range(7), "other": spark.range(1)}
+    assert readers.query(spark, "WITH x AS (SELECT * FROM mine) SELECT count(*) FROM x; ", given).first()[0] == 7
+    for text in ("DROP TABLE kept_table", "INSERT INTO kept_table SELECT 1", "SET a = 1", "CREATE TABLE t AS SELECT 1"):
+        with pytest.raises(Exception):
+            readers.query(spark, text, given).collect()
+    assert spark.table("mine").count() == 3 and spark.table("kept_table").count() == 2
+    assert not spark.catalog.tableExists("other")
+    spark.sql("DROP TABLE kept_table")
+
+
 def test_csv_folder_goes_on_after_a_bad_file(spark, folder):
     write_lines(spark, folder, "b.csv", ["x,y", "1,2", "3,4"])
     write_lines(spark, folder, "a.csv", CSV)
