@@ -152,4 +152,5 @@ def one_of_each(docs: DataFrame, id: str = "doc_id", text: str = "text") -> Data
     named = prints.join(roots, prints.fp == roots.node, "left")
     first = named.groupBy(F.coalesce("root", "fp")).agg(F.min("first").alias("first"))
     kept = saved(first.select(F.col("first.row").alias("row")), "kept")
-    return marked.join(kept, "row", "left_semi").select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)])
+    # Sorted on both sides whatever their size: texts are moved once either way at scale.
+    return marked.join(kept.hint("merge"), "row", "left_semi").select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)])
