@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quaylake.llm.common import SPACES, carried, numbered, position, saved, words_of
+from quaylake.llm.common import SPACES, numbered, position, saved, words_of
 
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
