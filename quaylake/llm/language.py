@@ -10,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quaylake.llm.common import picked
 from quaylake.llm.tokens import gathered
@@ -225,8 +226,13 @@ def predicted(docs: DataFrame, model: Model, text: str = "text", penalty: float
     are all texts if nothing could be learned. Equal rows are all kept.
     """
     rows = picked(docs, **carry, text=text)
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
-    schema += ", lang_pred string, score double, spans array<struct<lang:string,start:int,end:int>>"
+    span_type = T.ArrayType(T.StructType([
+        T.StructField("lang", T.StringType()), T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType()),
+    ]))
+    schema = T.StructType([
+        *rows.schema.fields[:-1], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()),
+        T.StructField("spans", span_type),
+    ])
     span = pa.list_(pa.struct([("lang", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -62,7 +62,7 @@ def test_one_document_of_each_class(awkward, rows):
     assert sorted((r["doc_id"] for r in kept.select("doc_id").collect()), key=repr) == want
 
 
-@pytest.mark.parametrize("bucket, parts", [(0, 2), (1, 3), (32, 2), (32, 1)])
+@pytest.mark.parametrize("bucket, parts", [(0, 2), (1, 3), (32, 2)])
 def test_links_lose_no_connection(session, bucket, parts):
     rng = random.Random(bucket + parts)
     prints = {rng.getrandbits(64) for _ in range(20)}

@@ -114,7 +114,7 @@ def odd_texts() -> list[str]:
     parts = ["a@b.c", "_d@e.f", ".", "@", "+", "1.2.3.4", "300.1.1.1", "007.1.1.1", "4111 1111 1111 1111", "-", " ", "é",
              "😀", "+1 (906) 555-4827", "5", "()", "4111-1111-1111-1112", "\n", "x", "%"]
     out = ["".join(rng.choices(parts, k=rng.randint(1, 25))) for _ in range(400)]
-    return [*out, "a" * 50_000 + "@", "9" * 50_000, "a@" + "b." * 20_000, "1." * 20_000, "+1" + ")" * 50_000, ""]
+    return [*out, "a" * 50_000 + "@", "9" * 50_000, "a@" + "b." * 20_000, "1." * 8_000, "+1" + ")" * 50_000, ""]
 
 
 def test_base_spans_are_those_of_the_plain_expressions(session, awkward, rows):
