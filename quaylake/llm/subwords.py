@@ -73,7 +73,7 @@ class Pieces:
             self.codes.append(codes[order])
             self.scores.append(np.array([x[1] for x in mine])[order])
             self.ids.append(np.array([x[2] for x in mine], np.int64)[order])
-        self.known: dict[str, bytes] = {}
+        self.known: list[dict[str, bytes]] = [{}, {}]
 
     def probed(self, codes: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
         """Score and id of the piece at each place of each row; -inf where there is none."""
@@ -95,16 +95,22 @@ class Pieces:
             score[ids < 0] = self.unknown
         return score, ids
 
-    def segmented(self, words: list[str]) -> list[bytes]:
-        """Ids of words of one length."""
+    def lattice(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Scores and ids of all pieces in words of one length, by word, end and start: column k of
+        `most` starts most - k places before the end. Where no piece is, -inf and -1."""
         size, most = len(words[0]), min(self.longest, len(words[0]))
         codes = np.frombuffer("".join(words).encode("utf-32-le"), "<u4").reshape(len(words), size).astype(np.uint64)
-        # By word, end and start: column k of `most` starts most - k places before the end.
         score = np.full((len(words), size + 1, most), -np.inf)
         piece = np.full((len(words), size + 1, most), -1, np.int32)
         for length in range(1, most + 1):
             s, i = self.probed(codes, length)
             score[:, length:, most - length], piece[:, length:, most - length] = s, i
+        return score, piece
+
+    def segmented(self, words: list[str]) -> list[bytes]:
+        """Ids of words of one length on the best path: all words advance by one end at a time."""
+        score, piece = self.lattice(words)
+        size, most = len(words[0]), score.shape[2]
         best = np.full((len(words), most + size + 1), -np.inf)
         best[:, most] = 0.0
         back = np.zeros((len(words), size + 1), np.int32)
@@ -127,29 +133,57 @@ class Pieces:
             every, end = every[open_], start[open_]
         return [np.array(ids[::-1], "<u4").tobytes() for ids in found]
 
-    def words(self, words: list[str]) -> list[bytes]:
+    def merged(self, words: list[str]) -> list[bytes]:
+        """Ids of words of one length by merges, as a model made for them is used: the two neighbours that
+        make the piece with the highest score become one, the first among equals, until none is left.
+        Each step takes one boundary out of every word that goes on, so their rows stay equally long."""
+        score, piece = self.lattice(words)
+        size, most = len(words[0]), score.shape[2]
+        every = np.arange(len(words))
+        bounds = np.tile(np.arange(size + 1), (len(words), 1))
+        found: list[bytes] = [b""] * len(words)
+        while len(every):
+            length = bounds[:, 2:] - bounds[:, :-2]
+            value = score[every[:, None], bounds[:, 2:], np.maximum(most - length, 0)]
+            value[length > most] = -np.inf
+            first = value.argmax(axis=1) if value.shape[1] else np.zeros(len(every), np.int64)
+            top = value[np.arange(len(every)), first] if value.shape[1] else np.full(len(every), -np.inf)
+            for row in np.flatnonzero(top == -np.inf):
+                word, ids = every[row], []
+                for start, end in zip(bounds[row, :-1], bounds[row, 1:]):
+                    i = piece[word, end, most - (end - start)]
+                    ids += [i] if i >= 0 else self.bytes[list(words[word][start].encode())].tolist()
+                found[word] = np.array(ids, "<u4").tobytes()
+            on = np.flatnonzero(top > -np.inf)
+            keep = np.ones((len(on), bounds.shape[1]), bool)
+            keep[np.arange(len(on)), first[on] + 1] = False
+            every, bounds = every[on], bounds[on][keep].reshape(len(on), bounds.shape[1] - 1)
+        return found
+
+    def words(self, words: list[str], merges: bool = False) -> list[bytes]:
         """Ids of words with the spaces or the line break before them."""
-        if len(self.known) > KNOWN:
-            self.known = {}
-        self.known[""] = b""
+        if len(self.known[merges]) > KNOWN:
+            self.known[merges] = {}
+        known, method = self.known[merges], self.merged if merges else self.segmented
+        known[""] = b""
         by_size: dict[int, list[str]] = {}
         for word in words:
-            if word not in self.known:
+            if word not in known:
                 by_size.setdefault(len(word), []).append(word)
         for size, group in by_size.items():
             step = max(1, CELLS // size)
             for low in range(0, len(group), step):
                 part = group[low:low + step]
-                self.known.update(zip(part, self.segmented([w.replace(" ", MARK) for w in part])))
-        return [self.known[w] for w in words]
+                known.update(zip(part, method([w.replace(" ", MARK) for w in part])))
+        return [known[w] for w in words]
 
-    def texts(self, texts: pa.Array) -> list[bytes]:
+    def texts(self, texts: pa.Array, merges: bool = False) -> list[bytes]:
         """Ids of whole texts: words with the spaces before them, one more before each text."""
         plain = pc.fill_null(texts, "").cast(pa.large_string())
         absent = next(c for c in map(chr, range(1, 0xD800)) if not pc.any(pc.match_substring(plain, c)).as_py())
         spaced = pc.binary_join_element_wise(pa.scalar(" ", pa.large_string()), plain, pa.scalar("", pa.large_string()))
         parted = pc.replace_substring_regex(spaced, self.breaks, f"{absent}\\1")
-        ids, at = word_by_word(parted, self.words, separator=absent)
+        ids, at = word_by_word(parted, lambda words: self.words(words, merges), separator=absent)
         data, empty = ids.tobytes(), pc.equal(pc.binary_length(plain), 0).to_pylist()
         return [b"" if none else data[4 * a:4 * b] for a, b, none in zip(at, at[1:], empty)]
 
@@ -160,9 +194,12 @@ def pieces(model: str) -> Pieces:
     return Pieces(model)
 
 
-def encoded(docs: DataFrame, text: str = "text", model: str = MODEL) -> DataFrame:
+def encoded(docs: DataFrame, text: str = "text", model: str = MODEL, merges: bool = False) -> DataFrame:
     """Adds `ids`: the ids of the text as little-endian unsigned 32-bit numbers.
 
+    The segmentation is the one with the highest sum of scores, as for a unigram model. `merges=True`
+    merges instead, which gives the ids that the library has for a BPE model.
+
     Text counts as it is (no normalisation), a space becomes the mark and one stands before the text. A
     null or empty text has no ids; a text of any length is encoded whole. Equal rows are all kept, an
     input column named `ids` is replaced, an empty table gives an empty result.
@@ -172,7 +209,7 @@ def encoded(docs: DataFrame, text: str = "text", model: str = MODEL) -> DataFram
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in gathered(batches, BATCH_BYTES):
-            ids = pa.array(pieces(model).texts(batch.column(place)), pa.binary())
+            ids = pa.array(pieces(model).texts(batch.column(place), merges), pa.binary())
             yield pa.RecordBatch.from_arrays([*batch.columns, ids], names=schema.names)
 
     return carried(docs, rows.mapInArrow(encode, schema), ["ids"])

@@ -9,6 +9,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -211,6 +212,14 @@ def test_segmentation_is_the_librarys(library, rows):
         assert mine == best or value(mine) == value(best)
 
 
+def test_merges_are_the_librarys(rows):
+    sentencepiece = pytest.importorskip("sentencepiece")
+    bpe = sentencepiece.SentencePieceProcessor(model_file=subwords.vocabulary_path(subwords.MODEL))
+    texts = [r[1] or "" for r in rows if len(r[1] or "") < 5000] + ["  two  spaces ", "日本語 テ\n\nx", "a", " ", "é̂ ", "tokenization"]
+    got = subwords.pieces(subwords.MODEL).texts(pa.array(texts), merges=True)
+    assert [np.frombuffer(ids, "<u4").tolist() for ids in got] == bpe.encode(texts)
+
+
 def test_segmentation_is_the_best_of_all(rows):
     known = subwords.pieces(subwords.MODEL)
     scores = {}
