@@ -14,19 +14,12 @@ MIN_CHARS = 20
 LG_K = 12
 # The sketch's relative standard error, and how many of them are near.
 ERROR, NEAR = 1.04 / math.sqrt(2**LG_K), 6.0
-SCHEME = r"^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]*)"
 
 
 def trimmed(line: Column) -> Column:
     return F.trim(line, F.lit(" \t\r"))
 
 
-def host(url: Column) -> Column:
-    """Host of a URL, lower case; text without a scheme is a site name itself."""
-    plain = F.lower(url)
-    return F.when(plain.rlike(SCHEME), F.regexp_extract(plain, SCHEME, 1)).otherwise(plain)
-
-
 def lines_of(docs: DataFrame, id: str, site: str, text: str) -> DataFrame:
     """One row per line that is long enough: document, hash of the site, place, hash of the line.
     Null sites count as one."""

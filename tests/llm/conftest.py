@@ -73,7 +73,3 @@ def awkward(session, rows):
 @pytest.fixture(scope="session")
 def empty(session):
     return session.createDataFrame([], WIDE)
-
-
-def rows_of(df, *columns) -> list[tuple]:
-    return sorted((tuple(r) for r in df.select(*columns).collect()), key=repr)
