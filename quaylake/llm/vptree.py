@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 from quaylake.llm.common import picked, saved
 
-SHARD_ROWS = 2048
-LEAF = 32
+SHARD_ROWS = 4096
+LEAF = 128
 SEED = 42
 ROUNDING = 1e-9  # relative slack, so that no rounding prunes a tie
 
@@ -46,6 +46,7 @@ class Tree:
             if len(same) < most:
                 same.append(owners[i])
         self.points, self.owners = points[first], list(found.values())
+        self.square = (self.points * self.points).sum(axis=1)
         self.random = np.random.default_rng(SEED)
         self.root = self.node(np.arange(len(first)))
 
@@ -68,21 +69,45 @@ class Tree:
         best = np.full((len(queries), most), np.inf)
         which = np.full((len(queries), most), len(self.owners))
 
+        square = (queries * queries).sum(axis=1)
+
         def offer(active: np.ndarray, candidates: np.ndarray) -> np.ndarray:
             far = distances(queries[active], self.points[candidates])
+            keep(active, candidates, far)
+            return far
+
+        def offer_many(active: np.ndarray, candidates: np.ndarray) -> None:
+            """As `offer`, but a product of matrices first leaves out what is surely too far."""
+            size = square[active][:, None] + self.square[candidates][None, :]
+            rough = size - 2 * (queries[active] @ self.points[candidates].T)
+            worst = best[active, -1] ** 2
+            near = rough <= worst[:, None] + ROUNDING * (size + 1)
+            some = np.flatnonzero(near.any(axis=1))
+            if not len(some):
+                return
+            row, column = np.nonzero(near[some])
+            left, right = queries[active[some[row]]], self.points[candidates[column]]
+            total = np.zeros(len(row))
+            for j in range(queries.shape[1]):
+                step = left[:, j] - right[:, j]
+                total += step * step
+            far = np.full((len(some), len(candidates)), np.inf)
+            far[row, column] = np.sqrt(total)
+            keep(active[some], candidates, far)
+
+        def keep(active: np.ndarray, candidates: np.ndarray, far: np.ndarray) -> None:
             both = np.concatenate([best[active], far], axis=1)
             index = np.concatenate([which[active], np.broadcast_to(candidates, far.shape)], axis=1)
             order = np.lexsort((index, both), axis=1)[:, :most]
             best[active] = np.take_along_axis(both, order, axis=1)
             which[active] = np.take_along_axis(index, order, axis=1)
-            return far
 
         def visit(node, active: np.ndarray) -> None:
             if not len(active):
                 return
             if isinstance(node, np.ndarray):
                 if len(node):
-                    offer(active, node)
+                    offer_many(active, node)
                 return
             at, radius, near, far = node
             away = offer(active, np.array([at]))[:, 0]
