@@ -158,7 +158,8 @@ def packed(items: DataFrame, length: str = "length", capacity: int = CAPACITY) -
     before = Window.partitionBy(size).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     blocks = blocks.select(size, "part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("before"))
     within = F.row_number().over(Window.partitionBy(size, "part").orderBy("row")) - 1
-    ranked = rows.withColumn("within", within).join(saved(blocks, "blocks"), [size, "part"])
+    # The blocks grow with the partitions, so they are met by sorting, in the order that is there already.
+    ranked = rows.withColumn("within", within).join(saved(blocks, "blocks").hint("merge"), [size, "part"])
     ranked = ranked.withColumn("rank", F.col("before") + F.col("within"))
     met = (F.col(size) == F.col("size")) & (F.col("rank") >= F.col("low")) & (F.col("rank") < F.col("high"))
     step = F.col("rank") - F.col("low")
