@@ -106,14 +106,15 @@ def linked(prints: DataFrame, distance: int = DISTANCE, parts: int = SEGMENTS, b
     table = listed.unionByName(full.withColumn("fp", F.lit(None).cast("long")))
     apart = F.bit_count(F.col("probe").bitwiseXOR(F.col("fp")))
     meets = F.col("fp").isNull() | ((F.col("probe") < F.col("fp")) & (apart <= distance))
-    found = probes.join(saved(table, "table"), ["part", "value"]).where(meets).select("probe", "fp")
+    # Many probes come from one row, which the optimizer doesn't reckon with: none of this is broadcast.
+    found = probes.join(saved(table, "table").hint("merge"), ["part", "value"]).where(meets).select("probe", "fp")
     found = saved(found.distinct(), "found")
     pairs = found.where("fp IS NOT NULL").select(F.col("probe").alias("a"), F.col("fp").alias("b"))
     crowd = found.where("fp IS NULL").select("probe")
     points = F.explode(F.array(*[F.col("probe").bitwiseXOR(F.lit(signed(m))) for m in ball(64, distance // 2)]))
     named = crowd.select("probe", points.alias("point"))
     least = named.groupBy("point").agg(F.min("probe").alias("low"), F.max("probe").alias("high")).where("low < high")
-    stars = named.join(saved(least.select("point", "low"), "points"), "point").where("low < probe")
+    stars = named.join(saved(least.select("point", "low"), "points").hint("merge"), "point").where("low < probe")
     return pairs.union(stars.select("probe", "low"))
 
 
