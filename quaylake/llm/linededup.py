@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from quaylake.llm.common import numbered, position, saved, text_hash
 
 SITES = 6
-MIN_CHARS = 20
+MIN_CHARS = 1  # after trimming, so only empty lines don't count
 LG_K = 12
 # The sketch's relative standard error, and how many of them are near.
 ERROR, NEAR = 1.04 / math.sqrt(2**LG_K), 6.0
@@ -20,7 +20,7 @@ def trimmed(line: Column) -> Column:
     return F.trim(line, F.lit(" \t\r"))
 
 
-def lines_of(docs: DataFrame, id: str, site: str, text: str) -> DataFrame:
+def lines_of(docs: DataFrame, id: str, site: str, text: str, min_chars: int = MIN_CHARS) -> DataFrame:
     """One row per line that is long enough: document, hash of the site, place, hash of the line.
     Null sites count as one."""
     rows = numbered(docs).select(
@@ -28,7 +28,7 @@ def lines_of(docs: DataFrame, id: str, site: str, text: str) -> DataFrame:
         F.xxhash64(F.coalesce(F.col(f"c{position(docs, site)}").cast("string"), F.lit("\0"))).alias("site"),
         F.posexplode(F.split(F.col(f"c{position(docs, text)}"), "\n", -1)).alias("at", "line"),
     )
-    rows = rows.withColumn("line", trimmed(F.col("line"))).where(F.length("line") >= MIN_CHARS)
+    rows = rows.withColumn("line", trimmed(F.col("line"))).where(F.length("line") >= min_chars)
     return rows.withColumn("line", text_hash(F.col("line")))
 
 
@@ -61,10 +61,11 @@ def spread(lines: DataFrame, sites: int = SITES) -> tuple[DataFrame, DataFrame]:
 
 def cleaned(
     docs: DataFrame, sites: int = SITES, id: str = "doc_id", site: str = "source", text: str = "text",
+    min_chars: int = MIN_CHARS,
 ) -> DataFrame:
     """Adds to c0, c1, ... of the input `n_lines`, `n_removed` and `kept_text`.
 
-    A line counts without spaces, tabs and carriage returns at its ends, and from MIN_CHARS characters.
+    A line counts without spaces, tabs and carriage returns at its ends, and from `min_chars` characters.
     Of a line that stands on at least `sites` sites one place stays, the first in the document with the
     smallest id (null ids last); its other places are removed, so that no text is lost altogether.
     Rows with equal id and text are the same document. A null text has no lines and stays null. A
@@ -72,7 +73,7 @@ def cleaned(
     """
     rows = numbered(docs)
     body = F.col(f"c{position(docs, text)}")
-    common, wide = spread(saved(lines_of(docs, id, site, text), "lines"), sites)
+    common, wide = spread(saved(lines_of(docs, id, site, text, min_chars), "lines"), sites)
     places = saved(common.join(wide, "line").select("key", "at", "line").distinct(), "places")
     first = saved(places.groupBy("line").agg(F.min(F.struct("key", "at")).alias("first")), "first")
     gone = places.join(first, "line").where(F.struct("key", "at") != F.col("first"))
@@ -90,10 +91,11 @@ def cleaned(
 
 def report(
     docs: DataFrame, sites: int = SITES, id: str = "doc_id", site: str = "source", text: str = "text",
+    min_chars: int = MIN_CHARS,
 ) -> DataFrame:
     """One row per document: its id, `n_lines`, `n_removed` and `kept_text`."""
     own = F.col(f"c{position(docs, id)}").alias("id")
-    return cleaned(docs, sites, id, site, text).select(own, "n_lines", "n_removed", "kept_text")
+    return cleaned(docs, sites, id, site, text, min_chars).select(own, "n_lines", "n_removed", "kept_text")
 
 
 def replaced(docs: DataFrame, sites: int = SITES) -> DataFrame:

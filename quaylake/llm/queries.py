@@ -117,7 +117,7 @@ def personal_data(spark: SparkSession, folder: str) -> DataFrame:
     """,
 )
 def line_boilerplate(spark: SparkSession, folder: str) -> DataFrame:
-    report = linededup.report(table(spark, folder, "documents"))
+    report = linededup.report(table(spark, folder, "documents"), min_chars=20)  # as in the SQL
     return report.select(
         F.col("id").alias("doc_id"), "n_lines", "n_removed", F.md5("kept_text").alias("kept_md5")
     )
