@@ -1,4 +1,4 @@
-"""Passages that repeat across documents: winnowed anchors are the seeds, windows round them extend."""
+"""Passages that repeat across documents: winnowed anchors are the seeds, fixed windows stand in for extension."""
 
 from __future__ import annotations
 
