@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quaylake.llm import (
-    language, linededup, packing, pii, quality, sharding, simhash, substring, subwords, tokens, vptree,
+    bytebpe, covertree, language, linededup, packing, pii, prefixtrie, quality, sharding, simhash, substring, subwords,
+    tokens, vptree,
 )
 from quaylake.llm.common import prepared
 
@@ -143,3 +144,101 @@ def substring_repeats(spark: SparkSession, folder: str) -> DataFrame:
 def best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     pieces = tokens.pieces(table(spark, folder, "documents"), packing.CAPACITY)
     return packing.packed(pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")))
+
+
+def lloyd_sql() -> str:
+    """The rounds one after the other: every part meets the entries of its codebook."""
+    rounds = []
+    for k in range(covertree.ROUNDS + 1):
+        rounds.append(f"""
+        near{k} AS MATERIALIZED (
+          SELECT row, part, arg_min(entry, (far, entry)) AS entry, min(far) AS far FROM (
+            SELECT row, p.part, entry, list_sum(list_transform(range(1, len(v) + 1), lambda i: (v[i] - c[i]) * (v[i] - c[i]))) AS far
+            FROM parts p JOIN book{k} b ON p.part = b.part) GROUP BY row, part)""")
+        if k < covertree.ROUNDS:
+            rounds.append(f"""
+        book{k + 1} AS MATERIALIZED (
+          SELECT b.part, b.entry, coalesce(m.c, b.c) AS c FROM book{k} b LEFT JOIN (
+            SELECT part, entry, list(CAST(floor(total / many) AS BIGINT) ORDER BY pos) AS c FROM (
+              SELECT n.part, n.entry, pos, sum(v[pos]) AS total, count(*) AS many
+              FROM near{k} n JOIN parts p ON n.row = p.row AND n.part = p.part, range(1, len(p.v) + 1) x(pos)
+              GROUP BY n.part, n.entry, pos) GROUP BY part, entry) m ON b.part = m.part AND b.entry = m.entry)""")
+    last = covertree.ROUNDS
+    return f"""
+    WITH kept AS MATERIALIZED (
+      SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) AS row, vec_id, label,
+             list_transform(CAST(embedding AS DOUBLE[]), lambda x: CAST(floor({covertree.SCALE} * x) AS BIGINT)) AS v
+      FROM embeddings
+      WHERE embedding IS NOT NULL AND len(embedding) > 0
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    ), parts AS MATERIALIZED (
+      SELECT row, part, v[part * (len(v) // {covertree.PARTS}) + 1 : (part + 1) * (len(v) // {covertree.PARTS})] AS v
+      FROM kept, range({covertree.PARTS}) x(part)
+    ), book0 AS MATERIALIZED (SELECT part, row - 1 AS entry, v AS c FROM parts WHERE row <= {covertree.ENTRIES}),
+    {",".join(rounds)},
+    coded AS (
+      SELECT row, string_agg(printf('%02x', CAST(entry AS INTEGER)), '' ORDER BY part) AS code, CAST(sum(far) AS BIGINT) AS error
+      FROM near{last} GROUP BY row
+    ), joined AS (SELECT * FROM kept JOIN coded USING (row)),
+    labels AS (SELECT label, CAST(sum(error) AS BIGINT) AS label_error FROM joined GROUP BY label)
+    SELECT vec_id, code, error, label_error,
+           (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY part, entry)) FROM book{last}) AS codebooks_sha256
+    FROM joined j JOIN labels l ON j.label IS NOT DISTINCT FROM l.label
+    """
+
+
+@query("op11_vector_codes", lloyd_sql())
+def vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    return covertree.compressed(table(spark, folder, "embeddings"))
+
+
+@query("op12_byte_bpe_round_trip")
+def byte_bpe_round_trip(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = bytebpe.encoded(docs, wanted=("ids", "id_text", "decoded"))
+    return found.select(
+        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("id_text", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+@query(
+    "op13_conversation_trie",
+    """
+    WITH RECURSIVE crc(i, k, v) AS (
+      SELECT i, 0, i FROM range(256) x(i)
+      UNION ALL SELECT i, k + 1, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END FROM crc WHERE k < 8
+    ), steps AS MATERIALIZED (SELECT list(v ORDER BY i) AS t FROM crc WHERE k = 8),
+    turns AS (
+      SELECT conv_id AS c, list({'r': coalesce(role, ''), 't': coalesce(text, '')} ORDER BY turn NULLS FIRST) AS own
+      FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+    ), lent AS (
+      SELECT c, own, xor(list_reduce(
+               list_prepend(4294967295, list_transform(string_split(CAST(c AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+               lambda s, x: xor(s >> 8, t[(xor(s, x) & 255) + 1])), 4294967295) % 4 AS h
+      FROM turns, steps
+    ), rebuilt AS MATERIALIZED (
+      SELECT l.c, list_concat(coalesce(f.own[1:l.h], []), coalesce(l.own[l.h + 1:], [])) AS seq
+      FROM lent l LEFT JOIN turns f ON f.c = l.c - l.c % 20
+    ), ways AS MATERIALIZED (
+      SELECT c, d, sha256(CAST(seq[1:d] AS VARCHAR)) AS key, seq[d].t AS said, len(seq) AS n
+      FROM rebuilt, LATERAL (SELECT unnest(range(0, len(seq) + 1)) AS d)
+    ), nodes AS MATERIALIZED (
+      SELECT d, key, min(c) AS rep, count(*) AS n_convs,
+             CASE WHEN d = 0 THEN 0 ELSE len(list_filter(regexp_split_to_array(any_value(said), '[ \t-\r]+'), lambda x: x <> '')) END AS words,
+             max(n) = d AS leaf, list(c ORDER BY c) FILTER (WHERE n = d) AS ends
+      FROM ways GROUP BY d, key
+    ), subtrees AS (
+      SELECT a.d, a.key, sum(CAST(b.leaf AS BIGINT)) AS n_leaves, sum((b.n_convs - 1) * b.words) AS saved_tokens
+      FROM nodes b JOIN ways w ON w.c = b.rep AND w.d <= b.d JOIN nodes a ON a.d = w.d AND a.key = w.key GROUP BY a.d, a.key
+    ), parents AS (
+      SELECT n.d, n.key, p.rep AS up FROM nodes n JOIN ways w ON w.c = n.rep AND w.d = n.d - 1 JOIN nodes p ON p.d = w.d AND p.key = w.key
+    ), children AS (SELECT d - 1 AS d, up, count(*) AS n_children FROM parents GROUP BY ALL)
+    SELECT n.rep AS conv_id, n.d AS depth, p.up AS parent_conv_id, n.n_convs, coalesce(k.n_children, 0) AS n_children,
+           CAST(n_leaves AS BIGINT) AS n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens,
+           sha256(coalesce(array_to_string(n.ends, ','), '')) AS ends_sha256
+    FROM nodes n JOIN subtrees s USING (d, key) LEFT JOIN parents p USING (d, key) LEFT JOIN children k ON k.d = n.d AND k.up = n.rep
+    """,
+)
+def conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefixtrie.summary(table(spark, folder, "conversations"))
