@@ -80,7 +80,9 @@ def cleaned(
     gone = saved(gone.groupBy("key").agg(F.collect_list("at").alias("gone")), "gone")
     joined = rows.withColumn("key", document(docs, id, text)).join(gone, "key", "left")
     joined = joined.withColumn("lines", F.split(body, "\n", -1))
-    kept = F.filter("lines", lambda x, i: ~F.array_contains("gone", i))
+    # A set of places, so that a document with many lines is not gone through once per line.
+    left = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("gone"))
+    kept = F.transform(left, lambda i: F.get("lines", i))
     return joined.select(
         *[f"c{i}" for i in range(len(docs.columns))],
         F.coalesce(F.size("lines"), F.lit(0)).cast("long").alias("n_lines"),

@@ -105,7 +105,7 @@ def personal_data(spark: SparkSession, folder: str) -> DataFrame:
       FROM documents
     ), lines AS (SELECT *, trim(line, ' ' || chr(9) || chr(13)) AS plain FROM places),
     wide AS (
-      SELECT plain FROM lines WHERE length(plain) >= 20
+      SELECT plain FROM lines WHERE plain <> ''
       GROUP BY plain HAVING count(DISTINCT coalesce(source, chr(0))) >= 6
     ), ranked AS (
       SELECT doc_id, place, line, (plain IN (SELECT plain FROM wide)) AS spread,
@@ -118,7 +118,7 @@ def personal_data(spark: SparkSession, folder: str) -> DataFrame:
     """,
 )
 def line_boilerplate(spark: SparkSession, folder: str) -> DataFrame:
-    report = linededup.report(table(spark, folder, "documents"), min_chars=20)  # as in the SQL
+    report = linededup.report(table(spark, folder, "documents"))
     return report.select(
         F.col("id").alias("doc_id"), "n_lines", "n_removed", F.md5("kept_text").alias("kept_md5")
     )
