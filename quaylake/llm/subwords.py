@@ -17,9 +17,10 @@ from quaylake.llm.tokens import gathered, vocabulary_path, word_by_word
 
 MODEL = "piece_bpe_32k.model"
 MARK = "▁"  # stands for a space
-KNOWN = 400_000  # words whose ids a worker remembers
-BATCH_BYTES = 8 << 20
-CELLS = 1 << 17  # letters of words that advance together
+KNOWN_BYTES = 48 << 20  # what a worker remembers of words and their ids
+ENTRY_BYTES = 200  # of a word besides its letters and ids
+BATCH_BYTES = 2 << 20
+CELLS = 1 << 15  # letters of words that advance together
 BASE = np.uint64(0x9E3779B97F4A7C15)
 UNKNOWN_PENALTY = 10.0
 
@@ -74,6 +75,7 @@ class Pieces:
             self.scores.append(np.array([x[1] for x in mine])[order])
             self.ids.append(np.array([x[2] for x in mine], np.int64)[order])
         self.known: list[dict[str, bytes]] = [{}, {}]
+        self.held = [0, 0]
 
     def probed(self, codes: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
         """Score and id of the piece at each place of each row; -inf where there is none."""
@@ -161,21 +163,26 @@ class Pieces:
         return found
 
     def words(self, words: list[str], merges: bool = False) -> list[bytes]:
-        """Ids of words with the spaces or the line break before them."""
-        if len(self.known[merges]) > KNOWN:
-            self.known[merges] = {}
+        """Ids of words with the spaces or the line break before them. Words are remembered up to KNOWN_BYTES,
+        also within a batch; then a new memory begins."""
+        if self.held[merges] > KNOWN_BYTES:
+            self.known[merges], self.held[merges] = {}, 0
         known, method = self.known[merges], self.merged if merges else self.segmented
-        known[""] = b""
-        by_size: dict[int, list[str]] = {}
-        for word in words:
-            if word not in known:
-                by_size.setdefault(len(word), []).append(word)
+        found = [known.get(word) if word else b"" for word in words]
+        by_size: dict[int, list[int]] = {}
+        for i, ids in enumerate(found):
+            if ids is None:
+                by_size.setdefault(len(words[i]), []).append(i)
         for size, group in by_size.items():
             step = max(1, CELLS // size)
             for low in range(0, len(group), step):
                 part = group[low:low + step]
-                known.update(zip(part, method([w.replace(" ", MARK) for w in part])))
-        return [known[w] for w in words]
+                for i, ids in zip(part, method([words[i].replace(" ", MARK) for i in part])):
+                    found[i] = ids
+                    if self.held[merges] <= KNOWN_BYTES:
+                        known[words[i]] = ids
+                        self.held[merges] += 4 * size + len(ids) + ENTRY_BYTES
+        return found
 
     def texts(self, texts: pa.Array, merges: bool = False) -> list[bytes]:
         """Ids of whole texts: words with the spaces before them, one more before each text."""
@@ -187,6 +194,10 @@ class Pieces:
         data, empty = ids.tobytes(), pc.equal(pc.binary_length(plain), 0).to_pylist()
         return [b"" if none else data[4 * a:4 * b] for a, b, none in zip(at, at[1:], empty)]
 
+    def decoded(self, ids: bytes) -> str:
+        text = b"".join(map(self.text.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+        return text.removeprefix(b" ").decode(errors="replace")
+
 
 @cache
 def pieces(model: str) -> Pieces:
@@ -194,25 +205,36 @@ def pieces(model: str) -> Pieces:
     return Pieces(model)
 
 
-def encoded(docs: DataFrame, text: str = "text", model: str = MODEL, merges: bool = False) -> DataFrame:
-    """Adds `ids`: the ids of the text as little-endian unsigned 32-bit numbers.
+FOUND = {"ids": BinaryType(), "merged_ids": BinaryType(), "decoded": StringType()}
+
+
+def encoded(docs: DataFrame, text: str = "text", model: str = MODEL, wanted: tuple[str, ...] = ("ids",)) -> DataFrame:
+    """Adds the wanted ones of `ids`, `merged_ids` (both little-endian unsigned 32-bit numbers) and `decoded`
+    (the text of `ids`).
 
-    The segmentation is the one with the highest sum of scores, as for a unigram model. `merges=True`
+    The segmentation of `ids` is the one with the highest sum of scores, as for a unigram model. `merged_ids`
     merges instead, which gives the ids that the library has for a BPE model.
 
     Text counts as it is (no normalisation), a space becomes the mark and one stands before the text. A
-    null or empty text has no ids; a text of any length is encoded whole. Equal rows are all kept, an
-    input column named `ids` is replaced, an empty table gives an empty result.
+    null or empty text has no ids; a text of any length is encoded whole. Equal rows are all kept, an input
+    column with the name of a wanted one is replaced, an empty table gives an empty result. One worker does all
+    of it in small batches and remembers a bounded number of bytes.
     """
     rows, place = numbered(docs), position(docs, text)
-    schema = StructType([*rows.schema.fields, StructField("ids", BinaryType())])
+    schema = StructType([*rows.schema.fields, *[StructField(name, FOUND[name]) for name in wanted]])
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in gathered(batches, BATCH_BYTES):
-            ids = pa.array(pieces(model).texts(batch.column(place), merges), pa.binary())
-            yield pa.RecordBatch.from_arrays([*batch.columns, ids], names=schema.names)
+            own, column = pieces(model), batch.column(place)
+            ids = own.texts(column) if {"ids", "decoded"} & set(wanted) else []
+            made = {
+                "ids": lambda: pa.array(ids, pa.binary()),
+                "merged_ids": lambda: pa.array(own.texts(column, merges=True), pa.binary()),
+                "decoded": lambda: pa.array(map(own.decoded, ids), pa.string()),
+            }
+            yield pa.RecordBatch.from_arrays([*batch.columns, *[made[name]() for name in wanted]], names=schema.names)
 
-    return carried(docs, rows.mapInArrow(encode, schema), ["ids"])
+    return carried(docs, rows.mapInArrow(encode, schema), list(wanted))
 
 
 def decoder(model: str = MODEL):
@@ -221,15 +243,8 @@ def decoder(model: str = MODEL):
 
     @F.arrow_udf(StringType())
     def decode(ids: pa.Array) -> pa.Array:
-        table = pieces(model).text
-        out = []
-        for value in ids.to_pylist():
-            if value is None:
-                out.append(None)
-                continue
-            text = b"".join(map(table.__getitem__, np.frombuffer(value, "<u4").tolist()))
-            out.append(text.removeprefix(b" ").decode(errors="replace"))
-        return pa.array(out, pa.string())
+        own = pieces(model)
+        return pa.array([None if value is None else own.decoded(value) for value in ids.to_pylist()], pa.string())
 
     return decode
 

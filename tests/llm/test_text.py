@@ -246,3 +246,34 @@ def test_round_trip(awkward, empty):
         assert r["back"] == (r[place] or "")
         assert len(r["ids"]) % 4 == 0 and (len(r["ids"]) > 0) == bool(r[place])
     assert subwords.encoded(empty).count() == 0
+
+
+def test_remembered_words_are_bounded_within_a_batch(monkeypatch):
+    monkeypatch.setattr(subwords, "KNOWN_BYTES", 20_000)
+    known, plain = subwords.Pieces(subwords.MODEL), subwords.pieces(subwords.MODEL)
+    texts = [" ".join(f"w{i * 7919 % 9973}x{i}" for i in range(k, k + 3000)) for k in range(0, 9000, 3000)]
+    for merges in (False, True):
+        for text in texts:
+            assert known.texts(pa.array([text]), merges) == plain.texts(pa.array([text]), merges)
+            assert len(known.known[merges]) < 120
+
+
+def test_the_query_returns_what_the_library_has(session, rows, tmp_path):
+    import hashlib
+    import zlib
+
+    import sentencepiece
+
+    from quaylake.llm import queries
+
+    docs = session.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    docs.repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    bpe = sentencepiece.SentencePieceProcessor(model_file=subwords.vocabulary_path(subwords.MODEL))
+    found = sorted(queries.QUERIES["op5_sentencepiece_round_trip"](session, str(tmp_path)).collect(), key=repr)
+    want = []
+    for doc_id, text, *_ in rows:
+        merged = np.array(bpe.encode(text), "<u4").tobytes() if text else b""
+        want.append((doc_id, hashlib.md5((text or "").encode()).hexdigest(), len(merged) // 4, zlib.crc32(merged)))
+    got = [(r["doc_id"], r["decoded_md5"], r["n_merged_ids"], r["merged_ids_crc32"]) for r in found]
+    assert sorted(map(repr, got)) == sorted(map(repr, want))
+    assert all(r["round_trip"] for r in found)
