@@ -17,10 +17,10 @@ from quaylake.llm.tokens import gathered, vocabulary_path, word_by_word
 
 MODEL = "piece_bpe_32k.model"
 MARK = "▁"  # stands for a space
-KNOWN_BYTES = 48 << 20  # what a worker remembers of words and their ids
+KNOWN_BYTES = 96 << 20  # what a worker remembers of words and their ids
 ENTRY_BYTES = 200  # of a word besides its letters and ids
-BATCH_BYTES = 2 << 20
-CELLS = 1 << 15  # letters of words that advance together
+BATCH_BYTES = 4 << 20
+CELLS = 1 << 16  # letters of words that advance together
 BASE = np.uint64(0x9E3779B97F4A7C15)
 UNKNOWN_PENALTY = 10.0
 
