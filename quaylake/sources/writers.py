@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quaylake.functions.time import utc_instant
-from quaylake.session import moved, removed
+from quaylake.session import file_system, moved, removed
 
 SNAPSHOT_COLUMN = "snapshot_ts"
 
@@ -34,11 +34,11 @@ def overwrite_parquet(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def written_beside(df: DataFrame, path: str) -> str:
+def written_beside(df: DataFrame, path: str, kind: str = "parquet", **options) -> str:
     """Writes to a sibling of `path`; after a failure nothing of it stays."""
     beside = f"{path.rstrip('/')}__new-{uuid.uuid4().hex}"
     try:
-        df.write.option("compression", "snappy").parquet(beside)
+        df.write.format(kind).options(**(options or {"compression": "snappy"})).save(beside)
     except Exception:
         removed(df.sparkSession, beside)
         raise
@@ -103,12 +103,15 @@ def history(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def replace_table(df: DataFrame, table: str, path: str | None = None) -> DataFrame:
-    """Create or replace a catalog table with the rows of `df`; `path` keeps its files there."""
-    writer = df.write.mode("overwrite").format("parquet")
-    if path is not None:
-        writer = writer.option("path", path)
-    writer.saveAsTable(table)
-    return df.sparkSession.table(table)
+    """Create or replace a catalog table with the rows of `df`; `path` keeps its files there. The old table
+    stays until the new one is complete, also when the job fails, and `df` may read from it."""
+    return swap_table(df, table, path)
+
+
+def place_of(spark: SparkSession, table: str) -> str:
+    """Where a catalog table keeps its files."""
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").collect()
+    return rows[0]["data_type"] if rows else ""
 
 
 def replace_view(df: DataFrame, name: str) -> DataFrame:
@@ -126,30 +129,85 @@ def store_view(spark: SparkSession, name: str, sql: str) -> DataFrame:
 def swap_table(df: DataFrame, table: str, path: str | None = None) -> DataFrame:
     """Build a table under a temporary name, then put it in the place of the old one.
 
-    Readers see the old table until the new one is complete; `df` may read from it. The old one is
-    renamed aside, dropped last, and put back if the new one can't take its name.
+    Readers see the old table until the new one is complete; `df` may read from it. With a `path` every
+    build has a new folder below it. The old table is renamed aside, put back if the new one can't take its
+    name, and dropped last, together with the folder of its own build. After a failure the old rows are there.
     """
-    spark = df.sparkSession
-    building, aside = f"{table}__tmp", f"{table}__old"
-    spark.sql(f"DROP TABLE IF EXISTS {building}")
-    replace_table(df, building, path)
-    had = spark.catalog.tableExists(table)
-    if had:
-        spark.sql(f"DROP TABLE IF EXISTS {aside}")
-        spark.sql(f"ALTER TABLE {table} RENAME TO {aside}")
+    spark, mark = df.sparkSession, uuid.uuid4().hex
+    building, aside = f"{table}__new_{mark}", f"{table}__old_{mark}"
+    files, place = file_system(spark, path) if path is not None else (None, None)
+    builds = f"{files.makeQualified(place).toString().rstrip('/')}/build-" if path is not None else None
+    had, renamed = spark.catalog.tableExists(table), False
+    old = place_of(spark, table) if had else ""
     try:
+        writer = df.write.format("parquet")
+        (writer if path is None else writer.option("path", f"{builds}{mark}")).saveAsTable(building)
+        if had:
+            spark.sql(f"ALTER TABLE {table} RENAME TO {aside}")
+            renamed = True
         spark.sql(f"ALTER TABLE {building} RENAME TO {table}")
     except Exception:
-        if had:
+        if renamed:
             spark.sql(f"ALTER TABLE {aside} RENAME TO {table}")
+        spark.sql(f"DROP TABLE IF EXISTS {building}")
+        if path is not None:
+            removed(spark, f"{builds}{mark}")
         raise
     if had:
         spark.sql(f"DROP TABLE {aside}")
+        if path is not None and old.startswith(builds):
+            removed(spark, old)
     return spark.table(table)
 
 
 def export_csv(df: DataFrame, path: str, one_file: bool = False) -> None:
-    """CSV with a header, in the order of `df`; `one_file` sends all rows through one task and
-    is meant for small exports only."""
-    out = df.coalesce(1) if one_file else df
-    out.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    """CSV with a header, in the order of `df`. An old export stays until the new one is complete.
+
+    With `one_file` the parts are written by as many tasks as `df` has and then joined in their order into one
+    file with one header, by the file system itself where it can (HDFS), else by copying; no task and no frame
+    on the driver holds all rows."""
+    spark = df.sparkSession
+    if not one_file:
+        put_in_place(spark, written_beside(df, path, "csv", header=True, escape='"'), path)
+        return
+    parts = written_beside(df, path, "csv", header=False, escape='"')
+    whole = None
+    try:
+        whole = written_beside(spark.createDataFrame([], df.schema).coalesce(1), path, "csv", header=True, escape='"')
+        joined_files(spark, parts, whole)
+        put_in_place(spark, whole, path)
+    except Exception:
+        if whole is not None:
+            removed(spark, whole)
+        raise
+    finally:
+        removed(spark, parts)
+
+
+def joined_files(spark: SparkSession, parts: str, whole: str) -> None:
+    """Puts the files of the folder `parts` behind the one file of the folder `whole`, in order of their names."""
+    files, place = file_system(spark, parts)
+
+    def data(folder) -> list:
+        return sorted((f.getPath() for f in files.listStatus(folder) if f.getPath().getName().startswith("part-")), key=str)
+
+    target = data(spark._jvm.org.apache.hadoop.fs.Path(whole))[0]
+    sources = [p for p in data(place) if files.getFileStatus(p).getLen()]
+    if files.getUri().getScheme() == "hdfs" and files.getFileStatus(target).getLen():
+        array = spark.sparkContext._gateway.new_array(spark._jvm.org.apache.hadoop.fs.Path, len(sources))
+        for i, source in enumerate(sources):
+            array[i] = source
+        files.concat(target, array)
+        return
+    done = target.suffix(".joined")
+    out = files.create(done, True)
+    try:
+        for source in [target, *sources]:
+            stream = files.open(source)
+            spark._jvm.org.apache.hadoop.io.IOUtils.copyBytes(stream, out, 1 << 20, False)
+            stream.close()
+    finally:
+        out.close()
+    files.delete(target, False)
+    if not files.rename(done, target):
+        raise OSError(f"{done} could not be renamed to {target}")
