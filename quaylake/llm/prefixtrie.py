@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -15,6 +16,8 @@ from quaylake.llm.common import picked, saved, words_of
 FAMILY = 20  # conversations c - c % FAMILY lend their first turns to the others
 SHARED = 4  # up to this many turns, less one, are lent
 LARGE = 4096  # a component with more than 1 / LARGE of all weight is large: there are fewer than LARGE of them
+SMALL = 1024  # components of at most this weight, so of at most as many nodes, are finished within one task
+BLOCK = 8192  # rows of small components that are looked at together
 RUN = 8192  # ids that are written as one text
 NOTHING = hashlib.sha256(b"").hexdigest()
 
@@ -122,7 +125,93 @@ def at_component(rows: DataFrame, found: DataFrame, whole: int) -> DataFrame:
     return rows.join(F.broadcast(large), key).unionByName(others.join(small.hint("merge"), key))
 
 
-def rolled_up(nodes: DataFrame, ways: DataFrame, values: list[str]) -> DataFrame:
+def within(columns: list[np.ndarray], values: list[np.ndarray]) -> list[np.ndarray]:
+    """Sums over subtrees for whole components in one block: the same rounds as `rolled_up`, in arrays.
+
+    `columns` are top, top_depth, rep, depth, parent and weight. A node is below another if its place in
+    preorder lies among that one's subtree, which replaces the look at the way to it."""
+    top, top_depth, rep, depth, parent, weight = columns
+    n = len(rep)
+    names, code = np.unique(np.concatenate([rep, parent]), return_inverse=True)
+    levels, level = np.unique(depth, return_inverse=True)
+    is_top = (rep == top) & (depth == top_depth)
+    key = code[:n] * len(levels) + level
+    by_key = np.argsort(key)
+    above = by_key[np.minimum(np.searchsorted(key[by_key], code[n:] * len(levels) + level - 1), n - 1)]
+    above = np.where(is_top, n, above)  # place n stands above all tops
+    size = np.ones(n + 1, np.int64)
+    by_level = np.split(np.argsort(level, kind="stable"), np.cumsum(np.bincount(level))[:-1])
+    for nodes in reversed(by_level):
+        np.add.at(size, above[nodes], size[nodes])
+    kin = np.argsort(above, kind="stable")
+    before = np.cumsum(size[kin]) - size[kin]
+    starts = np.flatnonzero(np.diff(above[kin], prepend=-1))
+    place = np.zeros(n + 1, np.int64)
+    place[kin] = before - np.repeat(before[starts], np.diff(np.append(starts, n))) + 1
+    for nodes in by_level:
+        place[nodes] += place[above[nodes]]
+    # Tops come first among the nodes of their component, by depth.
+    component = np.flatnonzero(is_top)[np.cumsum(is_top) - 1]
+    weight, sums, result = weight.copy(), [np.zeros(n, np.int64) for _ in values], [np.zeros(n, np.int64) for _ in values]
+    mid = np.empty(n, np.int64)
+    left = np.arange(n)
+    while len(left):
+        order = left[np.lexsort((weight[left], -np.frexp(weight[left].astype(float))[1], component[left]))]
+        mids = order[np.flatnonzero(np.diff(component[order], prepend=-1))]
+        mid[component[mids]] = mids
+        own = mid[component[left]]
+        inside = (place[left] >= place[own]) & (place[left] < place[own] + size[own])
+        over = (place[left] < place[own]) & (place[own] < place[left] + size[left])
+        for value, total, out in zip(values, sums, result):
+            below = np.zeros(n, np.int64)
+            np.add.at(below, own[inside], value[left[inside]])
+            out[mids] = below[mids] + total[mids]
+            total[left[over]] += below[own[over]]
+        weight[left[over]] -= weight[own[over]]
+        stay = left != own
+        deep, centre = left[inside & stay], own[inside & stay]
+        kids = deep[above[deep] == centre]
+        spot = component[kids] * (n + 1) + place[kids]
+        kids, spot = kids[np.argsort(spot)], np.sort(spot)
+        component[deep] = kids[np.searchsorted(spot, component[deep] * (n + 1) + place[deep], "right") - 1]
+        left = left[stay]
+    return result
+
+
+def finished(rows: DataFrame, values: list[str]) -> DataFrame:
+    """(`rep`, `depth` and the values) of small components: every one meets in one task, as rows in order, and is
+    decomposed there together with its neighbours in the block. `sum_` columns are what was added before."""
+    sums = [f"sum_{v}" for v in values]
+    key = ["top", "top_depth"]
+    rows = rows.select(*key, "rep", "depth", F.coalesce("parent", "rep").alias("parent"), "weight", *values, *sums)
+    rows = rows.repartition(*key).sortWithinPartitions(*key, "depth", "rep")
+
+    def solved(table: pa.Table) -> pa.RecordBatch:
+        columns = [c.to_numpy() for c in table.columns]
+        given, added = columns[6:6 + len(values)], columns[6 + len(values):]
+        totals = [t + a for t, a in zip(within(columns[:6], given), added)]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in (columns[2], columns[3], *totals)], names=["rep", "depth", *values])
+
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            held.append(batch)
+            if sum(b.num_rows for b in held) < BLOCK:
+                continue
+            table = pa.Table.from_batches(held).combine_chunks()
+            top, top_depth = (table.column(c).to_numpy() for c in key)
+            cut = int(np.flatnonzero((top != top[-1]) | (top_depth != top_depth[-1]))[-1:].sum()) + 1
+            if top[cut - 1] == top[-1] and top_depth[cut - 1] == top_depth[-1]:
+                continue  # one component so far
+            yield solved(table.slice(0, cut))
+            held = table.slice(cut).to_batches()
+        if sum(b.num_rows for b in held):
+            yield solved(pa.Table.from_batches(held).combine_chunks())
+
+    return rows.mapInArrow(blocks, ", ".join(f"{c} long" for c in ("rep", "depth", *values)))
+
+
+def rolled_up(nodes: DataFrame, ways: DataFrame, values: list[str], small: int) -> DataFrame:
     """(`rep`, `depth` and the values) with each value summed over the node's subtree.
 
     Centroid decomposition of the forest of parent edges. In every component the centroid is the lowest node
@@ -137,18 +226,24 @@ def rolled_up(nodes: DataFrame, ways: DataFrame, values: list[str]) -> DataFrame
     4. That total is added to all nodes on the way from the centroid to its component's top. These lose its
        weight and stay together as the remaining component.
 
-    A node's sum is its total as a centroid and what was added to it before.
+    A node's sum is its total as a centroid and what was added to it before. A component whose weight is at most
+    `small` leaves the rounds: its further rounds need nothing from outside, so one task goes through them.
     """
     sums = [f"sum_{v}" for v in values]
-    state = nodes.select("rep", "depth", "weight", *values, *[F.lit(0).cast("long").alias(s) for s in sums])
+    columns = ["rep", "depth", "parent", "weight", *values, *sums, "top", "top_depth"]
     top = nodes.where("depth = 0").select("rep", "weight").first()
     if top is None:
-        return state.select("rep", "depth", *values)
+        return nodes.select("rep", "depth", *values)
     whole = top["weight"]
-    state = saved(state.withColumns({"top": F.lit(top["rep"]).cast("long"), "top_depth": F.lit(0).cast("long")}), "forest")
+    state = nodes.withColumns({
+        "parent": F.col("up"), "top": F.lit(top["rep"]).cast("long"), "top_depth": F.lit(0).cast("long"),
+        **{s: F.lit(0).cast("long") for s in sums},
+    })
+    state = saved(state.select(*columns), "forest")
     done: list[DataFrame] = []
+    leaving: list[DataFrame] = []
     ahead = ways.select(F.col("id").alias("rep"), F.col("depth").alias("next_depth"), F.col("rep").alias("next"), "up")
-    while state.limit(1).count():
+    while True:
         digits = F.length(F.bin("weight"))
         best = F.max(F.struct(digits.alias("digits"), (-F.col("weight")).alias("weight"), "rep", "depth"))
         found = state.groupBy("top", "top_depth").agg(best.alias("best"), F.max("weight").alias("total"))
@@ -156,11 +251,17 @@ def rolled_up(nodes: DataFrame, ways: DataFrame, values: list[str]) -> DataFrame
             "top", "top_depth", "total", F.col("best.rep").alias("mid"), F.col("best.depth").alias("mid_depth"),
             (-F.col("best.weight")).alias("mid_weight"),
         ), "centroids")
+        if not found.where(F.col("total") > small).limit(1).count():
+            leaving.append(state)
+            break
         met = at_component(state, found, whole).withColumn("next_depth", F.col("mid_depth") + 1)
-        deep = met.where("depth > mid_depth").join(ahead.hint("merge"), ["rep", "next_depth"])
-        rest = met.where("depth <= mid_depth").withColumns({c: F.lit(None).cast("long") for c in ("next", "up")})
-        met = deep.unionByName(rest).withColumn("below", F.coalesce(F.col("up") == F.col("mid"), F.lit(False)))
+        deep = F.expr("depth > mid_depth") & (F.col("total") > small)
+        rest = met.where(~deep).withColumns({c: F.lit(None).cast("long") for c in ("next", "up")})
+        met = met.where(deep).join(ahead.hint("merge"), ["rep", "next_depth"]).unionByName(rest)
+        met = met.withColumn("below", F.coalesce(F.col("up") == F.col("mid"), F.lit(False)))
         met = saved(met.withColumn("is_mid", (F.col("rep") == F.col("mid")) & (F.col("depth") == F.col("mid_depth"))), "met")
+        leaving.append(met.where(F.col("total") <= small).select(*columns))
+        met = met.where(F.col("total") > small)
         totals = met.where("below OR is_mid").groupBy("mid", "mid_depth", "mid_weight", "top_depth").agg(
             *[F.sum(v).alias(v) for v in values], *[F.sum(F.when(F.col("is_mid"), F.col(s))).alias(s) for s in sums]
         )
@@ -179,14 +280,11 @@ def rolled_up(nodes: DataFrame, ways: DataFrame, values: list[str]) -> DataFrame
             return (F.col(base) + F.coalesce(by, F.lit(0))).alias(base)
 
         state = saved(left.select(
-            "rep", "depth", more("weight", -F.col("loss")), *values, *[more(s, F.col(f"more_{v}")) for s, v in zip(sums, values)],
+            "rep", "depth", "parent", more("weight", -F.col("loss")), *values, *[more(s, F.col(f"more_{v}")) for s, v in zip(sums, values)],
             F.when(F.col("below"), F.col("next")).otherwise(F.col("top")).alias("top"),
             F.when(F.col("below"), F.col("next_depth")).otherwise(F.col("top_depth")).alias("top_depth"),
         ), "forest")
-    result = done[0]
-    for part in done[1:]:
-        result = result.unionByName(part)
-    return result
+    return reduce(DataFrame.unionByName, [finished(reduce(DataFrame.unionByName, leaving), values), *done])
 
 
 def ends(ways: DataFrame) -> DataFrame:
@@ -248,7 +346,7 @@ def summary(
     nodes, ways = trie(turns, all_of_them)
     value = nodes.withColumn("n_leaves", F.col("leaf").cast("long"))
     value = saved(value.withColumn("saved_tokens", (F.col("n_convs") - 1) * F.col("words")), "trie")
-    sums = rolled_up(value, ways, ["n_leaves", "saved_tokens"])
+    sums = rolled_up(value, ways, ["n_leaves", "saved_tokens"], SMALL)
     children = value.where("depth > 0").groupBy(F.col("up").alias("rep"), (F.col("depth") - 1).alias("depth")).agg(
         F.count(F.lit(1)).alias("n_children")
     )

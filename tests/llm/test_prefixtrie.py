@@ -6,6 +6,9 @@ import hashlib
 import zlib
 from collections import defaultdict
 
+import numpy as np
+import pytest
+
 from quaylake.llm import prefixtrie, queries
 
 COLUMNS = "conv_id long, turn long, role string, text string, depth string, rep int, part string, `TOP` long"
@@ -62,8 +65,12 @@ def brute(found: list[tuple]) -> list[str]:
     return sorted(out)
 
 
-def test_the_query_against_a_plain_trie(session, tmp_path, monkeypatch):
+@pytest.mark.parametrize("small, block", [(1, 8192), (40, 50), (1024, 300), (10**6, 8192)])
+def test_the_query_against_a_plain_trie(session, tmp_path, monkeypatch, small, block):
+    """With all, some and no rounds of the decomposition within tasks."""
     monkeypatch.setattr(prefixtrie, "RUN", 7)
+    monkeypatch.setattr(prefixtrie, "SMALL", small)
+    monkeypatch.setattr(prefixtrie, "BLOCK", block)
     steps = []
     plain = prefixtrie.saved
     monkeypatch.setattr(prefixtrie, "saved", lambda df, name: steps.append(name) or plain(df, name))
@@ -76,7 +83,7 @@ def test_the_query_against_a_plain_trie(session, tmp_path, monkeypatch):
     ]
     assert sorted(repr(tuple(r)) for r in found.collect()) == brute(data)
     weight = sum(eval(r)[3] for r in brute(data))
-    assert steps.count("centroids") <= weight.bit_length() < 13  # depths reach 700
+    assert steps.count("centroids") <= max(weight.bit_length() - small.bit_length(), 0) + 2  # depths reach 700
 
 
 def test_turns_under_one_number_are_all_kept(session):
@@ -89,3 +96,29 @@ def test_turns_under_one_number_are_all_kept(session):
 def test_no_conversations(session):
     assert prefixtrie.summary(session.createDataFrame([], COLUMNS)).collect() == []
     assert prefixtrie.summary(session.createDataFrame([(None, 1, "a", "b", "x", 1, "y", 5)], COLUMNS)).collect() == []
+
+
+def test_whole_components_in_one_block():
+    """Random forests, among them paths and stars, against plain sums."""
+    rng = np.random.default_rng(3)
+    for n in (1, 2, 7, 60, 400):
+        for reach in (1, 3, n):
+            columns, values, want = [], [], []
+            for tree in range(3):  # a tree's root is node 0; ids and depths of trees overlap only by depth
+                up = [-1] + [max(0, i - 1 - int(rng.integers(0, reach))) for i in range(1, n)]
+                depth = [5 + tree]
+                for i in range(1, n):
+                    depth.append(depth[up[i]] + 1)
+                members = rng.integers(1, 4, n).tolist()
+                weight, value = members[:], rng.integers(0, 50, n).tolist()
+                total = value[:]
+                for i in range(n - 1, 0, -1):
+                    weight[up[i]] += weight[i]
+                    total[up[i]] += total[i]
+                ids = [tree * 1000 + i for i in range(n)]
+                order = sorted(range(n), key=lambda i: (depth[i], ids[i]))
+                columns += [(ids[0], depth[0], ids[i], depth[i], ids[max(up[i], 0)], weight[i]) for i in order]
+                values += [value[i] for i in order]
+                want += [total[i] for i in order]
+            got = prefixtrie.within([np.array(c, np.int64) for c in zip(*columns)], [np.array(values, np.int64)])
+            assert got[0].tolist() == want
