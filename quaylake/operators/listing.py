@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -70,45 +71,72 @@ def object_names(
     return found.filter(F.col("name").isNotNull()).distinct()
 
 
+# Lengths of the pieces that names are looked up by: a name has the longest one that fits.
+GRAM_SIZES = (1, 2, 4, 8, 16)
+
+
 def mention_counts(
     lines: DataFrame, names: DataFrame, mentions: dict[str, Mention] = MENTIONS,
 ) -> DataFrame:
     """Per name the number of lines that mention it, one column per mention rule.
 
-    `names` holds distinct names. Every line offers one seed per place, the text there in the length of
-    the shortest name; a name is looked for only where its own beginning equals the seed, and the rest
-    is compared there. Lines are never compared with all names, and of a line no more moves than its
-    number and, per place, as much text as the longest name needs. A seed that occurs very often is
-    split by adaptive execution. A line counts once per name. Finding the names, and numbering the
-    lines, runs jobs.
+    `names` holds distinct names. Lines and names meet by rare pieces (`met`), and each pair is compared once
+    more at its place; lines are never compared with all names, and of a line no more moves than its number and
+    the hashes of its pieces until a name is met. A piece that occurs very often is split by adaptive execution.
+    A line counts once per name. Finding the names, numbering the lines and counting pieces runs jobs.
     """
     names = materialize(names.select("name").where(F.length("name") > 0))
-    size = names.agg(F.min(F.length("name")).alias("least"), F.max(F.length("name")).alias("most")).first()
-    least, most = size["least"] or 1, size["most"] or 1
-    suffix = max(len(m.suffix) for m in mentions.values())
     kinds = {f"is_{column}": m.kind.test(F.col("value")) for column, m in mentions.items()}
     relevant = lines.select("value", *[test.alias(name) for name, test in kinds.items()])
     relevant = relevant.where(reduce(lambda a, b: a | b, [F.col(name) for name in kinds]))
     numbered = materialize(relevant.withColumn("line", F.monotonically_increasing_id()))
-    seeds = offered(numbered, least, most + suffix, list(kinds))
-    started = names.withColumn("seed", F.substring("name", 1, least))
-    found = seeds.join(started, "seed").where(F.col("text").startswith(F.col("name")))
+    pairs = met(numbered, names).join(numbered, "line")
+
+    def there(suffix: str) -> Column:
+        wanted = F.concat("name", F.lit(suffix))
+        return F.substring(F.col("value"), F.col("start"), F.length(wanted)) == wanted
+
     hit = [
-        (F.col(f"is_{column}") & F.col("text").startswith(F.concat("name", F.lit(m.suffix)))).cast("int").alias(column)
-        for column, m in mentions.items()
+        (F.col(f"is_{column}") & there(m.suffix)).cast("int").alias(column) for column, m in mentions.items()
     ]
-    once = found.select("name", "line", *hit).groupBy("name", "line").agg(*[F.max(c).alias(c) for c in mentions])
-    counted = once.groupBy("name").agg(*[F.sum(column).alias(column) for column in mentions])
+    once = pairs.where(there("")).select("name", "line", *hit).groupBy("name", "line")
+    counted = once.agg(*[F.max(c).alias(c) for c in mentions]).groupBy("name")
+    counted = counted.agg(*[F.sum(column).alias(column) for column in mentions])
     return names.join(counted, "name", "left").select(
         "name", *[F.coalesce(F.col(column), F.lit(0)).alias(column) for column in mentions]
     )
 
 
-def offered(lines: DataFrame, least: int, most: int, keep: list[str]) -> DataFrame:
-    """One row per place of every line where a name of `least` characters fits: the seed, and the text
-    from there on, at most `most` characters."""
-    last = F.length("value") - least + 1
-    place = F.explode(F.sequence(F.lit(1), last)).alias("place")
-    placed = lines.where(last >= 1).select("line", "value", *keep, place)
-    text = F.substring(F.col("value"), F.col("place"), F.lit(most))
-    return placed.select("line", *keep, F.substring(text, 1, least).alias("seed"), text.alias("text"))
+def met(lines: DataFrame, names: DataFrame) -> DataFrame:
+    """Pairs (`line`, `name`, `start`) that can be mentions: all true ones, and few others.
+
+    Every name is looked up by one of its pieces of a fixed length: the one that occurs least often in the
+    lines, which one aggregation counts. So names with one beginning, or a very short name among long ones,
+    don't make lines and names meet that have nothing else in common.
+    """
+    sized = names.withColumn("size", F.lit(GRAM_SIZES[0]))
+    for size in GRAM_SIZES[1:]:
+        sized = sized.withColumn("size", F.when(F.length("name") >= size, F.lit(size)).otherwise(F.col("size")))
+    used = sorted(r["size"] for r in sized.select("size").distinct().collect())  # at most as many as GRAM_SIZES
+    at = F.explode(F.sequence(F.lit(1), F.length("name") - F.col("size") + 1)).alias("at")
+    pieces = sized.select("name", "size", at)
+    pieces = pieces.select("name", "at", F.xxhash64(F.substring(F.col("name"), F.col("at"), F.col("size"))).alias("key"))
+    offered = grams(lines, used)
+    counted = offered.groupBy("key").count()
+    # A name with a piece that no line has is mentioned nowhere.
+    rare = pieces.join(counted, "key", "left").groupBy("name").agg(
+        F.min(F.struct(F.coalesce("count", F.lit(0)).alias("count"), "at", "key")).alias("seed")
+    )
+    seeds = materialize(rare.where("seed.count > 0").select("name", "seed.at", "seed.key"))
+    start = (F.col("place") - F.col("at") + 1).alias("start")
+    return offered.join(seeds, "key").select("line", "name", start).where("start >= 1")
+
+
+def grams(lines: DataFrame, sizes: Sequence[int]) -> DataFrame:
+    """(`line`, `place`, `key`): the hash of every piece of the given lengths, of every line."""
+    placed = lines.where(F.length("value") > 0).select(
+        "line", "value", F.explode(F.sequence(F.lit(1), F.length("value"))).alias("place")
+    )
+    fits = F.filter(F.lit(list(sizes)), lambda size: F.col("place") + size - 1 <= F.length("value"))
+    each = placed.select("line", "place", "value", F.explode(fits).alias("size"))
+    return each.select("line", "place", F.xxhash64(F.substring(F.col("value"), F.col("place"), F.col("size"))).alias("key"))

@@ -207,10 +207,21 @@ def test_mentions_against_brute_force(spark, broadcast):
 def test_a_line_offers_no_more_than_its_length(spark):
     texts = ["", "ab", "abc" * 14, "x" * 43]
     lines = spark.createDataFrame(list(enumerate(texts)), "line long, value string")
-    for least, most in ((1, 30), (3, 30), (40, 60)):
-        got = listing.offered(lines, least, most, []).collect()
-        want = sorted((i, t[p:p + least], t[p:p + most]) for i, t in enumerate(texts) for p in range(len(t) - least + 1))
-        assert sorted(tuple(r) for r in got) == want
+    for sizes in ((1,), (2, 8), (1, 4, 16)):
+        got = sorted((r["line"], r["place"]) for r in listing.grams(lines, sizes).collect())
+        assert got == sorted((i, p + 1) for i, t in enumerate(texts) for k in sizes for p in range(len(t) - k + 1))
+
+
+def test_names_with_one_beginning_meet_few_lines(spark):
+    """Two thousand names that differ in their ends, and one of a single letter."""
+    texts = [f"INDEX table_number_{i % 2000}_key" for i in range(4000)]
+    names = [f"table_number_{i}" for i in range(2000)] + ["t", "nowhere_at_all", "é" * 20]
+    lines = spark.createDataFrame(list(enumerate(texts)), "line long, value string")
+    given = spark.createDataFrame([(n,) for n in names], "name string")
+    mentions = sum(name in text for name in names for text in texts)
+    assert listing.met(lines, given).count() <= 2 * mentions + len(texts)
+    got = {r["name"]: (r["indexes"], r["foreign_keys"]) for r in listing.mention_counts(lines, given).collect()}
+    assert got == brute_mentions(texts, names)
 
 
 def test_all_comment_lines_are_shown(spark):
