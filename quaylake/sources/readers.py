@@ -4,11 +4,10 @@ from __future__ import annotations
 
 import re
 from collections.abc import Mapping, Sequence
-from functools import reduce
 from urllib.parse import unquote
 
 from pyspark.errors import PySparkException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -99,11 +98,12 @@ def typed(df: DataFrame, schema: T.StructType | None, strict: bool = True) -> Da
 
 class CsvFolder(Mapping):
     """Frames by file name, each made when it is asked for; `errors` has the files that can't be read
-    with the reason, `headers` the columns of the others."""
+    with the reason, `headers` the columns of the others and `rows` how many they have."""
 
     def __init__(self, spark: SparkSession, folder: str, **options) -> None:
         self.spark, self.folder, self.options = spark, folder, options
         self.headers: dict[str, list[str]] = {}
+        self.rows: dict[str, int] = {}
         self.errors: dict[str, str] = {}
 
     @property
@@ -123,21 +123,9 @@ class CsvFolder(Mapping):
         return len(self.headers)
 
     def report(self) -> DataFrame:
-        """File, rows and columns of every readable file, by name; counted when it runs. Files with one
-        header are read together."""
-        groups: dict[tuple[str, ...], list[str]] = {}
-        for name, columns in self.headers.items():
-            groups.setdefault(tuple(columns), []).append(name)
-        counted = [self.spark.createDataFrame([], "file string, rows bigint, columns string")]
-        for columns, names in groups.items():
-            schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(columns))])
-            reader = self.spark.read.option("header", True).option("escape", '"').schema(schema)
-            reader = reader.option("multiLine", self.options.get("multi_line", False))
-            rows = reader.csv([f"{self.folder}/{name}" for name in names]).select(file_name_column().alias("file"))
-            known = self.spark.createDataFrame([(name,) for name in names], "file string")  # a file may have no rows
-            count = known.join(rows.groupBy("file").count(), "file", "left")
-            counted.append(count.select("file", F.coalesce("count", F.lit(0)).alias("rows"), F.lit(", ".join(columns)).alias("columns")))
-        return reduce(DataFrame.unionAll, counted).orderBy("file")
+        """File, rows and columns of every readable file, by name."""
+        found = [(name, self.rows[name], ", ".join(columns)) for name, columns in self.headers.items()]
+        return self.spark.createDataFrame(found, "file string, rows bigint, columns string").orderBy("file")
 
 
 def file_name_column() -> Column:
@@ -150,31 +138,76 @@ def csv_folder(
 ) -> CsvFolder:
     """Every `*.csv` of a folder as a frame of its own, in order of name.
 
-    A file that cannot be read (an empty one, for instance) is noted and the others go on. Header
-    lines are found by one job over all files; the driver holds the names, as Spark's listing does.
+    A file that cannot be read is noted in `errors` and the others go on: an empty one and, if `strict`, one with
+    lines that don't fit its header or its schema, or with line breaks inside quotes without `multi_line`. Two
+    passes read all files: one for header lines and quotes, one for rows and misfits, in which files with one
+    header are read together. The driver holds a row per file, as the mapping does.
     """
     loaded = CsvFolder(spark, folder, null_text=null_text, schemas=schemas, multi_line=multi_line, strict=strict)
     texts = spark.read.option("pathGlobFilter", "*.csv").text(folder)
-    first = texts.where(F.input_file_block_start() == 0).select(
-        file_name_column().alias("file"), "value", F.monotonically_increasing_id().alias("n")
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    lines = texts.select(
+        file_name_column().alias("file"), "value", quotes.alias("quotes"),
+        F.struct(F.input_file_block_start(), F.monotonically_increasing_id()).alias("at"),
     )
-    lines = {r["file"]: r["line"] for r in first.groupBy("file").agg(F.min_by("value", "n").alias("line")).collect()}
+    lines = lines.groupBy("file").agg(F.min_by("value", "at").alias("line"), F.count_if(F.col("quotes") % 2 == 1).alias("open"))
+    seen = {r["file"]: r for r in lines.collect()}
     columns: dict[str, list[str]] = {}  # by header line
+    alike: dict[tuple, list[str]] = {}  # files that are read together
     for name in sorted(file_name(uri) for uri in texts.inputFiles()):
-        line = lines.get(name)
+        line = seen[name]["line"] if name in seen else ""
         if not line:
             loaded.errors[name] = "no columns"
             continue
+        if strict and not multi_line and seen[name]["open"]:
+            loaded.errors[name] = f"{seen[name]['open']} lines open or close a quote of another line: multi_line reads them"
+            continue
         try:
             if line not in columns:
                 reader = spark.read.option("header", True).option("escape", '"').option("multiLine", multi_line)
                 columns[line] = reader.csv(f"{folder}/{name}").columns
-            loaded.headers[name] = columns[line]
         except PySparkException as error:
             loaded.errors[name] = str(error)
+            continue
+        loaded.headers[name], loaded.rows[name] = columns[line], 0
+        schema = (schemas or {}).get(name) if not isinstance(null_text, (list, tuple)) else None
+        wanted = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+        kinds = [f.dataType.simpleString() for f in wanted.fields] if wanted else ["string"] * len(columns[line])
+        alike.setdefault(tuple(kinds), []).append(name)
+    for kinds, names in alike.items():
+        for r in fitting(spark, [f"{folder}/{name}" for name in names], kinds, null_text, multi_line).collect():
+            loaded.rows[r["file"]] = r["rows"]
+            if strict and r["bad"]:
+                loaded.errors[r["file"]] = f"row {r['first']} doesn't fit the columns, {r['bad']} of {r['rows']} don't"
+                del loaded.headers[r["file"]], loaded.rows[r["file"]]
     return loaded
 
 
+def fitting(
+    spark: SparkSession, paths: Sequence[str], kinds: Sequence[str], null_text: str | Sequence[str] | None, multi_line: bool,
+) -> DataFrame:
+    """Per file with rows: how many it has, how many don't fit columns of these types (`bad`) and the number of
+    the `first` one of these. One read and partial counts by file and block; rows of a block are numbered
+    without gaps."""
+    schema = ", ".join([*(f"c{i} {kind}" for i, kind in enumerate(kinds)), "misfit string"])
+    reader = spark.read.schema(schema).option("header", True).option("escape", '"').option("multiLine", multi_line)
+    reader = reader.option("columnNameOfCorruptRecord", "misfit").option("columnPruning", False)
+    if isinstance(null_text, str):
+        reader = reader.option("nullValue", null_text)
+    some = F.coalesce(F.length(F.col("c0").cast("string")), F.lit(0)) >= 0  # always: a misfit isn't read alone
+    rows = reader.csv(list(paths)).select(
+        file_name_column().alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("n"), (F.col("misfit").isNotNull() & some).alias("bad"),
+    )
+    blocks = rows.groupBy("file", "block").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if("bad").alias("bad"), F.min("n").alias("low"),
+        F.min(F.when(F.col("bad"), F.col("n"))).alias("first"),
+    )
+    earlier = F.sum("rows").over(Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1))
+    placed = blocks.withColumn("first", F.coalesce(earlier, F.lit(0)) + F.col("first") - F.col("low") + 1)
+    return placed.groupBy("file").agg(F.sum("rows").alias("rows"), F.sum("bad").alias("bad"), F.min("first").alias("first"))
+
+
 def parquet_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 

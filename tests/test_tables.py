@@ -112,6 +112,37 @@ def test_csv_folder_goes_on_after_a_bad_file(spark, folder):
     assert rows(loaded.report()) == [("a.csv", 3, "id, document, amount, note"), ("b.csv", 2, "x, y")]
 
 
+def test_csv_folder_notes_ragged_files_and_quoted_breaks(spark, folder):
+    write_lines(spark, folder, "good.csv", ["x,y", "1,2", "3,4"])
+    write_lines(spark, folder, "head.csv", ["x,y"])
+    write_lines(spark, folder, "long.csv", ["x,y", "1,2", "3,4,5", "6,7", "8"])
+    write_lines(spark, folder, "quoted.csv", ["x,y", '1,"a', 'b"', '2,"c ""d"" e"'])
+    write_lines(spark, folder, "single.csv", ["x", '"a', 'b"'])
+    write_lines(spark, folder, "typed.csv", ["x,y", "1,2", "no,4"])
+    schemas = {"typed.csv": "x int, y int"}
+    loaded = readers.csv_folder(spark, f"{folder}/in", schemas=schemas)
+    assert rows(loaded.report()) == [("good.csv", 2, "x, y"), ("head.csv", 0, "x, y")]
+    assert sorted(loaded.errors) == ["long.csv", "quoted.csv", "single.csv", "typed.csv"]
+    assert loaded.errors["long.csv"].startswith("row 2 doesn't fit the columns, 2 of 4")
+    assert loaded.errors["typed.csv"].startswith("row 2 doesn't fit the columns, 1 of 2")
+    assert loaded["good.csv"].count() == 2
+    whole = readers.csv_folder(spark, f"{folder}/in", schemas=schemas, multi_line=True)
+    assert sorted(whole.errors) == ["long.csv", "typed.csv"]
+    assert [(r[0], r[1]) for r in rows(whole.report())] == [("good.csv", 2), ("head.csv", 0), ("quoted.csv", 2), ("single.csv", 1)]
+    assert whole["quoted.csv"].count() == 2
+    loose = readers.csv_folder(spark, f"{folder}/in", strict=False)
+    assert loose.errors == {} and loose.rows["long.csv"] == 4
+
+
+def test_first_misfit_of_a_file_of_many_blocks(spark, folder):
+    path = write_lines(spark, folder, "a.csv", ["x,y", *[f"{i},{i}" for i in range(1, 5000)], "1,2,3", *["5,6"] * 900, "7"])
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4000")
+    found = rows(readers.fitting(spark, [path], ["string", "string"], None, False).select("rows", "bad", "first"))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert found == [(5901, 2, 5000)]
+
+
 def test_file_listings(spark, folder):
     write_lines(spark, folder, "data-1.csv", ["x" * 2047])
     write_lines(spark, folder, "df_2.csv", ["x" * 99])
