@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quaylake.functions.text import token_from_end
-from quaylake.session import materialize
+from quaylake.session import broadcast_if_small, materialize
 
 
 @dataclass(frozen=True)
@@ -111,7 +111,7 @@ def met(lines: DataFrame, names: DataFrame) -> DataFrame:
     """Pairs (`line`, `name`, `start`) that can be mentions: all true ones, and few others.
 
     Every name is looked up by one of its pieces of a fixed length: the one that occurs least often in the
-    lines, which one aggregation counts. So names with one beginning, or a very short name among long ones,
+    lines, which one aggregation counts. Lines are cut into pieces once. So names with one beginning, or a very short name among long ones,
     don't make lines and names meet that have nothing else in common.
     """
     sized = names.withColumn("size", F.lit(GRAM_SIZES[0]))
@@ -120,16 +120,16 @@ def met(lines: DataFrame, names: DataFrame) -> DataFrame:
     used = sorted(r["size"] for r in sized.select("size").distinct().collect())  # at most as many as GRAM_SIZES
     at = F.explode(F.sequence(F.lit(1), F.length("name") - F.col("size") + 1)).alias("at")
     pieces = sized.select("name", "size", at)
-    pieces = pieces.select("name", "at", F.xxhash64(F.substring(F.col("name"), F.col("at"), F.col("size"))).alias("key"))
-    offered = grams(lines, used)
-    counted = offered.groupBy("key").count()
+    pieces = pieces.select("name", "size", "at", F.xxhash64(F.substring(F.col("name"), F.col("at"), F.col("size"))).alias("key"))
+    known = broadcast_if_small(materialize(pieces.select("key").distinct()))
+    hits = materialize(grams(lines, used).join(known, "key", "left_semi"))
     # A name with a piece that no line has is mentioned nowhere.
-    rare = pieces.join(counted, "key", "left").groupBy("name").agg(
-        F.min(F.struct(F.coalesce("count", F.lit(0)).alias("count"), "at", "key")).alias("seed")
+    rare = pieces.join(hits.groupBy("key").count(), "key").groupBy("name", "size").agg(
+        F.count(F.lit(1)).alias("found"), F.min(F.struct("count", "at", "key")).alias("seed")
     )
-    seeds = materialize(rare.where("seed.count > 0").select("name", "seed.at", "seed.key"))
+    seeds = rare.where(F.col("found") == F.length("name") - F.col("size") + 1).select("name", "seed.at", "seed.key")
     start = (F.col("place") - F.col("at") + 1).alias("start")
-    return offered.join(seeds, "key").select("line", "name", start).where("start >= 1")
+    return hits.join(seeds, "key").select("line", "name", start).where("start >= 1")
 
 
 def grams(lines: DataFrame, sizes: Sequence[int]) -> DataFrame:
