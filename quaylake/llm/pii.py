@@ -91,9 +91,9 @@ KINDS = (
 )
 
 
-def found(body: Column, low: Column, rank: int) -> Column:
-    """Spans of one kind in a text, as structs; `low` is the text in lower case. The text between the
-    matches gives the places: lengths are in code points."""
+def found(body: Column, rank: int) -> Column:
+    """Spans of one kind in a text, as structs. The text between the matches gives the places: lengths are
+    in code points. Context is cut from the text as it is and lowered then: some letters lower to two."""
     kind = KINDS[rank]
     matches = F.regexp_extract_all(body, F.lit(kind.pattern), F.lit(0))
     between = F.transform(F.split(body, kind.pattern, -1), F.length)
@@ -111,7 +111,7 @@ def found(body: Column, low: Column, rank: int) -> Column:
 
     def scored(x: Column) -> Column:
         start = F.greatest(x["start"] - REACH, F.lit(0))
-        near = F.substring(low, start + 1, x["end"] + REACH - start)
+        near = F.lower(F.substring(body, start + 1, x["end"] + REACH - start))
         score = F.lit(kind.score) + F.when(near.rlike(rf"\b(?:{kind.context})\b"), CONTEXT).otherwise(0.0)
         return F.struct(
             x["start"].alias("start"), F.lit(rank).alias("rank"), x["end"].alias("end"),
@@ -124,10 +124,10 @@ def found(body: Column, low: Column, rank: int) -> Column:
 
 
 def marked(rows: DataFrame, body: Column) -> DataFrame:
-    """Adds `low`, `base` (spans of the base kinds) and `spans` (all), each by start, then kind."""
-    rows = rows.withColumn("body", F.coalesce(body, F.lit(""))).withColumn("low", F.lower("body"))
+    """Adds `body`, `base` (spans of the base kinds) and `spans` (all), each by start, then kind."""
+    rows = rows.withColumn("body", F.coalesce(body, F.lit("")))
     for rank in range(len(KINDS)):
-        rows = rows.withColumn(f"kind_{rank}", found(F.col("body"), F.col("low"), rank))
+        rows = rows.withColumn(f"kind_{rank}", found(F.col("body"), rank))
     base = [f"kind_{i}" for i, k in enumerate(KINDS) if k.base]
     more = [f"kind_{i}" for i, k in enumerate(KINDS) if not k.base]
     rows = rows.withColumn("base", F.sort_array(F.concat(*base)))

@@ -280,3 +280,11 @@ def test_the_query_returns_what_the_library_has(session, rows, tmp_path):
     by_merges = [(r[0], np.array(bpe.encode(r[1]), "<u4").tobytes() if r[1] else b"") for r in rows]
     assert sorted(whole, key=repr) == sorted(by_merges, key=repr)
     assert all(r["round_trip"] for r in found)
+
+
+@pytest.mark.parametrize("letter", ["I", "İ", "ß", "é"])
+def test_context_where_lower_case_is_longer(session, letter):
+    """A letter that lowers to two moves no context away from its number."""
+    text = letter * 60 + " SSN 123-45-6789"
+    got = pii.detected(session.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    assert [(s["kind"], s["start"], s["end"]) for s in got["spans"]] == [("national_id", 65, 76)]
