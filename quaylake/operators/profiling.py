@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Row, Window
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,6 +17,14 @@ QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
 # A range of values is cut into this many slices of equal width.
 SLICES = 1000
 
+# The values of a range with so few rows are slices of their own.
+SETTLED = 10_000
+
+# Size of the quantile sketches (some 50 KB), and the margin of ranks taken on both sides of a quartile: more than
+# three times the error that such a sketch states.
+SKETCH_SIZE = 2048
+MARGIN = 0.005
+
 
 def numeric_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
@@ -48,11 +56,23 @@ def long_rows(one_row: DataFrame, rows: Sequence[Sequence[Column]]) -> DataFrame
 
 def dataset_summary(df: DataFrame) -> DataFrame:
     """One row: number of rows and columns, column names, nulls by column."""
-    names = df.columns
-    counted = df.agg(
-        F.count(F.lit(1)).alias("total_rows"),
-        *[F.count_if(quoted(c).isNull()).alias(f"n{i}") for i, c in enumerate(names)],
-    )
+    return summary_of(df.agg(*summary_measures(df.columns)), df.columns)
+
+
+def summary_measures(names: Sequence[str]) -> list[Column]:
+    """What a summary counts, as aggregates: by a scan, or by `DataFrame.observe` while the rows are written."""
+    nulls = [F.count_if(quoted(c).isNull()).alias(f"n{i}") for i, c in enumerate(names)]
+    return [F.count(F.lit(1)).alias("total_rows"), *nulls]
+
+
+def observed_summary(spark: SparkSession, found: Mapping[str, int], names: Sequence[str]) -> DataFrame:
+    """The summary from measures that were taken while the rows were written."""
+    values = {"total_rows": found["total_rows"], **{f"n{i}": found[f"n{i}"] for i in range(len(names))}}
+    schema = ", ".join(f"{name} bigint" for name in values)
+    return summary_of(spark.createDataFrame([tuple(values.values())], schema), names)
+
+
+def summary_of(counted: DataFrame, names: Sequence[str]) -> DataFrame:
     pairs = [v for i, c in enumerate(names) for v in (F.lit(c), F.col(f"n{i}"))]
     return counted.select(
         "total_rows",
@@ -97,15 +117,20 @@ def hashed_values(df: DataFrame, names: Sequence[str]) -> DataFrame:
 def describe(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Count, mean, sample deviation, min, exact quartiles (interpolated) and max per column.
 
-    Nulls and NaN are left out. No column is sorted or gathered for the quartiles: values are first
-    counted by sign and power of two, then the range that holds a wanted rank is cut into slices of
-    equal width, each step a scan with a small shuffle. A power of two has 2^52 values, so at most six
-    cuts find the rank whatever the values: eight scans in all, for all columns together. They run
-    here; the driver gets the measures and, per wanted rank, one slice.
+    Nulls and NaN are left out. No column is sorted or gathered for the quartiles. The first scan also takes a
+    quantile sketch of each column; its values on both sides of a quartile are a bracket that almost surely holds
+    it. The second cuts the brackets into slices of equal width and counts them and what lies beside them, so
+    that a bracket that misses is noticed and the search goes on where the rank is. The third settles slices of
+    at most SETTLED rows by their values: three scans for all columns together up to a thousand million even rows.
+    Larger or odd slices are cut on, first by powers of two if they are wide: nine scans at most, whatever the
+    values. They run here; the driver gets the measures and, per wanted rank, one slice.
     """
     names = list(columns or numeric_columns(df))
     numbers = df.select(*[number(c).alias(f"c{i}") for i, c in enumerate(names)])
-    summary = numbers.agg(*plain_measures(len(names))).first()
+    sketched = [F.kll_sketch_agg_double(F.col(f"c{i}"), F.lit(SKETCH_SIZE)).alias(f"sketch{i}") for i in range(len(names))]
+    measured = numbers.agg(*plain_measures(len(names)), *sketched)
+    plain = [c for c in measured.columns if not c.startswith("sketch")]
+    summary = measured.select(*plain, *[bracket_ends(i) for i in range(len(names))]).first()
     wanted = [r for i in range(len(names)) if (r := whole_range(summary, i)) is not None]
     values = values_at_ranks(numbers, wanted)
     rows = []
@@ -134,16 +159,46 @@ def plain_measures(width: int) -> list[Column]:
     ]
 
 
+def bracket_ends(i: int) -> Column:
+    """By the sketch of column i, the values below and above each quartile."""
+    ranks = F.array(*[F.lit(share + side) for share in QUARTILES.values() for side in (-MARGIN, MARGIN)])
+    ends = F.kll_sketch_get_quantile_double(F.col(f"sketch{i}"), ranks)
+    return F.when(F.col(f"count{i}") > 0, ends).alias(f"ends{i}")
+
+
+def disjoint(ends: Sequence[float]) -> tuple[tuple[float, float], ...]:
+    """Brackets in rising order; those that meet are one."""
+    out: list[tuple[float, float]] = []
+    for low, high in zip(ends[::2], ends[1::2]):
+        if out and low <= out[-1][1]:
+            out[-1] = (out[-1][0], max(high, out[-1][1]))
+        else:
+            out.append((low, high))
+    return tuple(out)
+
+
+def cut(value: Column, low: float, high: float) -> Column:
+    """Slices of equal width. Both ends are slices of their own, so every cut leaves something out. Halves
+    keep the width of a very wide range finite."""
+    width = high / 2 - low / 2
+    inner = F.lit(1).cast("bigint")
+    if 0 < width < math.inf:
+        inner = F.floor((value / 2 - F.lit(low / 2)) / F.lit(width) * SLICES) + 1
+    return F.when(value == low, F.lit(0)).when(value == high, F.lit(SLICES + 2)).otherwise(inner)
+
+
 @dataclass(frozen=True)
 class RankRange:
-    """A range of column i that holds the wanted ranks: rows below it, and its ends."""
+    """A range of column i that holds the wanted ranks: its ends, rows below and in it, and the brackets in which
+    a whole column is looked at."""
 
     i: int
     low: float
     high: float
     below: int
+    rows: int
     ranks: tuple[int, ...]
-    whole: bool = False
+    brackets: tuple[tuple[float, float], ...] = ()
 
     def column(self) -> Column:
         return F.col(f"c{self.i}")
@@ -153,7 +208,26 @@ class RankRange:
 
     def slice(self) -> Column:
         """Number of the slice the value falls in, rising with the value."""
-        return self.power() if self.whole else self.cut()
+        if self.rows <= SETTLED:
+            return self.column()
+        if self.brackets:
+            return self.zone().cast("double")
+        return (self.power() if self.wide() else cut(self.column(), self.low, self.high)).cast("double")
+
+    def zone(self) -> Column:
+        """Brackets are cut; what lies beside them is one slice each."""
+        step, value = SLICES + 5, self.column()
+        out = F.lit(2 * len(self.brackets) * step)
+        for k in reversed(range(len(self.brackets))):
+            low, high = self.brackets[k]
+            inside = cut(value, low, high) + (2 * k + 1) * step
+            out = F.when(value < low, F.lit(2 * k * step)).when(value <= high, inside).otherwise(out)
+        return out
+
+    def wide(self) -> bool:
+        """Its ends differ in sign or are so far apart that slices of equal width could leave all values in one."""
+        small, large = sorted((abs(self.low), abs(self.high)))
+        return self.low < 0 < self.high or large > max(SLICES, 4) * small
 
     def power(self) -> Column:
         """By sign and power of two; infinite values and zero are slices of their own."""
@@ -162,16 +236,6 @@ class RankRange:
         inner = F.when(size == math.inf, 9000).when(size == 0, 0).otherwise(inner)
         return F.when(value < 0, -inner).otherwise(inner).cast("bigint")
 
-    def cut(self) -> Column:
-        """Of equal width. Both ends are slices of their own, so every cut leaves something out. Halves
-        keep the width of a very wide range finite."""
-        width = self.high / 2 - self.low / 2
-        inner = F.lit(1).cast("bigint")
-        if 0 < width < math.inf:
-            inner = F.floor((self.column() / 2 - F.lit(self.low / 2)) / F.lit(width) * SLICES) + 1
-        end = F.when(self.column() == self.low, F.lit(0)).when(self.column() == self.high, F.lit(SLICES + 2))
-        return end.otherwise(inner)
-
 
 def ranks_of(count: int) -> tuple[int, ...]:
     """Ranks on both sides of each quartile, from 0."""
@@ -183,7 +247,7 @@ def whole_range(summary: Row, i: int) -> RankRange | None:
     count = summary[f"count{i}"]
     if count == 0:
         return None
-    return RankRange(i, summary[f"min{i}"], summary[f"max{i}"], 0, ranks_of(count), whole=True)
+    return RankRange(i, summary[f"min{i}"], summary[f"max{i}"], 0, count, ranks_of(count), disjoint(summary[f"ends{i}"]))
 
 
 def values_at_ranks(numbers: DataFrame, ranges: Sequence[RankRange]) -> dict[tuple[int, int], float]:
@@ -209,14 +273,14 @@ def narrowed(numbers: DataFrame, ranges: Sequence[RankRange]) -> list[RankRange]
         .groupBy("k", "slice")
         .agg(F.count(F.lit(1)).alias("rows"), F.min("value").alias("low"), F.max("value").alias("high"))
     )
-    # A few thousand slices per range at most; only those with a wanted rank go on.
+    # At most SETTLED slices per range; only those with a wanted rank go on.
     below = F.array(*[F.lit(r.below).cast("bigint") for r in ranges])
     ranks = F.array(*[F.array(*[F.lit(n).cast("bigint") for n in r.ranks]) for r in ranges])
     until = F.get(below, F.col("k")) + F.sum("rows").over(Window.partitionBy("k").orderBy("slice"))
     here = F.filter(F.get(ranks, F.col("k")), lambda n: (n >= F.col("until") - F.col("rows")) & (n < F.col("until")))
     found = counted.withColumn("until", until).withColumn("ranks", here).where(F.size("ranks") > 0)
     return [
-        RankRange(ranges[r["k"]].i, r["low"], r["high"], r["until"] - r["rows"], tuple(r["ranks"]))
+        RankRange(ranges[r["k"]].i, r["low"], r["high"], r["until"] - r["rows"], r["rows"], tuple(r["ranks"]))
         for r in found.orderBy("k", "slice").collect()  # at most one row per wanted rank
     ]
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from quaylake.operators import grouping, listing, profiling, ranking
 from quaylake.operators.snapshots import newest_snapshots
 from quaylake.plans.reports import DumpReport
+from quaylake.session import new_folder
 
 
 def rows(df):
@@ -88,10 +89,13 @@ def test_texts_are_no_shuffle_keys(spark, folder):
     assert "value" not in " ".join(line for line in plan.splitlines() if "Exchange" in line)
 
 
-@pytest.mark.parametrize("slices", [2, 7, 1000])
-def test_quartiles_are_exact(spark, monkeypatch, slices):
-    """Hot values, wide and infinite ranges, nulls and NaN, however fine the slices."""
+@pytest.mark.parametrize("slices, settled, missed", [(2, 0, False), (7, 5, False), (1000, 0, False), (1000, 0, True), (1000, 10_000, False)])
+def test_quartiles_are_exact(spark, monkeypatch, slices, settled, missed):
+    """Hot values, wide and infinite ranges, nulls and NaN, however fine the slices, with brackets that miss too."""
     monkeypatch.setattr(profiling, "SLICES", slices)
+    monkeypatch.setattr(profiling, "SETTLED", settled)
+    if missed:
+        monkeypatch.setattr(profiling, "disjoint", lambda ends: ((ends[1], ends[1] + 1e-9), (1e300, 1e301)))
     draw = random.Random(7)
     third = [5.0 if draw.random() < 0.34 else draw.gauss(0, 100) for _ in range(2000)]
     wide = [draw.choice([-1e308, 1e308, float("inf"), draw.gauss(0, 1) * 10 ** draw.randint(-300, 300)]) for _ in range(2000)]
@@ -106,16 +110,38 @@ def test_quartiles_are_exact(spark, monkeypatch, slices):
             assert got[name][quartile] == brute_quantile(kept, share), (name, quartile)
 
 
-def test_the_number_of_scans_does_not_depend_on_the_values(spark, monkeypatch):
-    """Values even over all exponents, even within one, and crowded: at most nine scans each."""
-    draw, scans = random.Random(9), []
-    plain = profiling.narrowed
+@pytest.fixture
+def scans(monkeypatch):
+    """One entry per scan behind the first."""
+    found, plain = [], profiling.narrowed
 
     def counted(numbers, ranges):
-        scans.append(len(ranges) > 0)
+        found.extend([len(ranges)] if ranges else [])
         return plain(numbers, ranges)
 
     monkeypatch.setattr(profiling, "narrowed", counted)
+    return found
+
+
+def test_ordinary_values_take_three_scans(spark, scans):
+    """Even, normal, skewed and mostly equal values, many more than are settled at once."""
+    df = spark.range(0, 200_000, 1, 4).select(
+        F.rand(1).alias("a"), F.randn(2).alias("b"), F.exp(3 * F.randn(3)).alias("c"),
+        F.when(F.col("id") % 3 == 0, 7.5).otherwise(F.rand(4) * 1000).alias("d"),
+    )
+    df.write.parquet(path := new_folder(spark, "ordinary"))
+    df = spark.read.parquet(path)
+    got = {r["column"]: r for r in profiling.describe(df).collect()}
+    assert len(scans) == 2
+    for name, column in df.toPandas().items():
+        for quartile, share in profiling.QUARTILES.items():
+            assert got[name][quartile] == brute_quantile(sorted(column), share)
+
+
+def test_the_number_of_scans_does_not_depend_on_the_values(spark, monkeypatch, scans):
+    """Values even over all exponents, even within one, and crowded: at most nine scans each."""
+    draw = random.Random(9)
+    monkeypatch.setattr(profiling, "SETTLED", 0)
     rows = [
         (math.ldexp(1 + draw.random(), draw.randint(-1070, 1020)) * draw.choice([1, -1]), draw.random(),
          1 + draw.randint(0, 2**30) * 2.0**-52)
@@ -125,7 +151,7 @@ def test_the_number_of_scans_does_not_depend_on_the_values(spark, monkeypatch):
     for name, column in zip("abc", zip(*rows)):
         for quartile, share in profiling.QUARTILES.items():
             assert got[name][quartile] == brute_quantile(sorted(column), share)
-    assert 1 + sum(scans) <= 9
+    assert 1 + len(scans) <= 9
 
 
 def test_description_of_short_columns(spark):
