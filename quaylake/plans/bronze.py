@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from quaylake.functions.casting import json_number, quoted, to_date_or_null, to_number, to_timestamp_or_null
-from quaylake.operators.profiling import dataset_summary
+from quaylake.operators.profiling import observed_summary, summary_measures
 from quaylake.operators.records import (
     LENIENT, PAGE_SIZE, field_types, inferred_schema, page_sequence, select_fields, struct_type,
     unwrap_row,
@@ -20,7 +20,7 @@ from quaylake.operators.reshape import (
 )
 from quaylake.operators.snapshots import MAX_SNAPSHOTS, newest_snapshots
 from quaylake.plans.endpoints import ENDPOINTS, Endpoint
-from quaylake.sources.writers import history, land, write_snapshot
+from quaylake.sources.writers import history, land, observed_snapshot
 
 
 def flatten(records: DataFrame, endpoint: Endpoint) -> DataFrame:
@@ -111,13 +111,16 @@ def land_endpoint(
 
 
 def database_snapshot(
-    source: DataFrame, folder: str, as_of: datetime | None = None
+    source: DataFrame, folder: str, as_of: datetime | None = None, keep: int | None = MAX_SNAPSHOTS
 ) -> tuple[str | None, DataFrame | None]:
-    """Copy a database table to `latest` and `history`; label and summary of what was written."""
-    label = write_snapshot(source, folder, as_of)
-    if label is None:
+    """Copy a database table to `latest` and `history`; label and summary of what was written. Of the history the
+    newest `keep` snapshots stay, the others are deleted; None keeps all. The source is read once, for the rows
+    and the summary."""
+    written = observed_snapshot(source, folder, as_of, summary_measures(source.columns), keep)
+    if written is None:
         return None, None
-    return label, dataset_summary(source.sparkSession.read.parquet(f"{folder}/latest"))
+    label, found = written
+    return label, observed_summary(source.sparkSession, found, source.columns)
 
 
 def retained_history(spark: SparkSession, folder: str, keep: int = MAX_SNAPSHOTS) -> DataFrame:

@@ -3,18 +3,18 @@
 from __future__ import annotations
 
 import uuid
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quaylake.operators.snapshots import newest_snapshots
-from quaylake.plans import bronze, gold
+from quaylake.plans import bronze, daily, gold
 from quaylake.registry.base import query, rounded, table
 from quaylake.registry.inputs import LISTING_SQL, RECONCILIATION_SQL, landed, listing_lines, reconciliation
 from quaylake.operators.grouping import within
 from quaylake.operators.ranking import sorted_by_amount
-from quaylake.plans.reports import ConsoleReport, SliceReport
+from quaylake.plans.reports import ConsoleReport, RangeStudy, SliceReport
 from quaylake.sources import readers, writers
 from quaylake.session import file_system, moved, new_folder
 
@@ -264,3 +264,67 @@ def exported_slice(spark, folder):
     writers.export_csv(sorted_by_amount(part, "amount", ["id"]), path)
     exported = readers.csv_table(spark, path, readers.NULL_TEXT)
     return rounded(SliceReport(exported).source(), "sum")
+
+
+@query("snapshots_kept", "B4 F14 M8", " UNION ALL ".join(
+    f"SELECT '20240201_{h}0000' AS snapshot_ts, count(*) AS total_rows, count(*) FILTER (WHERE o_orderstatus = 'O') AS nulls, "
+    f"{'TRUE' if h > 13 else 'FALSE'} AS kept FROM orders WHERE o_orderkey % 20 >= {h}" for h in SNAPSHOT_HOURS))
+def snapshots_kept(spark, folder):
+    """Summaries taken while writing, and which snapshots are still there: the newest five."""
+    target = new_folder(spark, "kept")
+    status = F.when(F.col("o_orderstatus") != "O", F.col("o_orderstatus"))
+    orders = table(spark, folder, "orders").select("o_orderkey", status.alias("status"))
+    written = None
+    for hour in SNAPSHOT_HOURS:
+        rows = orders.where(F.col("o_orderkey") % 20 >= hour)
+        label, summary = bronze.database_snapshot(rows, target, NOON.replace(hour=hour))
+        one = summary.select(
+            F.lit(label).alias("snapshot_ts"), "total_rows", F.element_at("null_counts", "status").alias("nulls")
+        )
+        written = one if written is None else written.unionByName(one)
+    there = writers.history(spark, target).groupBy("snapshot_ts").agg(F.lit(True).alias("there"))
+    return written.join(there, "snapshot_ts", "left").select(
+        "snapshot_ts", "total_rows", "nulls", F.coalesce("there", F.lit(False)).alias("kept")
+    )
+
+
+@query("range_of_ordered_files", "B1 D2 D4 F2 F6", RECONCILIATION_SQL + """
+SELECT status, count(*) AS qtd, round(sum(amount), 2) AS total FROM conciliacoes
+WHERE amount BETWEEN 100000 AND 200000 GROUP BY status""")
+def range_of_ordered_files(spark, folder):
+    """The range study over files that hold ranges of the amount."""
+    path = new_folder(spark, "ordered")
+    ordered = writers.overwrite_ordered(reconciliation(spark, folder), path, ["amount", "id"], equal=["supplier"])
+    return rounded(RangeStudy(ordered, low=100000, high=200000).status(), "total")
+
+
+def days_stored(spark, folder) -> daily.MergedDashboard:
+    """Partial measures of seven ingestion days, one of them stored twice."""
+    target, bronze_table = new_folder(spark, "days"), new_folder(spark, "ingested")
+    ingested = F.date_add(F.lit(NOON.date()), (F.col("id") % 7).cast("int")).cast("string")
+    writers.overwrite_ordered(
+        reconciliation(spark, folder).withColumn("_ingestion_date", ingested), bronze_table, ["_ingestion_date"]
+    )
+    rows = readers.parquet_table(spark, bronze_table)
+    for i in [*range(7), 3]:
+        daily.store_day(rows, target, NOON.date() + timedelta(days=i))
+    return daily.MergedDashboard(daily.stored_days(spark, target))
+
+
+@query("merged_status_value", "F5 M12 M13 F15", RECONCILIATION_SQL + """
+SELECT status, count(*) AS count, round(sum(amount), 2) AS total, round(avg(amount), 2) AS media,
+       (SELECT round(count(*) FILTER (WHERE status = 'MATCHED') / count(*) * 100, 4) FROM conciliacoes) AS taxa_match
+FROM conciliacoes GROUP BY status""")
+def merged_status_value(spark, folder):
+    merged = days_stored(spark, folder)
+    values = merged.status_value().join(merged.status(), "status")
+    whole = merged.summary().select("taxa_match")  # one row
+    found = values.select("status", "count", "total", "media", whole.scalar().alias("taxa_match"))
+    return rounded(rounded(found, "total", "media"), "taxa_match", digits=4)
+
+
+@query("merged_daily", "F9 E6 M13", RECONCILIATION_SQL + """
+SELECT CAST(created_at AS DATE) AS data, count(*) AS quantidade, round(sum(amount), 2) AS valor
+FROM conciliacoes GROUP BY 1""")
+def merged_daily(spark, folder):
+    return rounded(days_stored(spark, folder).daily(), "valor")

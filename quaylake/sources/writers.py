@@ -2,17 +2,23 @@
 
 from __future__ import annotations
 
+import re
 import uuid
+from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from quaylake.functions.casting import quoted
 from quaylake.functions.time import utc_instant
 from quaylake.session import file_system, moved, removed
 
 SNAPSHOT_COLUMN = "snapshot_ts"
 
+# Names that begin so are snapshots on their way out; readers pass over names with an underscore in front.
+REMOVED = "_removed-"
+
 
 def stamped(df: DataFrame, as_of: datetime | None = None) -> DataFrame:
     """Ingestion instant and date as ISO text, the same for all rows, in UTC."""
@@ -62,16 +68,45 @@ def put_in_place(spark: SparkSession, beside: str, path: str) -> None:
 
 
 def overwrite_if_any(df: DataFrame, path: str) -> bool:
-    """Replace a Parquet table unless there are no rows; then the old table stays.
+    """Replace a Parquet table unless there are no rows; then the old table stays."""
+    return overwrite_observed(df, path) is not None
+
 
-    `df` is computed once: what was written is looked at before it takes the old table's place.
+def overwrite_observed(df: DataFrame, path: str, measures: Sequence[Column] = ()) -> dict | None:
+    """Replace a Parquet table and return `measures` of it by name, or None without rows; then the old table stays.
+
+    `df` is computed once. Its rows are counted and measured by the tasks that write them (`DataFrame.observe`),
+    each task once however often it is tried, so nothing is read again.
     """
-    spark, beside = df.sparkSession, written_beside(df, path)
-    if spark.read.schema(df.schema).parquet(beside).isEmpty():
+    spark, seen, rows = df.sparkSession, Observation(), f"rows_{uuid.uuid4().hex}"
+    beside = written_beside(df.observe(seen, F.count(F.lit(1)).alias(rows), *measures), path)
+    found = dict(seen.get)
+    if not found.pop(rows):
         removed(spark, beside)
-        return False
+        return None
     put_in_place(spark, beside, path)
-    return True
+    return found
+
+
+def overwrite_ordered(
+    df: DataFrame, path: str, ranges: Sequence[str], equal: Sequence[str] = (), files: int | None = None
+) -> DataFrame:
+    """Replace a Parquet table by one whose files hold ranges of the columns `ranges` and are sorted by them.
+
+    A filter on the first of these columns then skips files and row groups by their least and largest values. The
+    columns `equal` get Bloom filters, by which a row group without a wanted value is skipped. Rows that are equal
+    in `ranges` are dealt to several files where they are many. `files` is the number of files, by default that of
+    the shuffle partitions, which adaptive execution may lessen.
+    """
+    tie = f"tie_{uuid.uuid4().hex}"
+    keys = [quoted(c) for c in ranges]
+    marked = df.withColumn(tie, F.monotonically_increasing_id())
+    dealt = marked.repartitionByRange(*([files] if files else []), *keys, quoted(tie))
+    blooms = {f"parquet.bloom.filter.enabled#{c}": True for c in equal}
+    options = {"compression": "snappy", "parquet.bloom.filter.adaptive.enabled": True, **blooms}
+    beside = written_beside(dealt.sortWithinPartitions(*keys).drop(tie), path, **options)
+    put_in_place(df.sparkSession, beside, path)
+    return df.sparkSession.read.parquet(path)
 
 
 def land(df: DataFrame, path: str, as_of: datetime | None = None) -> bool:
@@ -79,20 +114,54 @@ def land(df: DataFrame, path: str, as_of: datetime | None = None) -> bool:
     return overwrite_if_any(stamped(df, as_of), path)
 
 
-def write_snapshot(df: DataFrame, folder: str, as_of: datetime | None = None) -> str | None:
-    """Keep a frame as a new snapshot of `folder`/history and as `folder`/latest.
+def write_snapshot(df: DataFrame, folder: str, as_of: datetime | None = None, keep: int | None = None) -> str | None:
+    """Keep a frame as a new snapshot of `folder`/history and as `folder`/latest; with `keep` all but the newest
+    `keep` snapshots are deleted then. Returns the label, or None when there are no rows."""
+    written = observed_snapshot(df, folder, as_of, keep=keep)
+    return written and written[0]
+
 
-    The source is read once, also to see whether it has rows: `latest` is copied from the snapshot
-    just written, so both hold the same rows even when the source changes meanwhile or an executor
-    is lost. An empty snapshot never becomes visible. Writing the same instant again replaces its
-    snapshot. Returns its label, or None when there are no rows.
+def observed_snapshot(
+    df: DataFrame, folder: str, as_of: datetime | None = None, measures: Sequence[Column] = (), keep: int | None = None
+) -> tuple[str, dict] | None:
+    """As `write_snapshot`, with `measures` of the rows.
+
+    The source is read once, also to see whether it has rows and to measure it: `latest` is copied from the
+    snapshot just written, so both hold the same rows even when the source changes meanwhile or an executor
+    is lost. An empty snapshot never becomes visible. Writing the same instant again replaces its snapshot.
     """
     label = utc_instant(as_of).strftime("%Y%m%d_%H%M%S")
     snapshot = f"{folder}/history/{SNAPSHOT_COLUMN}={label}"
-    if not overwrite_if_any(df, snapshot):
+    found = overwrite_observed(df, snapshot, measures)
+    if found is None:
         return None
     overwrite_parquet(df.sparkSession.read.parquet(snapshot), f"{folder}/latest")
-    return label
+    if keep is not None:
+        delete_old_snapshots(df.sparkSession, folder, keep)
+    return label, found
+
+
+def delete_old_snapshots(spark: SparkSession, folder: str, keep: int) -> list[str]:
+    """Delete all but the newest `keep` snapshots of `folder`/history, by label; the labels that are gone.
+
+    In two steps: all that go are first renamed to names that no reader takes, then deleted. A run that breaks off
+    leaves whole snapshots in the history and renamed ones beside them, which the next run deletes. A reader of a
+    snapshot that goes meanwhile fails. The driver lists one folder per snapshot.
+    """
+    if keep < 1:
+        raise ValueError("at least one snapshot must stay")
+    files, place = file_system(spark, f"{folder}/history")
+    if not files.exists(place):
+        return []
+    names = [f.getPath().getName() for f in files.listStatus(place)]
+    labels = sorted(m[1] for n in names if (m := re.fullmatch(rf"{SNAPSHOT_COLUMN}=(\d{{8}}_\d{{6}})", n)))
+    old, marked = labels[:-keep], [n for n in names if n.startswith(REMOVED)]
+    for label in old:
+        marked.append(f"{REMOVED}{label}-{uuid.uuid4().hex}")
+        moved(spark, f"{folder}/history/{SNAPSHOT_COLUMN}={label}", f"{folder}/history/{marked[-1]}")
+    for name in marked:
+        removed(spark, f"{folder}/history/{name}")
+    return old
 
 
 def history(spark: SparkSession, folder: str) -> DataFrame:
