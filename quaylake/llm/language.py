@@ -23,6 +23,7 @@ SCRIPT_SHARE = 0.01  # share of a language's letters from which it is written in
 UNKNOWN = "und"
 BATCH_BYTES = 4 << 20
 BLOCK = 1 << 20
+RUN = 1024  # words of a run in Viterbi's search
 
 # First code points of blocks of scripts, in order; each goes up to the next.
 SCRIPTS = (
@@ -136,30 +137,86 @@ def learned(docs: DataFrame, text: str = "text", lang: str = "lang") -> Model:
     return Model(langs, weights.astype(np.float32), written)
 
 
-def viterbi(scores: np.ndarray, starts: np.ndarray, counts: np.ndarray, penalty: float) -> np.ndarray:
-    """Best language of every word; documents advance word by word together, the longest first."""
-    order = np.argsort(-counts, kind="stable")
-    starts, counts = starts[order], counts[order]
-    n, langs = len(starts), scores.shape[1]
-    labels = np.zeros(len(scores), np.int64)
-    state = np.zeros((n, langs))
-    back: list[np.ndarray] = []
-    own = np.arange(langs)
-    alive = [int(np.searchsorted(-counts, -t, side="left")) for t in range(int(counts[0]) if n else 0)]
-    for t, a in enumerate(alive):
+def forward(
+    scores: np.ndarray, starts: np.ndarray, counts: np.ndarray, state: np.ndarray, penalty: float, back: list | None = None
+) -> np.ndarray:
+    """Worth of the best paths to each language at the end of every run of words. `state` is their worth before it.
+    Runs come the longest first and advance word by word together; `back` takes the languages they came from."""
+    own = np.arange(scores.shape[1])
+    for t in range(int(counts[0]) if len(counts) else 0):
+        a = int(np.searchsorted(-counts, -t, side="left"))
         best = state[:a].argmax(axis=1)
         moved = state[np.arange(a), best][:, None] - penalty
         change = moved > state[:a]
-        back.append(np.where(change, best[:, None], own))
+        if back is not None:
+            back.append(np.where(change, best[:, None], own).astype(np.int16))
         state[:a] = np.where(change, moved, state[:a]) + scores[starts[:a] + t]
-    at = state.argmax(axis=1)
-    for t in range(len(alive) - 1, -1, -1):
-        a = alive[t]
-        labels[starts[:a] + t] = at[:a]
+    return state
+
+
+def viterbi(scores: np.ndarray, starts: np.ndarray, counts: np.ndarray, penalty: float) -> np.ndarray:
+    """Best language of every word.
+
+    Documents are cut into runs of RUN words, which advance together, so the longest text sets no number of steps.
+    A run behind the first is passed once for each language it may be entered from; the runs of a document are then
+    joined in order, each entry the one with the best sum, and only the runs on the best path are passed again for
+    their labels.
+    """
+    langs = scores.shape[1]
+    many = -(-counts // RUN)
+    doc = np.repeat(np.arange(len(counts)), many)
+    first = np.cumsum(many) - many  # run of each document
+    number = np.arange(len(doc)) - first[doc]
+    begin, size = starts[doc] + number * RUN, np.minimum(RUN, counts[doc] - number * RUN)
+    entry = np.full(len(doc), -1)  # language before the run, none before the first
+    leave = np.zeros(len(doc), np.int64)  # language of its last word
+
+    later = np.flatnonzero(number)
+    long = np.flatnonzero(many > 1)
+    if len(later):
+        run = np.concatenate([first[long], np.repeat(later, langs)])
+        came = np.concatenate([np.full(len(long), -1), np.tile(np.arange(langs), len(later))])
+        order = np.argsort(-size[run], kind="stable")
+        found = np.empty((len(run), langs))
+        found[order] = forward(scores, begin[run[order]], size[run[order]], entered(came[order], langs), penalty)
+        total = found[:len(long)]
+        through = found[len(long):].reshape(len(later), langs, langs)
+        place = np.cumsum(number > 0) - 1  # of a run among the later ones
+        source = np.zeros((len(doc), langs), np.int64)
+        for k in range(1, int(many.max())):
+            here = np.flatnonzero(many[long] > k)
+            both = total[here][:, :, None] + through[place[first[long[here]] + k]]
+            source[first[long[here]] + k] = both.argmax(axis=1)
+            total[here] = both.max(axis=1)
+        at = total.argmax(axis=1)
+        for k in range(int(many.max()) - 1, 0, -1):
+            here = np.flatnonzero(many[long] > k)
+            which = first[long[here]] + k
+            leave[which] = at[here]
+            at[here] = entry[which] = source[which, at[here]]
+        leave[first[long]] = at
+
+    order = np.argsort(-size, kind="stable")
+    back: list[np.ndarray] = []
+    state = forward(scores, begin[order], size[order], entered(entry[order], langs), penalty, back)
+    at = np.where(many[doc[order]] > 1, leave[order], state.argmax(axis=1) if len(state) else 0)
+    labels = np.zeros(len(scores), np.int64)
+    for t in range(len(back) - 1, -1, -1):
+        a = len(back[t])
+        labels[begin[order[:a]] + t] = at[:a]
         at[:a] = back[t][np.arange(a), at[:a]]
     return labels
 
 
+def entered(came: np.ndarray, langs: int) -> np.ndarray:
+    """Worth of each language before a run that is entered from one, or from none (-1)."""
+    state = np.full((len(came), langs), -np.inf)
+    state[came < 0] = 0.0
+    inner = np.flatnonzero(came >= 0)
+    state[inner, came[inner]] = 0.0
+    return state
+
+
 def labelled(scores: np.ndarray, starts: np.ndarray, counts: np.ndarray, penalty: float) -> np.ndarray:
     """As `viterbi`, but documents where no stretch of words gains more than one change costs, whatever
     languages it had, get their best single language at once: there no path with a change is better."""

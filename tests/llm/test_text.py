@@ -148,7 +148,10 @@ def test_redaction(session, awkward, empty):
     assert pii.redacted(empty).count() == pii.detected(empty).count() == 0
 
 
-def test_viterbi_is_the_best_path():
+@pytest.mark.parametrize("run", [1, 2, 3, 1024])
+def test_viterbi_is_the_best_path(monkeypatch, run):
+    """However short the runs into which texts are cut."""
+    monkeypatch.setattr(language, "RUN", run)
     rng = np.random.default_rng(0)
     for _ in range(100):
         counts = rng.integers(1, 6, int(rng.integers(1, 6)))
@@ -166,6 +169,32 @@ def test_viterbi_is_the_best_path():
                 assert abs(worth(labels[start:start + n], start) - best) < 1e-9
 
 
+def test_a_text_of_a_million_words_takes_few_steps(monkeypatch):
+    """As many as a run has words, and twice that for the labels; the labels are those of a plain search."""
+    rng = np.random.default_rng(1)
+    counts = np.array([1_000_000, 5000, 3])
+    scores = rng.normal(0, 1, (int(counts.sum()), 4)) + 3 * np.eye(4)[np.repeat(rng.integers(0, 4, 10_051), 100)[:counts.sum()]]
+    starts, steps, plain = np.cumsum(counts) - counts, [], language.forward
+
+    def counted(*given):
+        steps.append(int(given[2][0]))
+        return plain(*given)
+
+    monkeypatch.setattr(language, "forward", counted)
+    labels = language.viterbi(scores, starts, counts, 12.0)
+    assert sum(steps) <= 2 * language.RUN
+    state, back = np.zeros(4), []
+    for row in scores[:counts[0]].tolist():
+        best = max(range(4), key=state.__getitem__)
+        back.append([best if state[best] - 12.0 > state[x] else x for x in range(4)])
+        state = [max(state[best] - 12.0, state[x]) + row[x] for x in range(4)]
+    at, path = max(range(4), key=state.__getitem__), []
+    for came in reversed(back):
+        path.append(at)
+        at = came[at]
+    assert labels[:counts[0]].tolist() == path[::-1] and len(set(path)) == 4
+
+
 def test_languages(session, awkward, rows, empty):
     spoken = {"en": "the house and the garden were there when they came", "el": "το σπίτι και ο κήπος ήταν εκεί",
               "fr": "la maison et le jardin étaient là quand ils sont venus", "ru": "дом и сад были там когда они пришли"}
