@@ -78,29 +78,29 @@ def components(edges: DataFrame) -> DataFrame:
 
     Alternates large and small stars: every node joins its larger neighbours to the smallest one it
     knows. Each step is written to the shared folder. A node with many neighbours is a partial
-    minimum, then a join of two tables that adaptive execution can split; nothing is gathered.
+    minimum, then a join of two tables that adaptive execution can split; nothing is gathered. What the
+    next round needs of a node also tells whether there is one: edges that are stars already are looked at once.
     """
-    def lowest(links: DataFrame) -> DataFrame:
-        least = links.groupBy("a").agg(F.min("b").alias("low"))
-        return saved(least.select("a", F.least("a", "low").alias("low")), "stars")
+    def stars(links: DataFrame) -> DataFrame:
+        """Least neighbour of each node (or itself), how many are smaller, whether one is larger."""
+        of = links.groupBy("a").agg(
+            F.min("b").alias("low"), F.count_if(F.col("b") < F.col("a")).alias("up"), F.max(F.col("b") > F.col("a")).alias("down")
+        )
+        return saved(of.select("a", F.least("a", "low").alias("low"), "up", "down"), "stars")
 
     def ordered(links: DataFrame) -> DataFrame:
-        pair = links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-        return saved(pair.distinct(), "links")
+        return links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
 
-    now = ordered(edges)
+    now = saved(ordered(edges).distinct(), "links")
     while True:
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        met = both.join(lowest(both), "a").where("b > a")
-        now = ordered(met.select(F.col("b").alias("a"), F.col("low").alias("b")))
-        met = now.join(lowest(now), "a")
-        now = ordered(
-            met.select(F.col("b").alias("a"), F.col("low").alias("b")).union(met.select("a", F.col("low").alias("b")))
-        )
-        # Done when every node has one neighbour and no node with a neighbour below it has one above.
-        ends = now.select(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(
-            now.select("b", F.lit(0), F.lit(1))
-        )
-        open_ends = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
-        if open_ends.where("up > 1 OR up = 1 AND down = 1").limit(1).count() == 0:
+        star = stars(both)
+        # Done when every node has one neighbour below it at most and then none above it.
+        if star.where("up > 1 OR up = 1 AND down").limit(1).count() == 0:
             return now.select(F.col("a").alias("node"), F.col("b").alias("root"))
+        met = both.join(star.select("a", "low"), "a").where("b > a")
+        # No more rows than edges; doubles go in the second half of the round.
+        now = saved(ordered(met.select(F.col("b").alias("a"), F.col("low").alias("b"))), "links")
+        met = now.join(stars(now).select("a", "low"), "a")
+        both = met.select(F.col("b").alias("a"), F.col("low").alias("b")).union(met.select("a", F.col("low").alias("b")))
+        now = saved(ordered(both).distinct(), "links")
