@@ -21,7 +21,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: five-word shingles, similarity 0.8 or more."""
+    """One document of each group of near duplicates: SimHash fingerprints of five-word shingles propose pairs by
+    multi-index hashing, and those of similarity 0.8 or more are linked."""
     prepared(spark)
     return minhash.one_of_each(docs)
 

@@ -1,4 +1,5 @@
-"""Near duplicates by the similarity of shingle sets: MinHash bands propose pairs, the sets decide."""
+"""Near duplicates by the similarity of shingle sets: the segments of wide SimHash fingerprints propose pairs, as in
+multi-index hashing, their whole distance sorts out chance meetings, and the sets decide."""
 
 from __future__ import annotations
 
@@ -11,25 +12,24 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, BooleanType, LongType, StructField, StructType
 
+from quaylake.llm import simhash
 from quaylake.llm.common import components, numbered, position, saved
-from quaylake.llm.substring import FIRST, SECOND, rolled
+from quaylake.llm.substring import FIRST, rolled
 
 SHINGLE = 5
 LEAST = (4, 5)  # the least similarity as a fraction
-# A pair of the least similarity s shares no band with probability (1 - s^ROWS)^BANDS, two in a million.
-BANDS, ROWS = 25, 4
 SEED = 42
-BLOCK = 4096  # shingles hashed at a time
+SHORT = 64  # sets of so few shingles, whose fingerprints have few votes, also meet under their first shingles
+AT_ONCE = 18  # segments probed at a time: the shuffle files of one turn go before the next
 SMALL = 32  # members of a bucket that may be compared with one
-LEFT = 1  # pairs per member of a first bucket up to which what is left of crowds is compared at once
+LEFT = 16  # pairs per member of the first buckets up to which what is left of crowds is compared at once
 RARE = 64  # a shingle in which one of so many members of a crowd differs from its pivot is common
 # Sets x and y have the least similarity if REACH times the number of shingles only one has is at most |x| + |y|.
 REACH = (LEAST[1] + LEAST[0]) // (LEAST[1] - LEAST[0])
 
-MULTIPLIERS = np.random.default_rng(SEED).integers(0, 1 << 63, (BANDS * ROWS, 1), np.uint64) * np.uint64(2) + np.uint64(1)
 SKETCH = StructType([
     StructField("a", LongType()), StructField("b", LongType()), StructField("n", LongType()),
-    StructField("keys", ArrayType(LongType())),
+    StructField("print", BinaryType()), StructField("loose", BinaryType()), StructField("least", ArrayType(LongType())),
 ])
 
 
@@ -40,30 +40,26 @@ def shingles(text: bytes, width: int = SHINGLE) -> np.ndarray:
     return np.unique(rolled(words, min(width, len(words)), FIRST)) if len(words) else words
 
 
-def bands(found: np.ndarray) -> np.ndarray:
-    """One key per band: equal for sets whose ROWS minima in it are equal."""
-    least = np.full(len(MULTIPLIERS), np.iinfo(np.uint64).max)
-    for low in range(0, len(found), BLOCK):
-        least = np.minimum(least, (MULTIPLIERS * found[None, low:low + BLOCK]).min(axis=1))
-    rows = least.reshape(BANDS, ROWS)
-    key = np.arange(1, BANDS + 1, dtype=np.uint64)
-    for j in range(ROWS):
-        key = (key * SECOND + rows[:, j]) * FIRST
-        key ^= key >> np.uint64(29)
-    return key
+def leading(found: np.ndarray) -> np.ndarray:
+    """The smallest shingles of a set, as many as hold one of any set like it (all but the least similarity's
+    share, and one), marked off from the segments' values by their sign."""
+    n = len(found) if len(found) <= SHORT else 0
+    return found[:n - -(-LEAST[0] * n // LEAST[1]) + 1 if n else 0] | np.uint64(1 << 63)
 
 
 @F.arrow_udf(SKETCH)
 def sketches(text: pa.Array) -> pa.Array:
-    """Two hashes of the whole set, its size and its bands' keys."""
+    """Two hashes of the whole set, its size, its wide fingerprint with the loose places and its leading shingles."""
     sets = [shingles(t or b"") for t in text.to_pylist()]
     whole = [[xxhash.xxh64_intdigest(s.tobytes(), seed) for s in sets] for seed in (SEED, SEED + 1)]
-    keys = np.concatenate([np.zeros(0, np.uint64), *(bands(s) for s in sets if len(s))]).view(np.int64)
-    ends = np.cumsum([0, *(BANDS if len(s) else 0 for s in sets)])
+    prints = [simhash.wide(s) if len(s) else (np.zeros(0), np.zeros(0)) for s in sets]
+    least = [leading(s) for s in sets]
+    ends = np.cumsum([0, *(len(x) for x in least)])
     return pa.StructArray.from_arrays(
         [*(pa.array(np.array(w, np.uint64).view(np.int64)) for w in whole), pa.array([len(s) for s in sets], pa.int64()),
-         pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(keys))],
-        names=["a", "b", "n", "keys"],
+         *(pa.array([p[i].tobytes() for p in prints], pa.binary()) for i in (0, 1)),
+         pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([np.zeros(0, np.uint64), *least]).view(np.int64)))],
+        names=SKETCH.names,
     )
 
 
@@ -147,16 +143,37 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return saved(with_sets(pairs, texts).where(alike("left", "right")).select("a", "b"), "alike")
 
 
-def pivoted(keys: DataFrame) -> DataFrame:
-    """Members of buckets (`node`, `n`, `key`) that are not alone, with the size and the pivot (`low`) of their
-    bucket: the member that meets most others in all its buckets, the smallest one of several. So the buckets
-    of one group have few pivots, and these stand in its middle."""
+def together(keys: DataFrame) -> DataFrame:
+    """Members of buckets (`node`, `n`, `key`) that are not alone, with the size of their bucket."""
     sizes = keys.groupBy("key").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
-    met = saved(keys.join(sizes.hint("merge"), "key"), "met")
+    return saved(keys.join(sizes.hint("merge"), "key"), "met")
+
+
+def met_in_segments(sets: DataFrame) -> DataFrame:
+    """`together` for the values that the wide fingerprints probe in each segment and for the leading shingles."""
+    met = together(sets.select("node", "n", F.explode("least").alias("key")))
+    for low in range(0, simhash.PARTS, AT_ONCE):
+        keys = simhash.probes(low, min(low + AT_ONCE, simhash.PARTS))(F.col("print"), F.col("loose"))
+        met = met.unionByName(together(sets.select("node", "n", F.explode(keys).alias("key"))))
+    return met
+
+
+def closer(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose wide fingerprints are not too far apart, or that are both short."""
+    one = sets.select(F.col("node").alias("a"), F.col("print").alias("left"), F.col("n").alias("n"))
+    two = sets.select(F.col("node").alias("b"), F.col("print").alias("right"), F.col("n").alias("m"))
+    both = pairs.join(two.hint("merge"), "b").join(one.hint("merge"), "a").withColumn("close", simhash.close("left", "right"))
+    return both.where(F.col("close") | (F.greatest("n", "m") <= SHORT)).select("a", "b")
+
+
+def pivoted(met: DataFrame) -> DataFrame:
+    """Members of buckets (`node`, `n`, `key`, `members`) with the pivot (`low`) of their bucket, the member that
+    meets most others (`score`) in all its buckets, the smallest one of several. So the buckets of one group have
+    few pivots, and these stand in its middle."""
     score = met.groupBy("node").agg(F.sum("members").alias("score"))
     ranked = met.join(score.hint("merge"), "node")
     low = ranked.groupBy("key").agg(F.max(F.struct("score", (-F.col("node")).alias("node"))).alias("best"))
-    low = low.select("key", (-F.col("best.node")).alias("low"))
+    low = low.select("key", (-F.col("best.node")).alias("low"), "best.score")
     return saved(met.join(low.hint("merge"), "key"), "pivoted")
 
 
@@ -167,7 +184,7 @@ def unlike(a: str, b: str) -> Column:
 
 def crowds(open_: DataFrame) -> DataFrame:
     """(`node`, `n`, `root`, `a`) of the members of crowded buckets: buckets with a common member are one
-    crowd, and its pivot `a` is the one of most of its members. The pivot itself is left out."""
+    crowd, and its pivot `a` is the one of most of its members. That one itself is left out."""
     pairs = saved(open_.select("low", "node", "n", "root").distinct(), "crowded")
     many = pairs.groupBy("low").agg(F.count(F.lit(1)).alias("many"))
     crowd = components(pairs.select(F.col("low").alias("a"), F.col("node").alias("b")))
@@ -195,36 +212,39 @@ def dealt(crowd: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def linked(sets: DataFrame, texts: DataFrame) -> DataFrame:
-    """Rows (node, root): components of the sets (`node`, `n`, `keys`), linked where the similarity of
-    two that share a band is large enough.
+    """Rows (node, root): components of the sets (`node`, `n`, `print`, `loose`, `least`), linked where the similarity
+    of two that meet in a segment is large enough.
 
-    Each member of a bucket is compared with the bucket's pivot. Only buckets whose members are then in several
+    Each set is compared with the best one of its buckets' pivots. Only buckets whose members are then in several
     components go on. Those with more than SMALL are crowds: their members are compared with the crowd's pivot
     and dealt to new buckets by the shingles in which they differ from it (`differences`); any two that can
     still be alike meet in one of these, one of them in the role of the smaller. New buckets with many of both
     roles start over, unless all their pairs are no more than LEFT times the members of the first buckets: few
-    enough to be compared at once, however they are dealt. Everywhere else members of different components are compared with each other, at most
-    SMALL for each. So no group is paired, and no pair is lost.
+    enough to be compared at once, however they are dealt. Everywhere else members of different components are
+    compared with each other, at most SMALL for each. So no group is paired, and no pair is lost.
     """
-    keys, links, first = sets.select("node", "n", F.explode("keys").alias("key")), None, None
+    met, links, start = pivoted(met_in_segments(sets)), None, True
+    first = met.select("node").distinct().count()
     while True:
-        met = pivoted(keys)
-        first = met.count() if first is None else first
-        stars = met.where("low <> node").select(F.col("low").alias("a"), F.col("node").alias("b")).distinct()
-        found = verified(saved(stars, "stars"), texts)
+        best = met.groupBy("node").agg(F.max(F.struct("score", (-F.col("low")).alias("low"))).alias("best"))
+        stars = best.select((-F.col("best.low")).alias("a"), F.col("node").alias("b")).where("a <> b")
+        # Only values of segments meet by chance; what shares a difference from a pivot is compared in any case.
+        found = verified(saved(closer(stars, sets) if start else stars, "stars"), texts)
         links = found if links is None else links.union(found)
         roots = components(links)
         links = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))  # joins the same nodes, in stars
         named = met.join(roots.hint("merge"), "node", "left").withColumn("root", F.coalesce("root", "node"))
         named = saved(named, "named")
         several = named.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x < y").select("key")
-        still = saved(named.where("low <> node").join(several.hint("merge"), "key", "left_semi"), "open")
+        still = saved(named.join(several.hint("merge"), "key", "left_semi"), "open")
         crowd = crowds(still.where(F.col("members") > SMALL))
         few = still.where(F.col("members") <= SMALL).join(crowd.select("node", "a").hint("merge"), "node", "left")
         few = saved(few.withColumn("a", F.coalesce("a", -F.col("node") - 1)), "few")  # pairs of one crowd meet there
         x, y = few.alias("x"), few.alias("y")
         apart = (F.col("x.key") == F.col("y.key")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.a") != F.col("y.a"))
         pairs = [x.join(y.hint("merge"), apart & unlike("x", "y")).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))]
+        if start:
+            pairs = [closer(saved(pairs[0].distinct(), "apart"), sets)]
         crowded = crowd.limit(1).count() > 0
         if crowded:
             pairs.append(crowd.select("a", F.col("node").alias("b")))
@@ -245,6 +265,7 @@ def linked(sets: DataFrame, texts: DataFrame) -> DataFrame:
         links = links.union(more)
         if not crowded or not keys.limit(1).count():
             return components(links) if more.limit(1).count() else roots
+        met, start = pivoted(together(keys)), False
 
 
 def one_of_each(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -259,10 +280,10 @@ def one_of_each(docs: DataFrame, id: str = "doc_id", text: str = "text") -> Data
     marked = plain.withColumn("row", F.monotonically_increasing_id()).withColumn("sketch", sketches(body.cast("binary")))
     marked = saved(marked, "sketches")
     order = [key.isNull().alias("none"), key.alias("id"), F.col("row")]
-    first = F.min(F.struct(*order, F.col("sketch.n").alias("n"), F.col("sketch.keys").alias("keys")))
+    first = F.min(F.struct(*order, *(F.col(f"sketch.{c}") for c in ("n", "print", "loose", "least"))))
     sets = saved(marked.groupBy("sketch.a", "sketch.b").agg(first.alias("first")).select("first.*"), "distinct")
     sets = sets.withColumnRenamed("row", "node")
-    roots = linked(sets.select("node", "n", "keys"), marked.select("row", body.alias("text")))
+    roots = linked(sets.select("node", "n", "print", "loose", "least"), marked.select("row", body.alias("text")))
     named = sets.select("none", "id", "node").join(roots.hint("merge"), "node", "left")
     kept = named.groupBy(F.coalesce("root", "node")).agg(F.min(F.struct("none", "id", "node")).alias("first"))
     kept = saved(kept.select(F.col("first.node").alias("row")), "kept")
