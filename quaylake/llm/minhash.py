@@ -22,6 +22,7 @@ SEED = 42
 SHORT = 64  # sets of so few shingles, whose fingerprints have few votes, also meet under their first shingles
 AT_ONCE = 18  # segments probed at a time: the shuffle files of one turn go before the next
 SMALL = 32  # members of a bucket that may be compared with one
+TWICE = 2  # segments in which a member of a crowd meets its pivot, if in no crowded bucket
 LEFT = 16  # pairs per member of the first buckets up to which what is left of crowds is compared at once
 RARE = 64  # a shingle in which one of so many members of a crowd differs from its pivot is common
 # Sets x and y have the least similarity if REACH times the number of shingles only one has is at most |x| + |y|.
@@ -182,10 +183,34 @@ def unlike(a: str, b: str) -> Column:
     return (F.col(f"{a}.root") != F.col(f"{b}.root")) & near_sizes(F.col(f"{a}.n"), F.col(f"{b}.n"))
 
 
-def crowds(open_: DataFrame) -> DataFrame:
-    """(`node`, `n`, `root`, `a`) of the members of crowded buckets: buckets with a common member are one
-    crowd, and its pivot `a` is the one of most of its members. That one itself is left out."""
-    pairs = saved(open_.select("low", "node", "n", "root").distinct(), "crowded")
+def several(named: DataFrame, *columns: str) -> DataFrame:
+    """Members of the buckets in which each of the columns has more than one value."""
+    ends = [e for c in columns for e in (F.min(c).alias(f"{c}_low"), F.max(c).alias(f"{c}_high"))]
+    keys = named.groupBy("key").agg(*ends).where(" AND ".join(f"{c}_low < {c}_high" for c in columns))
+    return named.join(keys.select("key").hint("merge"), "key", "left_semi")
+
+
+def placed(roots: DataFrame, crowd: DataFrame) -> DataFrame:
+    """(`node`, `root`, `a`): the component of each node and the pivot of its crowd, null if it has none. A pivot is
+    in its own crowd, because all others there are compared with it."""
+    inside = crowd.select("node", "a").union(crowd.select(F.col("a").alias("node"), "a").distinct())
+    return saved(roots.join(inside.hint("merge"), "node", "full"), "places")
+
+
+def crowds(met: DataFrame, roots: DataFrame) -> DataFrame:
+    """(`node`, `n`, `root`, `a`) of the members of crowds. Members that meet a pivot in a crowded bucket, or in
+    TWICE segments whatever the size of their buckets (few do so by chance), are a crowd if they are more than
+    SMALL and of several components. Crowds with a common member are one, and its pivot `a` is the one of most of
+    its members. That one itself is left out."""
+    pairs = met.groupBy("low", "node").agg(
+        F.min("n").alias("n"), F.max("members").alias("members"),
+        F.bit_or(F.expr(f"shiftleft(1L, cast(shiftrightunsigned(key, {simhash.WIDTH}) % 64 AS int))")).alias("places"),
+    ).where((F.col("members") > SMALL) | (F.bit_count("places") >= TWICE))
+    pairs = pairs.join(roots.hint("merge"), "node", "left")
+    pairs = saved(pairs.select("low", "node", "n", F.coalesce("root", "node").alias("root")), "around")
+    wide = pairs.groupBy("low").agg(F.count(F.lit(1)).alias("many"), F.min("root").alias("x"), F.max("root").alias("y"))
+    wide = saved(wide.where((F.col("many") > SMALL) & (F.col("x") < F.col("y"))).select("low"), "wide")
+    pairs = saved(pairs.join(wide.hint("merge"), "low", "left_semi"), "crowded")
     many = pairs.groupBy("low").agg(F.count(F.lit(1)).alias("many"))
     crowd = components(pairs.select(F.col("low").alias("a"), F.col("node").alias("b")))
     pivot = many.join(crowd, F.col("low") == F.col("node")).groupBy(F.col("root").alias("crowd"))
@@ -202,6 +227,7 @@ def dealt(crowd: DataFrame, texts: DataFrame) -> DataFrame:
     often = both.select("a", "right", "left").mapInArrow(frequent, "a long, element long, count long")
     often = often.groupBy("a", "element").agg(F.sum("count").alias("count"))
     often = often.groupBy("a").agg(F.sort_array(F.collect_list(F.struct("count", "element"))).alias("common"))
+    often = saved(often, "often")  # so that the join below can split a pivot with many members
     both = both.join(often.hint("merge"), "a", "left").withColumn("common", F.col("common.element"))
     each = both.select(F.col("b").alias("node"), "n", "root", "a", F.inline(differences("right", "left", "common")))
     each = saved(each.withColumn("key", F.xxhash64("a", "element")).drop("a", "element"), "dealt")
@@ -221,7 +247,8 @@ def linked(sets: DataFrame, texts: DataFrame) -> DataFrame:
     still be alike meet in one of these, one of them in the role of the smaller. New buckets with many of both
     roles start over, unless all their pairs are no more than LEFT times the members of the first buckets: few
     enough to be compared at once, however they are dealt. Everywhere else members of different components are
-    compared with each other, at most SMALL for each. So no group is paired, and no pair is lost.
+    compared with each other, at most SMALL for each; a small bucket goes on only if it has members of different
+    crowds, or of none. So no group is paired, and no pair is lost.
     """
     met, links, start = pivoted(met_in_segments(sets)), None, True
     first = met.select("node").distinct().count()
@@ -233,13 +260,10 @@ def linked(sets: DataFrame, texts: DataFrame) -> DataFrame:
         links = found if links is None else links.union(found)
         roots = components(links)
         links = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))  # joins the same nodes, in stars
-        named = met.join(roots.hint("merge"), "node", "left").withColumn("root", F.coalesce("root", "node"))
-        named = saved(named, "named")
-        several = named.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x < y").select("key")
-        still = saved(named.join(several.hint("merge"), "key", "left_semi"), "open")
-        crowd = crowds(still.where(F.col("members") > SMALL))
-        few = still.where(F.col("members") <= SMALL).join(crowd.select("node", "a").hint("merge"), "node", "left")
-        few = saved(few.withColumn("a", F.coalesce("a", -F.col("node") - 1)), "few")  # pairs of one crowd meet there
+        crowd = crowds(met, roots)
+        few = met.where(F.col("members") <= SMALL).join(placed(roots, crowd).hint("merge"), "node", "left")
+        few = few.withColumns({"root": F.coalesce("root", "node"), "a": F.coalesce("a", -F.col("node") - 1)})
+        few = saved(several(saved(few, "named"), "root", "a"), "few")  # pairs of one crowd meet there
         x, y = few.alias("x"), few.alias("y")
         apart = (F.col("x.key") == F.col("y.key")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.a") != F.col("y.a"))
         pairs = [x.join(y.hint("merge"), apart & unlike("x", "y")).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))]

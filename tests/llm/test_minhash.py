@@ -120,6 +120,20 @@ def test_a_crowd_below_the_threshold_is_not_paired(session, monkeypatch):
     assert sum(counts) < 15 * len(rows)  # all pairs are 80,000
 
 
+def test_members_of_one_crowd_leave_their_small_buckets(session, monkeypatch):
+    """Copies of one text meet in many small buckets beside the crowded ones; no pair of a crowd is looked for there."""
+    rows, sizes, plain = crowd(11, 400, range(2, 9)), {}, minhash.saved
+
+    def counted(df, name):
+        sizes.setdefault(name, []).append((out := plain(df, name)).count())
+        return out
+
+    monkeypatch.setattr(minhash, "saved", counted)
+    kept = minhash.one_of_each(session.createDataFrame(rows, COLUMNS).repartition(3))
+    assert ids(kept) == firsts(rows)
+    assert sizes["crowds"][0] > 300 and sizes["few"][0] < 20 * len(rows)  # 43,100 by crowded buckets alone
+
+
 @pytest.mark.parametrize("left", [0, 1])
 def test_crowds_of_any_size_give_what_all_pairs_give(session, monkeypatch, left):
     monkeypatch.setattr(minhash, "SMALL", 4)  # nearly every group goes on by differences
